@@ -5,10 +5,11 @@ from __future__ import annotations
 from .op2_token_counts import op2_token_counts
 from .op3_toxicity import op3_toxicity
 from .op4_packing import op4_packing
+from .op5_jaccard import op5_jaccard
 from .op6_language import op6_language
 from .op7_bpe import op7_bpe
 from .op8_pii import op8_pii
 from .op10_licenses import op10_licenses
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_toxicity, op4_packing, op6_language, op7_bpe, op8_pii, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_toxicity, op4_packing, op5_jaccard, op6_language, op7_bpe, op8_pii, op10_licenses)}
 ORACLE_SQL: dict[str, str] = {}
