@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op1_ann import op1_ann
 from .op2_token_counts import op2_token_counts
 from .op3_toxicity import op3_toxicity
 from .op4_packing import op4_packing
@@ -9,7 +10,8 @@ from .op5_jaccard import op5_jaccard
 from .op6_language import op6_language
 from .op7_bpe import op7_bpe
 from .op8_pii import op8_pii
+from .op9_embedding_dedup import op9_embedding_dedup
 from .op10_licenses import op10_licenses
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_toxicity, op4_packing, op5_jaccard, op6_language, op7_bpe, op8_pii, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_token_counts, op3_toxicity, op4_packing, op5_jaccard, op6_language, op7_bpe, op8_pii, op9_embedding_dedup, op10_licenses)}
 ORACLE_SQL: dict[str, str] = {}
