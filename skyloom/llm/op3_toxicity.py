@@ -21,10 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, trainable
+from .common import held_out, materialize, table, trainable
 
 _WORD = regex.compile(r"\w+")
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
+#: Positive texts a feature must be in, and the number of features that training keeps.
+LEAST_DF, MAX_FEATURES = 5, 30_000
+#: Features that are counted in unlabelled texts.
+MAX_CANDIDATES = 200_000
 THRESHOLD = 0.3
 #: Words' features kept in a worker's memo before it is emptied.
 MEMO_WORDS = 200_000
@@ -68,24 +72,15 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-3, least: int = 5, most: int = 30_000) -> Model:
-    """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text."""
+def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keys: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> Model:
+    """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text, all of them among ``keys``."""
+    prior = min(max(prior, 1e-6), 1 - 1e-6)
+    keys = np.sort(np.asarray(keys, dtype=np.int64))
     if not positive or not unlabelled:
-        p = min(max(prior, 1e-6), 1 - 1e-6)
-        return Model(np.empty(0, np.int64), np.empty(0), float(np.log(p / (1 - p))))
-    keys, df = np.unique(np.concatenate(positive), return_counts=True)
-    keep = df >= min(least, max(1, len(positive) // 20))
-    keys, df = keys[keep], df[keep]
-    every, df_u = np.unique(np.concatenate(unlabelled), return_counts=True)
-    at = np.clip(np.searchsorted(every, keys), 0, len(every) - 1)
-    in_u = np.where(every[at] == keys, df_u[at], 0)
-    # features that tell the two apart most, by the difference of their rates in units of its spread
-    rate_p, rate_u = df / len(positive), in_u / len(unlabelled)
-    z = np.abs(rate_p - rate_u) / np.sqrt(rate_p * (1 - rate_p) / len(positive) + rate_u * (1 - rate_u) / len(unlabelled) + 1e-9)
-    keys = np.sort(keys[np.argsort(-z, kind="stable")[:most]][: max(1, int((z > 3).sum()))])
+        return Model(np.empty(0, np.int64), np.empty(0), float(np.log(prior / (1 - prior))))
 
     def sparse(texts):
-        rows = [np.searchsorted(keys, x[np.isin(x, keys)]) for x in texts]
+        rows = [np.searchsorted(keys, x) for x in texts]
         return np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows)
 
     sets = [sparse(positive), sparse(unlabelled)]
@@ -104,7 +99,22 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
         w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-8)
         b -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return Model(keys.astype(np.int64), w, float(b))
+    return Model(keys, w, float(b))
+
+
+def _keys_column(among: np.ndarray | None):
+    """Column: the distinct feature keys of each whole text, only those in ``among`` (sorted) unless it's None."""
+    sent = None if among is None else SparkSession.getActiveSession().sparkContext.broadcast(set(among.tolist()))
+
+    @F.pandas_udf("array<long>")
+    def keys(texts: pd.Series) -> pd.Series:
+        wanted, out = None if sent is None else sent.value, []
+        for t in texts:
+            found = {k for w in set(_WORD.findall((t or "").lower())) for k in features_of_word(w)}
+            out.append(sorted(found if wanted is None else found & wanted))
+        return pd.Series(out, dtype=object)
+
+    return keys.asNondeterministic()(F.col("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, prior: float | None = None) -> Model:
@@ -121,15 +131,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     # bounded by the parameter: the expected number is at most max_positive, the limit twice that
     toxic_ids = labelled.filter((F.col("toxic") == 1) & (draw < share(max_positive, n_toxic))).select("doc_id").distinct().limit(2 * max_positive).withColumn("is_p", F.lit(True))
 
-    @F.pandas_udf("array<long>")
-    def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted({k for w in set(_WORD.findall((t or "").lower())) for k in features_of_word(w)}) for t in texts], dtype=object)
-
-    sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs))
-    rows = sampled.filter(F.col("is_p") | F.col("is_u")).limit(2 * (max_positive + max_unlabelled)).select("doc_id", "is_p", "is_u", keys.asNondeterministic()("text").alias("keys")).toPandas().sort_values("doc_id", kind="stable")
-    arrays = [np.asarray(x, dtype=np.int64) for x in rows["keys"]]
-    of = lambda c: [a for a, yes in zip(arrays, rows[c], strict=True) if yes is True or yes is np.True_]
-    return train_pu(of("is_p"), of("is_u"), prior)
+    sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs)).withColumn("is_p", F.coalesce("is_p", F.lit(False)))
+    # candidates: features of enough positive texts, so that those of unlabelled texts needn't be gathered
+    in_p = sampled.filter("is_p").limit(2 * max_positive).select(F.explode(_keys_column(None)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DF)
+    candidates = in_p.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toPandas()["key"].to_numpy()
+    drawn = sampled.filter(F.col("is_p") | F.col("is_u")).limit(2 * (max_positive + max_unlabelled))
+    rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column(np.sort(candidates)).alias("keys")), "toxicity-sample")
+    n_p, n_u = rows.agg(F.sum(F.col("is_p").cast("long")), F.sum(F.col("is_u").cast("long"))).first()
+    if not n_p or not n_u:
+        return train_pu([], [], prior, np.empty(0))
+    # features that tell the two apart most, by the difference of their rates in units of its spread
+    rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
+    spread = F.sqrt(rate_p * (1 - rate_p) / n_p + rate_u * (1 - rate_u) / n_u + 1e-9)
+    by_key = rows.select(F.explode("keys").alias("key"), F.col("is_p").cast("long").alias("p"), F.col("is_u").cast("long").alias("u")).groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    told = by_key.withColumn("z", F.abs(rate_p - rate_u) / spread).filter("z > 3").orderBy(F.desc("z"), "key").limit(MAX_FEATURES).select("key")
+    told = materialize(told, "toxicity-features")  # MAX_FEATURES rows at most
+    lean = rows.select("doc_id", "is_p", "is_u", F.explode("keys").alias("key")).join(F.broadcast(told), "key").groupBy("doc_id", "is_p", "is_u").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    got = rows.select("doc_id", "is_p", "is_u").distinct().join(lean, ["doc_id", "is_p", "is_u"], "left").toPandas().sort_values(["doc_id"], kind="stable")
+    arrays = [np.asarray(x, dtype=np.int64) if x is not None else np.empty(0, np.int64) for x in got["keys"]]
+    of = lambda c: [a for a, yes in zip(arrays, got[c], strict=True) if yes]
+    return train_pu(of("is_p"), of("is_u"), prior, told.toPandas()["key"].to_numpy())
 
 
 def score_column(model: Model, text_col: str = "text"):
