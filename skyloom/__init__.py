@@ -1,0 +1 @@
+"""Integration and enrichment of astronomical catalogs as lazy DataFrame plans."""
