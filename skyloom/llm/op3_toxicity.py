@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from .common import held_out, materialize, table, trainable
 
 _WORD = regex.compile(r"\w+")
-MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
+MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 #: Positive texts a feature must be in, and the number of features that training keeps.
-LEAST_DF, MAX_FEATURES = 5, 30_000
+LEAST_DF, MAX_FEATURES = 5, 3000
 #: Features that are counted in unlabelled texts.
 MAX_CANDIDATES = 200_000
 THRESHOLD = 0.3
@@ -81,7 +81,7 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 
     def sparse(texts):
         rows = [np.searchsorted(keys, x) for x in texts]
-        return np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows)
+        return np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), len(rows)
 
     sets = [sparse(positive), sparse(unlabelled)]
     w, b = np.zeros(len(keys)), float(np.log(prior / (1 - prior)))
@@ -128,14 +128,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     n_docs = known.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000))
     share = lambda most, n: int(min(1.0, most / max(n, 1)) * 1_000_000)
-    # bounded by the parameter: the expected number is at most max_positive, the limit twice that
+    # the expected number of either kind is at most its parameter; ids are hashed, so it's near that
     toxic_ids = labelled.filter((F.col("toxic") == 1) & (draw < share(max_positive, n_toxic))).select("doc_id").distinct().limit(2 * max_positive).withColumn("is_p", F.lit(True))
 
     sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs)).withColumn("is_p", F.coalesce("is_p", F.lit(False)))
     # candidates: features of enough positive texts, so that those of unlabelled texts needn't be gathered
-    in_p = sampled.filter("is_p").limit(2 * max_positive).select(F.explode(_keys_column(None)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DF)
+    in_p = sampled.filter("is_p").select(F.explode(_keys_column(None)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DF)
     candidates = in_p.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toPandas()["key"].to_numpy()
-    drawn = sampled.filter(F.col("is_p") | F.col("is_u")).limit(2 * (max_positive + max_unlabelled))
+    drawn = sampled.filter(F.col("is_p") | F.col("is_u"))
     rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column(np.sort(candidates)).alias("keys")), "toxicity-sample")
     n_p, n_u = rows.agg(F.sum(F.col("is_p").cast("long")), F.sum(F.col("is_u").cast("long"))).first()
     if not n_p or not n_u:
