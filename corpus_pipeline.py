@@ -14,6 +14,7 @@ from skyloom.llm.op4_packing import pack_documents
 from skyloom.llm.op5_jaccard import keep_one_of_each
 from skyloom.llm.op6_language import reject_unknown_language
 from skyloom.llm.op8_pii import redact
+from skyloom.ship import shipped
 
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,11 +22,11 @@ def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", reject_toxic),
-    ("language", reject_unknown_language),
-    ("near_duplicates", keep_one_of_each),
-    ("personal_data", redact),
-    ("packing", _pack),
+    ("toxicity", shipped(reject_toxic)),
+    ("language", shipped(reject_unknown_language)),
+    ("near_duplicates", shipped(keep_one_of_each)),
+    ("personal_data", shipped(redact)),
+    ("packing", shipped(_pack)),
 ]
 
 #: Trained models and tokenizers have no form in SQL; tests run the stages against brute-force versions.

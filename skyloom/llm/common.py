@@ -47,6 +47,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns in one struct ``row``, so that no name of theirs meets one of ours; ``row.*`` brings them back."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def fold_of(id_col: str = "doc_id"):
     """crc32 of the id as text, modulo 4; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4

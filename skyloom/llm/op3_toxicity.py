@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, table, trainable
+from .common import held_out, materialize, packed, table, trainable
 
 _WORD = regex.compile(r"\w+")
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
     spread = F.sqrt(rate_p * (1 - rate_p) / n_p + rate_u * (1 - rate_u) / n_u + 1e-9)
     by_key = rows.select(F.explode("keys").alias("key"), F.col("is_p").cast("long").alias("p"), F.col("is_u").cast("long").alias("u")).groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    told = by_key.withColumn("z", F.abs(rate_p - rate_u) / spread).filter("z > 3").orderBy(F.desc("z"), "key").limit(MAX_FEATURES).select("key")
+    told = by_key.withColumn("z", F.abs(rate_p - rate_u) / spread).filter("z > 2.5").orderBy(F.desc("z"), "key").limit(MAX_FEATURES).select("key")
     told = materialize(told, "toxicity-features")  # MAX_FEATURES rows at most
     lean = rows.select("doc_id", "is_p", "is_u", F.explode("keys").alias("key")).join(F.broadcast(told), "key").groupBy("doc_id", "is_p", "is_u").agg(F.sort_array(F.collect_list("key")).alias("keys"))
     got = rows.select("doc_id", "is_p", "is_u").distinct().join(lean, ["doc_id", "is_p", "is_u"], "left").toPandas().sort_values(["doc_id"], kind="stable")
@@ -178,6 +178,6 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents whose score stays below the threshold, with their columns."""
-    columns = docs.columns
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_toxicity", score_column(model)).filter(F.col("_toxicity") < THRESHOLD).select(*columns)
+    scored = packed(docs).select("row", score_column(model, "row.text").alias("score"))
+    return scored.filter(F.col("score") < THRESHOLD).select("row.*")

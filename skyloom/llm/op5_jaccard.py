@@ -20,10 +20,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, packed, table
 from .components import components
 from .signature_tree import Union, enough, joined, overlap
 
@@ -65,6 +65,10 @@ def order_tokens(s: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     return np.concatenate([s[sampled], s[~sampled][:lack]]) if lack > 0 else s[sampled]
 
 
+def _mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -74,7 +78,8 @@ def _bits(cls: bytes) -> list[int]:
 
 
 def _reduced(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(rid, doc_id, n, cls, toks): one row a document; toks only at the first document of its class in a partition."""
+    """(rid, doc_id, mark, n, cls, toks): one row a document; toks only at the first document of its class in a partition.
+    ``mark`` is a hash of the text that Spark can compute again."""
 
     def each(batches):
         seen: set[bytes] = set()
@@ -88,9 +93,9 @@ def _reduced(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                 toks.append(None if c is None or c in seen else _signed(order_tokens(s, num, den)))
                 if c is not None:
                     seen.add(c)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": n, "cls": cls, "toks": toks})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "n": n, "cls": cls, "toks": toks})
 
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(each, "doc_id long, n long, cls binary, toks array<long>")
+    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _mark(F.col("text")).alias("mark")).mapInPandas(each, "doc_id long, mark long, n long, cls binary, toks array<long>")
     return made.select(F.monotonically_increasing_id().alias("rid"), "*")
 
 
@@ -217,6 +222,11 @@ def _across(num: int, den: int):
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; ``num`` / ``den`` is the least similarity."""
+    return _rows(docs, words, num, den, chunk, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, n_shingles, component_id, root) of every document; root names the component even where no id does."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     reduced = materialize(_reduced(docs, words, num, den), "shingle-tokens")
     classes = materialize(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id")), "shingle-classes")
@@ -234,10 +244,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
         edges = edges.unionByName(_cross_links(large, found, members, chunk, num, den))
         found = materialize(components(edges), "components")
     in_one = classes.join(found, "node").groupBy("root").agg(F.min("least_id").alias("component"))
-    by_class = classes.join(found, "node", "left").join(in_one, "root", "left").select("cls", F.coalesce("component", "least_id").alias("component"))
-    plain = reduced.filter(F.col("cls").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "n", "cls").join(materialize(by_class, "component-of-class"), "cls")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id")).unionByName(plain)
+    by_class = classes.join(found, "node", "left").join(in_one, "root", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
+    plain = reduced.filter(F.col("cls").isNull()).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("root"))
+    linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "mark", "n", "cls").join(materialize(by_class, "component-of-class"), "cls")
+    return linked.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "root").unionByName(plain)
 
 
 def _cross_links(large: DataFrame, found: DataFrame, members: DataFrame, chunk: int, num: int, den: int) -> DataFrame:
@@ -262,9 +272,19 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near duplicates the document with the smallest id, with its columns.
 
-    Rows that repeat an id in one group are one document; rows with a null id are kept only if nothing smaller is linked.
+    A null id comes after all others; rows that repeat an id and a text are one document, and of rows that repeat an id alone the one with the
+    smaller hash of its text stays. Documents without words are linked with nothing and stay.
     """
-    columns = docs.columns
-    kept = jaccard_components(docs).filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    first = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return first.select(*columns)
+    told = _rows(docs).groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
+    first = told.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n")).alias("x")).select("x.*")
+    picked = materialize(first.select(_row_key(F.col("doc_id"), F.col("mark")).alias("key"), "n"), "kept-documents")
+    rows = packed(docs).select("row", _row_key(F.col("row.doc_id"), _mark(F.col("row.text"))).alias("key"))
+    once = rows.join(picked.filter("n = 1").select("key").hint("shuffle_hash"), "key", "left_semi").select("row.*")
+    # rows that repeat: few as a rule, so that this join's other side is sent round and no text moves
+    more = picked.filter("n > 1").select("key").distinct()
+    repeated = rows.join(more, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return once.unionByName(repeated)
+
+
+def _row_key(doc_id: Column, mark: Column) -> Column:
+    return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), mark.cast("string"))

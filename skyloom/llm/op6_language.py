@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, trainable
+from .common import held_out, packed, table, trainable
 
 BITS = 14
 FEATURES = 1 << BITS
@@ -202,6 +202,5 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents whose language is found with enough certainty, with their columns."""
-    columns = docs.columns
-    found = docs.withColumn("_language", _predict_column(fit(docs)))
-    return found.filter((F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= LEAST_SCORE)).select(*columns)
+    found = packed(docs).select("row", _predict_column(fit(docs), "row.text").alias("p"))
+    return found.filter((F.col("p.lang_pred") != UNDETERMINED) & (F.col("p.score") >= LEAST_SCORE)).select("row.*")

@@ -16,7 +16,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, packed, table
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -206,15 +206,15 @@ def _redacted(spans: Column, text: Column) -> Column:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, with every span replaced by its kind in brackets. A null text stays null."""
-    columns = docs.columns
     told = materialize(mentions(docs), "pii-mentions")
-    added = discovered(told).groupBy("key").agg(F.collect_list(F.struct("kind", "s", "e")).alias("_added"))
-    kind = "array<struct<kind: string, s: int, e: int>>"
-    text = F.coalesce(F.col("text"), F.lit(""))
+    added = discovered(told).groupBy("key").agg(F.collect_list(F.struct("kind", "s", "e")).alias("added"))
+    none = F.expr("cast(array() as array<struct<kind: string, s: int, e: int>>)")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
     open_ = reduce(lambda a, b: a | b, (text.rlike(p) for p in CANDIDATE_NEEDS.values()))
-    plain = docs.filter(~open_).withColumn("_added", F.expr(f"cast(array() as {kind})"))
-    joined = docs.filter(open_).withColumn("key", _key(F.col("doc_id"), text)).join(added, "key", "left").withColumn("_added", F.coalesce("_added", F.expr(f"cast(array() as {kind})")))
-    spans = with_base_spans(plain.select(*columns, "_added").unionByName(joined.select(*columns, "_added")))
-    base = F.concat(*(F.transform(f"_{k}", partial(_placed, k)) for k in KINDS))
-    done = spans.withColumn("_all", F.concat(base, F.col("_added")))
-    return done.withColumn("text", F.when((F.size("_all") == 0) | F.col("text").isNull(), F.col("text")).otherwise(_redacted(F.col("_all"), F.col("_t")))).select(*columns)
+    rows = packed(docs)
+    plain = rows.filter(~open_).select("row", none.alias("added"))
+    joined = rows.filter(open_).withColumn("key", _key(F.col("row.doc_id"), text)).join(added, "key", "left").select("row", F.coalesce("added", none).alias("added"))
+    spans = with_base_spans(plain.unionByName(joined), "row.text")
+    done = spans.withColumn("_all", F.concat(*(F.transform(f"_{k}", partial(_placed, k)) for k in KINDS), "added"))
+    new = F.when((F.size("_all") == 0) | F.col("row.text").isNull(), F.col("row.text")).otherwise(_redacted(F.col("_all"), F.col("_t")))
+    return done.select(*((new if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns))
