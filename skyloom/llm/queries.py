@@ -14,4 +14,21 @@ from .op9_embedding_dedup import op9_embedding_dedup
 from .op10_licenses import op10_licenses
 
 QUERIES = {f.__name__: f for f in (op1_ann, op2_token_counts, op3_toxicity, op4_packing, op5_jaccard, op6_language, op7_bpe, op8_pii, op9_embedding_dedup, op10_licenses)}
-ORACLE_SQL: dict[str, str] = {}
+#: Classes of linked rows: every row with all it reaches.
+_REACHED = """both_ways as (select a, b from links union all select b, a from links),
+ reached as (select id, id as root from ids union select r.id, l.b from reached r join both_ways l on l.a = r.root)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard": f"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+ s as (select doc_id, list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from w),
+ e as (select doc_id, unnest(g) as x from s),
+ pairs as (select a.doc_id as a, b.doc_id as b, count(*) as c from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by all),
+ links as (select a, b from pairs join s p on p.doc_id = a join s q on q.doc_id = b where 100 * c >= 80 * (len(p.g) + len(q.g) - c)),
+ ids as (select doc_id as id from documents), {_REACHED}
+ select s.doc_id, len(s.g)::bigint as n_shingles, m.root as component_id from s join (select id, min(root) as root from reached group by id) m on m.id = s.doc_id""",
+    "op9_embedding_dedup": f"""with recursive v as (select vec_id as id, embedding::double[] as x from embeddings),
+ links as (select p.id as a, q.id as b from v p join v q on p.id < q.id where list_dot_product(p.x, q.x) / sqrt(list_dot_product(p.x, p.x)) / sqrt(list_dot_product(q.x, q.x)) >= 0.9),
+ ids as (select id from v), {_REACHED}
+ select v.id as vec_id, coalesce(n.n, 0)::bigint as n_links, m.root as component_id, v.id = m.root as kept from v join (select id, min(root) as root from reached group by id) m on m.id = v.id
+ left join (select a, count(*) as n from both_ways group by a) n on n.a = v.id""",
+}
