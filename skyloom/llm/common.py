@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def collected(df: DataFrame) -> pd.DataFrame:
+    """A result of bounded size on the driver, by Arrow: no row becomes Python objects on the way."""
+    return df.toArrow().to_pandas()
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """All columns in one struct ``row``, so that no name of theirs meets one of ours; ``row.*`` brings them back."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, packed, table, trainable
+from .common import collected, held_out, materialize, packed, table, trainable
 
 _WORD = regex.compile(r"\w+")
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs)).withColumn("is_p", F.coalesce("is_p", F.lit(False)))
     # candidates: features of enough positive texts, so that those of unlabelled texts needn't be gathered
     in_p = sampled.filter("is_p").select(F.explode(_keys_column(None)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DF)
-    candidates = in_p.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES).toPandas()["key"].to_numpy()
+    candidates = collected(in_p.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES))["key"].to_numpy()
     drawn = sampled.filter(F.col("is_p") | F.col("is_u"))
     rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column(np.sort(candidates)).alias("keys")), "toxicity-sample")
     n_p, n_u = rows.agg(F.sum(F.col("is_p").cast("long")), F.sum(F.col("is_u").cast("long"))).first()
@@ -147,10 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     told = by_key.withColumn("z", F.abs(rate_p - rate_u) / spread).filter("z > 2.5").orderBy(F.desc("z"), "key").limit(MAX_FEATURES).select("key")
     told = materialize(told, "toxicity-features")  # MAX_FEATURES rows at most
     lean = rows.select("doc_id", "is_p", "is_u", F.explode("keys").alias("key")).join(F.broadcast(told), "key").groupBy("doc_id", "is_p", "is_u").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    got = rows.select("doc_id", "is_p", "is_u").distinct().join(lean, ["doc_id", "is_p", "is_u"], "left").toPandas().sort_values(["doc_id"], kind="stable")
+    got = collected(rows.select("doc_id", "is_p", "is_u").distinct().join(lean, ["doc_id", "is_p", "is_u"], "left")).sort_values(["doc_id"], kind="stable")
     arrays = [np.asarray(x, dtype=np.int64) if x is not None else np.empty(0, np.int64) for x in got["keys"]]
     of = lambda c: [a for a, yes in zip(arrays, got[c], strict=True) if yes]
-    return train_pu(of("is_p"), of("is_u"), prior, told.toPandas()["key"].to_numpy())
+    return train_pu(of("is_p"), of("is_u"), prior, collected(told)["key"].to_numpy())
 
 
 def score_column(model: Model, text_col: str = "text"):

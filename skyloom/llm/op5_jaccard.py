@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, packed, table
+from .common import collected, materialize, packed, table
 from .components import components
 from .signature_tree import Union, enough, joined, overlap
 
@@ -136,7 +136,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame({"word": word[starts], "bits": bits.view(np.int64)})
 
     # at most FILTER_BITS / 64 rows, whatever the input
-    found = nodes.select("cls").mapInPandas(positions, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    found = collected(nodes.select("cls").mapInPandas(positions, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")))
     filter_ = np.zeros(FILTER_BITS // 64, np.int64)
     filter_[found["word"].to_numpy()] = found["bits"].to_numpy()
     sent = spark.sparkContext.broadcast(filter_.view(np.uint64))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, packed, table, trainable
+from .common import collected, held_out, packed, table, trainable
 
 BITS = 14
 FEATURES = 1 << BITS
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"feature": np.append(at, -1), "n": np.append(total[at], n)})
 
-    found = known.select("text").mapInPandas(frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    found = collected(known.select("text").mapInPandas(frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")))
     df = np.zeros(FEATURES)
     inside = found["feature"] >= 0
     df[found["feature"][inside].to_numpy()] = found["n"][inside].to_numpy()
@@ -164,7 +164,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         at = [np.flatnonzero(c).astype(np.int32) if c is not None else np.empty(0, np.int32) for c in made]
         return pd.DataFrame({"features": at, "n": [c[i].astype(np.int32) if c is not None else np.empty(0, np.int32) for c, i in zip(made, at, strict=True)]})
 
-    sample = known.filter(draw < least).limit(2 * per_language * len(languages)).select("doc_id", "lang", sparse.asNondeterministic()("text").alias("s")).select("doc_id", "lang", "s.*").toPandas().sort_values("doc_id", kind="stable", ignore_index=True)
+    drawn = known.filter(draw < least).select("doc_id", "lang", sparse.asNondeterministic()("text").alias("s")).select("doc_id", "lang", "s.*")
+    sample = collected(drawn).sort_values("doc_id", kind="stable", ignore_index=True)
     rows = []
     for at, n, lang in zip(sample["features"], sample["n"], sample["lang"], strict=True):
         at, n = np.asarray(at, np.int64), np.asarray(n, float)
