@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 ARROW_ROWS = 256
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker gets at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` below ``sf_dir``, read by Spark alone (the path may be remote)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +48,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage, so a lost executor costs only the rereading of files, and a plan that is used twice runs once.
     """
+    small_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -55,6 +61,7 @@ def collected(df: DataFrame) -> pd.DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """All columns in one struct ``row``, so that no name of theirs meets one of ours; ``row.*`` brings them back."""
+    small_batches(docs.sparkSession)
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 #: Base phrases and their labels (fixed values).
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -160,6 +160,7 @@ _COLUMNS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labe
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the columns of :func:`scan` for every document."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, permissive boolean")
     def scan_all(texts: pd.Series) -> pd.DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Decoder_of, digests, transducer_for
-from .common import table
+from .common import small_batches, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,6 +24,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text."""
+    small_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     @F.pandas_udf("array<int>")
@@ -48,6 +49,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoding and decoding in one streaming pass."""
+    small_batches(docs.sparkSession)
     path = path or vocabulary_path()
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
