@@ -35,8 +35,13 @@ def by_id(primary: DataFrame, source: DataFrame, name: str, key: str = "gaia_id"
     if other is None:
         return primary
     require(primary, key)
-    cast = (lambda c: parse_id(c).cast("double")) if compat and not exact else parse_id
-    return join_on(primary, source, name, lambda: cast(key), lambda: cast(other), how, compat)
+
+    def made(df: DataFrame, c: str) -> Column:
+        # numbers are ids as they stand; only text is searched for one
+        value = F.col(c).cast("bigint") if dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") else parse_id(c)
+        return value.cast("double") if compat and not exact else value
+
+    return join_on(primary, source, name, lambda: made(primary, key), lambda: made(source, other), how, compat)
 
 
 def by_name(primary: DataFrame, source: DataFrame, name: str, key: str = "name", how: str = "left", compat: bool = False) -> DataFrame:

@@ -54,7 +54,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @query("select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity > 45")
 def scan_project(spark, d):
-    return scan.scan_parquet(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"]).filter("l_quantity > 45")
+    return scan.scan_parquet(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_quantity"], "l_quantity > 45")
 
 
 @query("select p_partkey, p_name, round(p_retailprice, 6) as p_retailprice from part")

@@ -29,10 +29,15 @@ def modified(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
     return [(x.getModificationTime(), x.getPath().toString()) for x in fs.listStatus(at)] if fs.exists(at) else []
 
 
-def scan_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Strict about ``columns``; NaN becomes null."""
+def scan_parquet(spark: SparkSession, path: str, columns: Iterable[str] | None = None, where: str | None = None) -> DataFrame:
+    """Strict about ``columns``; NaN becomes null.
+
+    ``where`` reaches the scan as a pushed filter; it's asked again after NaN became null, for NaN is larger than all numbers to Spark.
+    """
     df = spark.read.parquet(path)
-    return nan_to_null(df.select(*columns) if columns else df)
+    df = df.filter(where) if where else df
+    df = nan_to_null(df.select(*columns) if columns else df)
+    return df.filter(where) if where else df
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -25,6 +25,13 @@ def test_csv_parquet_and_fallback(spark, tmp_path):
         scan.parquet_to_csv(spark, path["parquet"], "x.csv", "zip")
 
 
+def test_filter_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, 50.0), (2, float("nan")), (3, None), (4, 1.0)], "k int, x double").write.parquet(str(tmp_path / "t"))
+    df = scan.scan_parquet(spark, str(tmp_path / "t"), ["k", "x"], "x > 45")
+    assert [tuple(r) for r in df.collect()] == [(1, 50.0)]
+    assert "GreaterThan(x,45.0)" in df._jdf.queryExecution().toString()
+
+
 def test_stages(spark, tmp_path):
     df = spark.range(3)
     assert scan.latest_stage(spark, str(tmp_path)) is None
