@@ -10,18 +10,23 @@ subfolder a tokenizer; two writers may append the same digest, which reading rem
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import SPACE, byte_alphabet
 from .common import fresh_path, materialize, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
+#: Words kept in a worker's memo before it is emptied.
+MEMO_WORDS = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -30,6 +35,40 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class WordCounter:
+    """Counts of a tokenizer that lower-cases, drops white space and merges within words only: a word's count doesn't depend on
+    its surroundings, so it's kept in a memo of bounded size. Normalising and merging are the library's own; only the split is done here, by
+    the pattern of the file. Texts that hold a special string go through the library whole."""
+
+    def __init__(self, spec: dict, library):
+        self.library, self.memo = library, {}
+        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE))
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.letter = {b: c for c, b in byte_alphabet().items()}
+
+    @staticmethod
+    def fits(spec: dict) -> bool:
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        kinds = [(x["type"], x.get("behavior"), x.get("invert"), x.get("use_regex")) for x in steps]
+        clean = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers") or []] == ["NFC", "Replace", "Lowercase"]
+        return clean and kinds == [("Split", "Removed", True, None), ("ByteLevel", None, None, False)] and spec.get("post_processor") is None
+
+    def __call__(self, text: str) -> int:
+        if any(s in text for s in self.specials):
+            return len(self.library.encode(text, add_special_tokens=False).ids)
+        # plain ASCII has no other normal form
+        plain = text.lower() if text.isascii() else self.library.normalizer.normalize_str(text)
+        memo, total = self.memo, 0
+        for w in self.split.findall(plain):
+            n = memo.get(w)
+            if n is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                n = memo[w] = len(self.library.model.tokenize("".join([self.letter[b] for b in w.encode("utf-8", "replace")])))
+            total += n
+        return total
+
+
 @lru_cache(maxsize=4)
 def _counter(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,7 +82,12 @@ def _counter(path: str):
     made = Tokenizer.from_file(path)
     made.no_truncation()
     made.no_padding()
-    return lambda texts: [len(made.encode(t, add_special_tokens=False).ids) for t in texts]
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    if WordCounter.fits(spec):
+        count = WordCounter(spec, made)
+        return lambda texts: [count(t) for t in texts]
+    return lambda texts: [len(e) for t in texts for e in made.encode_batch_fast([t], add_special_tokens=False)]
 
 
 def tokenizer_digest(path: str) -> str:

@@ -98,6 +98,21 @@ def test_normalising_keeps_the_count(text):
     assert counted(re.sub(r"[\t\n\x0b\f\r ]+", " ", text).strip(" ")) == counted(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(list("abT' LRSVE\n\t1é漢!<|>Σσǆ")), st.characters(codec="utf-8")), max_size=60))
+def test_word_memo_counts_as_the_library(text):
+    assert o2._counter(o2.vocabulary_path())([text]) == [counted(text)]
+
+
+def test_counts_by_other_files():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["", "Some words, é 漢字.", " x  y "]
+    assert o2._counter(path)(texts) == [len(sentencepiece.SentencePieceProcessor(model_file=path).encode(t)) for t in texts]
+    assert o2._counter(PATH)(texts) == [len(ids_of(t)) for t in texts]
+
+
 def check_packing(rows, texts, capacity):
     by_doc, by_sequence = {}, {}
     for r in rows:
