@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import columns, joins, missing, physics
 from ..operators.sky import cone_join
+from .pipeline import catalog_merge, merged
 
 
 class Registry:
@@ -32,7 +33,11 @@ class Registry:
         return {"name": name, "doc": (self.get(name).__doc__ or "").strip()}
 
 
-STRATEGIES = Registry(joins.STRATEGIES | {n: cone_join for n in ("cone_search", "coordinate_match", "position_match", "astrometric_match")})
+#: Positions, catalogs by their names, and the whole pipeline; aliases are one strategy under several names (fixed values).
+POSITION_STRATEGIES = ("cone_search", "coordinate_match", "position_match", "astrometric_match")
+CATALOG_STRATEGIES = ("exoplanet_catalog", "candidate_validation", "stellar_parameters", "mission_data")
+PIPELINE_STRATEGIES = ("comprehensive_merge", "multi_catalog_merge", "unified_ingestion", "unified", "baseline", "gaia_enriched")
+STRATEGIES = Registry(joins.STRATEGIES | {n: cone_join for n in POSITION_STRATEGIES} | {n: catalog_merge for n in CATALOG_STRATEGIES} | {n: merged for n in PIPELINE_STRATEGIES})
 
 
 def _if_there(names: Iterable[str], step: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:

@@ -486,6 +486,25 @@ def downcast(spark, d):
     return missing.narrow_types(_table(spark, d, "lineitem").drop("l_shipdate", "l_commitdate", "l_receiptdate"))
 
 
+@query(f"""select row_idx, round((((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double
+ + coalesce((g.ruwe < 1.4)::int, 0) + coalesce((g.parallax_error <> 0 and g.parallax / nullif(g.parallax_error, 0) > 5.0)::int, 0)) / 3, 6) as overall_quality_score from prim left join gaia g on {_ID} = g.gaia_dr2_source_id""")
+def overall_quality(spark, d):
+    flagged = quality.add_gaia_flags(joins.by_id(view(spark, d, "prim"), view(spark, d, "gaia"), "gaia"), "gaia")
+    return quality.add_overall_quality(quality.add_completeness(flagged)).select("row_idx", r("overall_quality_score"))
+
+
+@query("select row_idx, true as has_st_data, true as has_pl_data, gaia_id is not null as has_gaia_data from prim")
+def prefix_provenance(spark, d):
+    return missing.add_prefix_provenance(view(spark, d, "prim")).select("row_idx", "has_st_data", "has_pl_data", "has_gaia_data")
+
+
+@query("""select row_idx, round(case when st_tefferr2 is null then st_tefferr1 else (st_tefferr1 + abs(st_tefferr2)) / 2 end, 6) as sigma_mc,
+ round(case when st_tefferr2 is not null then (st_tefferr1 + abs(st_tefferr2)) / 2 else st_tefferr1 end, 6) as err_measurement, round(abs(st_tefferr2) / 2, 6) as lower_only from prim""")
+def error_rules(spark, d):
+    one, two, null = F.col("st_tefferr1"), F.col("st_tefferr2"), F.lit(None).cast("double")
+    return view(spark, d, "prim").select("row_idx", r(montecarlo.sigma(one, two), "sigma_mc"), r(normalize.err_measurement(one, two), "err_measurement"), r(normalize.err_measurement(null, two), "lower_only"))
+
+
 # entity tables
 
 _FIRST = "(select *, row_number() over (partition by {key} order by _row_idx) as k from wide)"

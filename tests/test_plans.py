@@ -121,7 +121,7 @@ def test_graph_round_trip(tmp_path):
 
 
 def test_registries():
-    assert {"gaia_source_id", "cone_search"} <= set(STRATEGIES.listed())
+    assert {"gaia_source_id", "cone_search", "mission_data", "baseline"} <= set(STRATEGIES.listed())
     PREPROCESSORS.register("own", lambda d: d)
     assert PREPROCESSORS.info("own")["name"] == "own"
     PREPROCESSORS.unregister("own")
@@ -159,6 +159,22 @@ def test_cli_and_settings(spark, tmp_path, monkeypatch, capsys):
     assert settings.load(root=str(tmp_path)).workers == 9
 
 
+def test_routes():
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from skyloom.plans.api import server
+
+    s = server(port=0)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{s.server_address[1]}"
+    assert urllib.request.urlopen(f"{base}/health").read() == b'{"status": "ok"}'
+    with pytest.raises(urllib.error.HTTPError):
+        urllib.request.urlopen(f"{base}/nowhere")
+    s.shutdown()
+
+
 def test_stream(spark, tmp_path):
     schema = "pl_name string, at timestamp, st_teff double, st_lum double, st_rad double, pl_orbsmax double, pl_rade double, pl_masse double"
     rows = [(" A ", 5000.0), ("a", 5100.0), ("b", 5200.0)]
