@@ -31,7 +31,7 @@ LEAST_DF, MAX_FEATURES = 5, 3000
 MAX_CANDIDATES = 200_000
 THRESHOLD = 0.3
 #: Words' features kept in a worker's memo before it is emptied.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 
 
 def features_of_word(word: str) -> list[int]:
