@@ -39,6 +39,12 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def read_vocabulary(spec: dict) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ids of tokens as bytes, and of special strings."""
+    back = byte_alphabet()
+    return {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items()}, {t["content"]: t["id"] for t in spec["added_tokens"]}
+
+
 class Merges:
     """A vocabulary file's tables by id: bytes of each token, and rank and result of each pair."""
 
@@ -46,8 +52,7 @@ class Merges:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         back = byte_alphabet()
-        vocab = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items()}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        vocab, self.special = read_vocabulary(spec)
         self.bytes_of: dict[int, bytes] = {i: b for b, i in vocab.items()} | {i: s.encode() for s, i in self.special.items()}
         self.byte_id = [vocab[bytes([b])] for b in range(256)]
         self.vocab = vocab
