@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Arrow batches stay small because a document may be very long.
 ARROW_ROWS = 256
+_written: list[str] = []
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -50,10 +51,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     small_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes what :func:`materialize` wrote in this application. Frames that read it can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        at = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        at.getFileSystem(conf).delete(at, True)
+
+
 def collected(df: DataFrame) -> pd.DataFrame:
     """A result of bounded size on the driver, by Arrow: no row becomes Python objects on the way."""
     return df.toArrow().to_pandas()

@@ -2,8 +2,8 @@
 
 Letters are lower-cased, all else becomes a space, and n-grams of one to three characters are hashed into a fixed
 number of features. Document frequencies are counted over all training documents. The weights are learned by
-follow-the-regularised-leader with elastic-net penalties from a bounded sample by language, and a temperature is
-fitted on a part of that sample which the weights don't see.
+follow-the-regularised-leader with elastic-net penalties from a bounded sample of each of the most frequent languages, and a
+temperature is fitted on a part of that sample which the weights don't see.
 
 A text that is null or has no letter is ``und`` with score 0. Repeated rows and null ids are kept; rows with a null
 id or language never train. Without any training row every text with letters is ``und`` as well.
@@ -25,6 +25,8 @@ BITS = 14
 FEATURES = 1 << BITS
 #: Training documents a language.
 PER_LANGUAGE = 1500
+#: Languages that can be learned, the most frequent ones: bounds the weights.
+MAX_LANGUAGES = 200
 UNDETERMINED = "und"
 #: The pipeline keeps documents whose language is at least so certain.
 LEAST_SCORE = 0.5
@@ -130,7 +132,8 @@ def fit_temperature(z: np.ndarray, y: np.ndarray) -> float:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from (doc_id, text, lang) outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").filter(trainable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by_language = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    by_language = {r["lang"]: r["n"] for r in frequent.collect()}
     languages = sorted(by_language)
     if not languages:
         return Model([], np.zeros(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from skyloom.llm import common
 from skyloom.llm import op1_ann as o1
 from skyloom.llm import op5_jaccard as o5
 from skyloom.llm import op9_embedding_dedup as o9
@@ -36,6 +37,16 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_written_tables_can_be_cleaned(spark):
+    import os
+
+    df = common.materialize(spark.range(3), "t")
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert df.count() == 3 and os.path.exists(path)
+    common.clean(spark)
+    assert not os.path.exists(path)
+
+
 def test_dual_traversal_finds_all_components():
     draw = np.random.default_rng(2)
     sets = []
