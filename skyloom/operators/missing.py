@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_name
 from .columns import ending, filled, first, numeric_columns
+from .quantiles import exact_quantiles, modes
 
 #: Groups of columns that tend to be missing together (fixed values).
 PATTERNS = {
@@ -84,15 +85,19 @@ def drop_sparse(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 def impute(df: DataFrame, strategy: str, columns=None) -> DataFrame:
     """``mean`` or ``median`` of numeric columns, or ``mode`` of all (the lowest on ties, zero if there's none); another strategy changes nothing.
 
-    The statistics of all columns come from one job and are joined as one row.
+    Means come from one job; medians and modes as quantiles.py says.
     """
     names = list(columns) if columns is not None else df.columns if strategy == "mode" else numeric_columns(df)
-    statistic = {"mean": F.avg, "median": lambda c: F.percentile(c, F.lit(0.5)), "mode": lambda c: F.mode(c, True)}.get(strategy)
-    if statistic is None or not names:
+    if strategy not in ("mean", "median", "mode") or not names:
         return df
-    row = df.agg(*(statistic(F.col(c)).alias(str(k)) for k, c in enumerate(names))).first()
+    if strategy == "mean":
+        row = df.agg(*(F.avg(c).alias(str(k)) for k, c in enumerate(names))).first()
+        fill = dict(zip(names, row, strict=True))
+    elif strategy == "median":
+        fill = {c: v[0] for c, v in exact_quantiles(df, names, [0.5]).items()}
+    else:
+        fill = {c: 0 if v is None else v for c, v in modes(df, names).items()}
     kinds = dict(df.dtypes)
-    fill = {c: row[k] if row[k] is not None else (0 if strategy == "mode" else None) for k, c in enumerate(names)}
 
     def filled_in(c):
         if c not in fill or fill[c] is None:

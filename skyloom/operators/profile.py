@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .columns import filled, numeric_columns
 from .normalize import PLANET_MEASURES
 from .quality import KEY_PARAMETERS
+from .quantiles import exact_quantiles
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -33,10 +34,10 @@ def value_counts(df: DataFrame, columns=None, most: int = 20) -> DataFrame:
 def describe(df: DataFrame, columns=None) -> DataFrame:
     """(column, n, mean, std, min, q25, q50, q75, max) of numeric columns; quartiles are exact."""
     names = numeric_columns(df) if columns is None else list(columns)
-    parts = []
+    quartiles, parts = exact_quantiles(df, names, [0.25, 0.5, 0.75]), []
     for c in names:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = [F.lit(v).cast("double") for v in quartiles[c]]
         parts.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(x).alias("max")))
     return df.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 

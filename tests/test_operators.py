@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from skyloom.functions import astro, text
 from skyloom.operators import columns, joins, missing, montecarlo, normalize, physics, profile, quality, sky, tiers, units
 
+from skyloom.operators.quantiles import exact_quantiles, modes
+
 
 def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
@@ -148,6 +150,16 @@ def test_imputation_and_sparse_columns(spark):
     assert {r.e for r in empty.collect()} == {0.0}
 
 
+@pytest.mark.parametrize("small", [3, 40, 10**6])
+def test_quantiles_are_exact_however_small_the_band(spark, small):
+    draw = np.random.default_rng(1)
+    x = np.concatenate([draw.standard_normal(500), np.full(300, 0.25), [1e9, -1e9]])
+    df = frame(spark, [(float(v), None) for v in x], "x double, e double")
+    got = exact_quantiles(df, ["x", "e"], [0.0, 0.16, 0.5, 0.75, 1.0], small)
+    assert got["x"] == pytest.approx(list(np.quantile(x, [0.0, 0.16, 0.5, 0.75, 1.0])), rel=1e-12)
+    assert got["e"] == [None] * 5 and modes(df, ["x", "e"]) == {"x": 0.25, "e": None}
+
+
 def test_narrowing_keeps_values(spark):
     df = frame(spark, [(1, 0.5, 1 << 40), (-128, 0.1, 0)], "a long, b double, c long")
     got = missing.narrow_types(df.select("a", "c", F.when(F.col("b") == 0.5, 0.25).otherwise(0.5).alias("b"), F.col("b").alias("d")))
