@@ -1,8 +1,8 @@
 """Nearest neighbours on the sphere within a tolerance.
 
-Two physical forms give the same rows: all pairs against a broadcast source, for a source whose counted rows stay under a bound,
+Two physical forms give the same rows: all pairs against a broadcast source, for a source of a few counted rows,
 and a grid of declination bands and right-ascension cells, in which each source row is put into its cell's neighbours too.
-The grid's equi-join splits hot cells under adaptive execution and grows with the rows, not with their product.
+The grid's equi-join grows with the rows, not with their product; Spark broadcasts a small source in it by itself and splits hot cells of a large one.
 
 ``compat`` compares the separation in radians with a tolerance in degrees, as the eager system does: a nominal
 3 arc seconds then reach 172.
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.astro import moved, separation
 from .columns import coordinates, first, prefixed, with_row_index
 
-#: Sources up to so many rows are broadcast.
-BROADCAST_ROWS = 20_000
+#: Sources up to so many rows meet all rows of the primary table.
+BROADCAST_ROWS = 64
 
 
 def corrected(source: DataFrame, years: float | bool) -> DataFrame:
@@ -34,14 +34,15 @@ def corrected(source: DataFrame, years: float | bool) -> DataFrame:
 
 
 def nearest(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat: bool = False, form: str = "auto", left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
-    """(left_id, right_id, sep): each primary row's closest source row within the tolerance, ties to the smaller id.
+    """(left_id, right_id, sep): each primary id's closest source row within the tolerance, ties to the smaller id.
 
     Rows without a position take no part. ``sep`` is in radians.
     """
     p_at, s_at = coordinates(primary), coordinates(source)
     s_at = tuple(f"{c}_corrected" if f"{c}_corrected" in source.columns else c for c in s_at)
     limit = arcsec / 3600 if compat else math.radians(arcsec / 3600)
-    p = primary.select(left_id, F.col(p_at[0]).alias("p_ra"), F.col(p_at[1]).alias("p_dec")).dropna()
+    # a row that earlier joins have repeated is matched once
+    p = primary.select(left_id, F.col(p_at[0]).alias("p_ra"), F.col(p_at[1]).alias("p_dec")).dropna().dropDuplicates([left_id])
     s = source.select(right_id, F.col(s_at[0]).alias("s_ra"), F.col(s_at[1]).alias("s_dec")).dropna()
     if form == "auto":
         form = "broadcast" if source.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "grid"
