@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize_narrow
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,10 +33,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Null ends and loops are left out; repeated edges count once; an empty table gives no rows.
     """
-    now = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
+    now = materialize_narrow(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        now = materialize(_small_star(materialize(_large_star(now), "edges")), "edges")
+        now = materialize_narrow(_small_star(materialize_narrow(_large_star(now), "edges")), "edges")
         before, mark = mark, _mark(now)
         if mark == before:
             break

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import collected, materialize, packed, table
+from .common import collected, materialize, materialize_narrow, packed, table
 from .components import components
 from .signature_tree import Union, enough, joined, overlap
 
@@ -103,14 +103,14 @@ def _blocks(reduced: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
     """(block, node): classes that share a token of their first fifths, under the smallest of them."""
     # partial sums before the exchange; only tokens of two rows or more come back
     entries = reduced.filter(F.col("toks").isNotNull()).select("rid", F.explode("toks").alias("h"))
-    counted = materialize(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "shared-tokens")
+    counted = materialize_narrow(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "shared-tokens")
     shared = entries.join(counted, "h")
     sampled = f"pmod(h, {SAMPLED}) = 0"
     sizes = reduced.filter(F.col("toks").isNotNull()).select("rid", "cls", F.expr(f"size(filter(toks, h -> {sampled}))").alias("in_sample"), (F.col("n") - F.ceil(num * F.col("n") / den) + 1).cast("long").alias("fifth"))
-    first_shared = materialize(_in_first_fifth(shared.withColumn("sampled", F.expr(sampled)), sizes), "first-tokens")
-    by_node = materialize(first_shared.join(classes.select("cls", "node"), "cls").select("h", "node").distinct(), "first-tokens")
+    first_shared = materialize_narrow(_in_first_fifth(shared.withColumn("sampled", F.expr(sampled)), sizes), "first-tokens")
+    by_node = materialize_narrow(first_shared.join(classes.select("cls", "node"), "cls").select("h", "node").distinct(), "first-tokens")
     least = by_node.groupBy("h").agg(F.min("node").alias("block"), F.count("*").alias("k")).filter("k > 1").select("h", "block")
-    return by_node.join(materialize(least, "blocks-by-token"), "h").select("block", "node").distinct()
+    return by_node.join(materialize_narrow(least, "blocks-by-token"), "h").select("block", "node").distinct()
 
 
 def _in_first_fifth(shared: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -229,24 +229,24 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     """(doc_id, mark, n_shingles, component_id, root) of every document; root names the component even where no id does."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     reduced = materialize(_reduced(docs, words, num, den), "shingle-tokens")
-    classes = materialize(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id")), "shingle-classes")
-    blocks = materialize(_blocks(reduced, classes, num, den), "blocks")
+    classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id")), "shingle-classes")
+    blocks = materialize_narrow(_blocks(reduced, classes, num, den), "blocks")
     members = materialize(_sets(docs, blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), words), "block-sets")
     sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    dealt = materialize(blocks.join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), "chunks")), "chunks")
+    dealt = materialize_narrow(blocks.join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), "chunks")), "chunks")
     # a block's own class goes to each of its chunks
     spread = dealt.filter("node != block").select("block", "chunk", "node").unionByName(dealt.filter("node = block").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node"))
     edges = spread.join(members, "node").select("block", "chunk", "node", "toks").repartition("block", "chunk").sortWithinPartitions("block", "chunk").mapInPandas(_within(num, den), "a long, b long")
-    edges = materialize(edges.distinct(), "links")
-    found = materialize(components(edges), "components")
+    edges = materialize_narrow(edges.distinct(), "links")
+    found = materialize_narrow(components(edges), "components")
     large = dealt.filter("chunks > 1")
     if large.limit(1).count():
         edges = edges.unionByName(_cross_links(large, found, members, chunk, num, den))
-        found = materialize(components(edges), "components")
+        found = materialize_narrow(components(edges), "components")
     in_one = classes.join(found, "node").groupBy("root").agg(F.min("least_id").alias("component"))
     by_class = classes.join(found, "node", "left").join(in_one, "root", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
     plain = reduced.filter(F.col("cls").isNull()).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("root"))
-    linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "mark", "n", "cls").join(materialize(by_class, "component-of-class"), "cls")
+    linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "mark", "n", "cls").join(materialize_narrow(by_class, "component-of-class"), "cls")
     return linked.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "root").unionByName(plain)
 
 
@@ -257,12 +257,12 @@ def _cross_links(large: DataFrame, found: DataFrame, members: DataFrame, chunk:
     by_root = rooted.groupBy("block", "root").agg(F.count("*").alias("k"))
     main = by_root.groupBy("block").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots"), F.sum("k").alias("k_all"), F.max("k").alias("k_main")).filter("roots > 1")
     main = main.select("block", "main", F.ceil((F.col("k_all") - F.col("k_main")) / chunk).alias("minor_chunks"))
-    here = materialize(rooted.join(main, "block"), "open-chunks")
+    here = materialize_narrow(rooted.join(main, "block"), "open-chunks")
     left = here.select("block", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("minor_chunks") - 1)).alias("j"), F.lit(0).alias("side"), "root", "node")
     minor = here.filter("root != main").withColumn("j", F.pmod(F.xxhash64("node", F.lit(5)), "minor_chunks"))
     right = minor.select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "root", "node")
     rows = left.unionByName(right).join(members, "node").select("block", "i", "j", "side", "root", "node", "toks")
-    return materialize(rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(_across(num, den), "a long, b long").distinct(), "links")
+    return materialize_narrow(rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(_across(num, den), "a long, b long").distinct(), "links")
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +277,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     told = _rows(docs).groupBy("root", "doc_id", "mark").agg(F.count("*").alias("n"))
     first = told.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n")).alias("x")).select("x.*")
-    picked = materialize(first.select(_row_key(F.col("doc_id"), F.col("mark")).alias("key"), "n"), "kept-documents")
+    picked = materialize_narrow(first.select(_row_key(F.col("doc_id"), F.col("mark")).alias("key"), "n"), "kept-documents")
     rows = packed(docs).select("row", _row_key(F.col("row.doc_id"), _mark(F.col("row.text"))).alias("key"))
     once = rows.join(picked.filter("n = 1").select("key").hint("shuffle_hash"), "key", "left_semi").select("row.*")
     # rows that repeat: few as a rule, so that this join's other side is sent round and no text moves
