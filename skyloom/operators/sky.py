@@ -33,8 +33,8 @@ def corrected(source: DataFrame, years: float | bool) -> DataFrame:
     return source.withColumns({f"{at[0]}_corrected": ra, f"{at[1]}_corrected": dec})
 
 
-def nearest(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat: bool = False, form: str = "auto", left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
-    """(left_id, right_id, sep): each primary id's closest source row within the tolerance, ties to the smaller id.
+def within(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat: bool = False, form: str = "auto", left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
+    """(left_id, right_id, sep): all pairs within the tolerance.
 
     Rows without a position take no part. ``sep`` is in radians.
     """
@@ -51,10 +51,20 @@ def nearest(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat:
     else:
         pairs = _grid_pairs(p, s, limit)
     near = pairs.withColumn("sep", separation("p_ra", "p_dec", "s_ra", "s_dec")).filter(F.col("sep") <= limit)
-    best = near.groupBy(left_id).agg(F.min(F.struct("sep", right_id)).alias("b"))
+    return near.select(left_id, right_id, "sep")
+
+
+def closest(pairs: DataFrame, left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
+    """Of (left_id, right_id, sep), each left id's pair of least separation, ties to the smaller id."""
+    best = pairs.groupBy(left_id).agg(F.min(F.struct("sep", right_id)).alias("b"))
     return best.select(left_id, f"b.{right_id}", "b.sep")
 
 
+def nearest(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat: bool = False, form: str = "auto", left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
+    """(left_id, right_id, sep): each primary id's closest source row :func:`within` the tolerance."""
+    return closest(within(primary, source, arcsec, compat, form, left_id, right_id), left_id, right_id)
+
+
 def _grid_pairs(p: DataFrame, s: DataFrame, limit: float) -> DataFrame:
     """Candidate pairs that share a cell. A band is as high as the tolerance; the width of a band's cells is the right ascension that the tolerance
     can span in it and its neighbours, so a row's partners are in its own or an adjoining cell."""

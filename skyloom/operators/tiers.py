@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.astro import ZERO_POINT
 from ..functions.text import parse_id
 from .quality import add_gaia_score
-from .sky import nearest
+from .sky import closest, within
 
 
 def targets(primary: DataFrame, key: str = "gaia_id") -> DataFrame:
@@ -29,13 +29,14 @@ def direct(wanted: DataFrame, catalog: DataFrame, id_col: str = "source_id") ->
 
 
 def by_position(wanted: DataFrame, older: DataFrame, catalog: DataFrame, arcsec: float = 1.0, magnitudes: float = 1.0, id_col: str = "source_id") -> DataFrame:
-    """Tier 2: the nearest source within an arc second of a target's older position, of like magnitude; the quality falls beyond half an arc second."""
+    """Tier 2: of the sources of like magnitude within an arc second of a target's older position, the nearest; the quality falls beyond half an arc second."""
     at = older.join(wanted, older[id_col] == wanted["target_id"], "left_semi").select(F.col(id_col).alias("_t"), "ra", "dec", F.col("phot_g_mean_mag").alias("_mag"))
     good = catalog.filter(F.col("parallax").isNotNull())
-    near = nearest(at, good, arcsec, left_id="_t", right_id=id_col)
-    joined = near.join(at.select("_t", "_mag"), "_t").join(good, id_col).filter(F.abs(F.col("_mag") - F.col("phot_g_mean_mag")) < magnitudes)
+    pairs = within(at, good, arcsec, left_id="_t", right_id=id_col).join(at.select("_t", "_mag"), "_t").join(good.select(id_col, "phot_g_mean_mag"), id_col)
+    alike = pairs.filter(F.abs(F.col("_mag") - F.col("phot_g_mean_mag")) < magnitudes)
+    joined = closest(alike, "_t", id_col).join(good, id_col)
     quality = F.when(F.col("sep") < math.radians(0.5 / 3600), 0.8).otherwise(0.6)
-    return joined.withColumns({"gaia_dr2_source_id": F.col("_t"), "gaia_dr3_source_id": F.col(id_col), "data_source": F.lit("DR3_crossmatch"), "crossmatch_method": F.lit("position"), "match_quality": quality}).drop("_t", "_mag", "sep")
+    return joined.withColumns({"gaia_dr2_source_id": F.col("_t"), "gaia_dr3_source_id": F.col(id_col), "data_source": F.lit("DR3_crossmatch"), "crossmatch_method": F.lit("position"), "match_quality": quality}).drop("_t", "sep")
 
 
 def fallback(wanted: DataFrame, older: DataFrame, id_col: str = "source_id") -> DataFrame:

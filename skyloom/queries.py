@@ -245,13 +245,13 @@ def anti_ids(spark, d):
  union all
  select source_id, 'DR2_direct', parallax - 0.017 from (select gaia_dr2_source_id as source_id, parallax from gaia where gaia_dr3_source_id is null and parallax > 0) where source_id in (select {_ID} from prim))""")
 def tier_cascade(spark, d):
-    g = view(spark, d, "gaia").withColumn("phot_g_mean_mag", F.lit(12.0))
-    newer = g.filter("gaia_dr3_source_id is not null").select(F.col("gaia_dr3_source_id").alias("source_id"), "parallax", "parallax_error", "ruwe", "phot_g_mean_mag")
-    older = g.filter("gaia_dr3_source_id is null").select(F.col("gaia_dr2_source_id").alias("source_id"), "parallax", "parallax_error", "phot_g_mean_mag")
-    wanted = tiers.targets(view(spark, d, "prim"))
-    one = tiers.direct(wanted, newer)
-    two = tiers.fallback(tiers.unmatched(wanted, one), older)
-    return tiers.enhance(tiers.combine([one, two])).select("gaia_dr2_source_id", "data_source", r("parallax_corrected"))
+    # positions as in the view of planets; no two are within an arc second, so tier 2 runs over all that tier 1 left and finds none
+    number = F.col("gaia_dr2_source_id") - 4295076295112340000
+    at = {"ra": (number * 37 % 36000).cast("double") / 100, "dec": (number * 91 % 17800).cast("double") / 100 - 89}
+    g = view(spark, d, "gaia").withColumns({"phot_g_mean_mag": F.lit(12.0), **at})
+    newer = g.filter("gaia_dr3_source_id is not null").select(F.col("gaia_dr3_source_id").alias("source_id"), "ra", "dec", "parallax", "parallax_error", "ruwe", "phot_g_mean_mag")
+    older = g.filter("gaia_dr3_source_id is null").select(F.col("gaia_dr2_source_id").alias("source_id"), "ra", "dec", "parallax", "parallax_error", "phot_g_mean_mag")
+    return tiers.cascade(view(spark, d, "prim"), newer, older).select("gaia_dr2_source_id", "data_source", r("parallax_corrected"))
 
 
 @query(f"select distinct {_ID} as target_id from prim where gaia_id is not null")

@@ -189,6 +189,16 @@ def test_tiers_prefer_the_first(spark):
     assert got == {1000000001: (1000000001, 1.0), 1000000002: (77, 0.8), 1000000003: (None, 0.4)}
 
 
+def test_tier_of_positions_takes_the_nearest_of_like_magnitude(spark):
+    primary = frame(spark, [("Gaia DR2 1000000002",)], "gaia_id string")
+    schema = "source_id long, ra double, dec double, parallax double, phot_g_mean_mag double"
+    near = [(76, 0.1, None), (77, 0.2, 15.0), (78, 0.6, 11.3), (79, 0.7, 11.1), (80, 1.2, 11.0)]
+    newer = frame(spark, [(k, 2.0, 2.0 + s / 3600, 4.0, m) for k, s, m in near], schema)
+    older = frame(spark, [(1000000002, 2.0, 2.0, 4.0, 11.0)], schema)
+    got = one(tiers.cascade(primary, newer, older))
+    assert (got.gaia_dr3_source_id, got.data_source, got.match_quality) == (78, "DR3_crossmatch", 0.6)
+
+
 def test_profiles_of_empty_tables(spark):
     df = frame(spark, [], "a string, b double")
     assert {r.column: r.n_rows for r in profile.profile_columns(df).collect()} == {"a": 0, "b": 0}
