@@ -148,8 +148,17 @@ def _how(how: str):
         return joins.join_on(c, o, "o", lambda: F.col("c_custkey"), lambda: F.col("o_custkey"), how).select("c_custkey", "o_o_orderkey")
 
 
+def _whole(how: str):
+    """The same join over whole customer and whole orders."""
+
+    @query(f"select c_custkey, o_orderkey as o_o_orderkey from customer {how.replace('outer', 'full outer')} join orders on c_custkey = o_custkey", f"join_whole_{how}")
+    def run(spark, d):
+        return joins.join_on(_table(spark, d, "customer"), _table(spark, d, "orders"), "o", lambda: F.col("c_custkey"), lambda: F.col("o_custkey"), how).select("c_custkey", "o_o_orderkey")
+
+
 for _h in ("inner", "left", "right", "outer"):
     _how(_h)
+    _whole(_h)
 
 
 @query("select o_orderkey, l_linenumber as l_l_linenumber, l_quantity as l_l_quantity from orders left join lineitem on o_orderkey = l_orderkey")
@@ -173,6 +182,12 @@ def angular_separation(spark, d):
     return p.join(s, F.col("row_idx") % 100 == F.col("src_idx") % 100).select("row_idx", "src_idx", r(separation("ra", "decl", "ra2", "decl2"), "sep"))
 
 
+@query(f"select row_idx, src_idx, round(sep, 6) as sep from (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join sec s on abs(p.decl - s.decl) < 0.06) where sep <= 3.0 / 3600")
+def cone_separation(spark, d):
+    """The separation of every pair that the wide cone match considers."""
+    return sky.within(view(spark, d, "prim"), view(spark, d, "sec"), 3.0, compat=True, left_id="row_idx", right_id="src_idx").select("row_idx", "src_idx", r("sep"))
+
+
 def _cone(name: str, compat: bool, form: str):
     limit, scale = ("3.0 / 3600", "3600.0") if compat else ("radians(3.0 / 3600)", "3600.0 * 180.0 / pi()")
     sql = f"""select row_idx, src_idx as sec_src_idx, round(sep * {scale}, 6) as sec_match_separation_arcsec from
