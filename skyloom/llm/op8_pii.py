@@ -193,12 +193,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _redacted(spans: Column, text: Column) -> Column:
-    """``text`` with each span replaced by its kind in brackets; of overlapping spans, the first counts."""
+    """``text`` with each span replaced by its kind in brackets; overlapping spans are one, of the first one's kind."""
     ordered = F.array_sort(spans, lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(b["e"] - a["e"]))
 
     def add(a, x):
         grown = F.concat(a["out"], F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        return F.when(x["s"] >= a["at"], F.struct(grown.alias("out"), x["e"].alias("at"))).otherwise(a)
+        return F.when(x["s"] >= a["at"], F.struct(grown.alias("out"), x["e"].alias("at"))).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], x["e"]).alias("at")))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     return F.aggregate(ordered, start, add, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))

@@ -125,6 +125,13 @@ def test_bootstrapping_finds_what_the_base_misses(spark):
     assert done[100] == "some words, call phone: [PHONE] now" and done[101] == rows[9][1] and done[0] == "some words, call phone: [PHONE] now"
 
 
+def test_redaction_leaves_nothing_of_overlapping_spans(spark):
+    said = ["call +49 30 1234567.john@x.com now", "card 4111 1111 1111 1111.j@x.org, then 1.2.3.4", "a@b.co+49 30 1234567 end", "a@b.co 1.2.3.4"]
+    rows = [(k, t) for k, t in enumerate(said)]
+    done = {r.doc_id: r.text for r in o8.redact(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert [done[k] for k in range(4)] == ["call [PHONE] now", "card [CARD], then [IP]", "[EMAIL][PHONE] end", "[EMAIL] [IP]"]
+
+
 def test_main_path_is_native(spark):
     docs = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
     plan = o8.spans_report(o8.find(docs))._jdf.queryExecution().toString() + o8.mentions(docs)._jdf.queryExecution().toString()
