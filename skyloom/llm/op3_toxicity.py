@@ -1,6 +1,6 @@
 """Operator 3: toxicity by non-negative positive-unlabelled learning.
 
-A linear model over the presence of words and of their first letters is trained by numpy from confirmed toxic texts and from unlabelled
+A linear model over the presence of words and of their first letters, all that the training texts have, is trained by numpy from confirmed toxic texts and from unlabelled
 texts. With class prior p, positive risk P+ and P- (as if labelled negative) and unlabelled risk U-, it lowers
 p P+ + max(0, U- - p P-); where the bracket falls below zero, the step goes against it instead, so that it can't be
 fitted below zero. Logistic loss makes the output a probability.
@@ -21,14 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import collected, held_out, materialize, packed, table, trainable
+from .common import held_out, materialize, packed, table, trainable
 
 _WORD = regex.compile(r"\w+")
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
-#: Positive texts a feature must be in, and the number of features that training keeps.
-LEAST_DF, MAX_FEATURES = 5, 3000
-#: Features that are counted in unlabelled texts.
-MAX_CANDIDATES = 200_000
+#: Where a feature's weight is let out by half: the difference of its rates in units of its spread.
+LEAST_Z = 3.0
 THRESHOLD = 0.3
 #: Words' features kept in a worker's memo before it is emptied.
 MEMO_WORDS = 50_000
@@ -42,7 +40,7 @@ def features_of_word(word: str) -> list[int]:
 
 @dataclass
 class Model:
-    """Weights by feature key; only features that training kept."""
+    """Weights by feature key, of all features of the training texts."""
 
     keys: np.ndarray
     weights: np.ndarray
@@ -53,11 +51,21 @@ class Model:
         return {"keys": self.keys, "weights": self.weights, "bias": self.bias}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, memo={}, by_key=dict(zip(state["keys"].tolist(), range(len(state["keys"])), strict=True)))
+        self.__dict__.update(state, memo={})
 
     def __post_init__(self):
         self.__setstate__(self.__getstate__())
 
+    @property
+    def by_key(self) -> dict:
+        return dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
+
+    def places(self, word: str) -> list[int]:
+        """Where the word's features are among the keys; without those that training hasn't met."""
+        made = np.array(features_of_word(word), dtype=self.keys.dtype)
+        at = np.minimum(np.searchsorted(self.keys, made), len(self.keys) - 1)
+        return at[self.keys[at] == made].tolist() if len(self.keys) else []
+
     def score(self, text: str | None) -> float:
         memo, found = self.memo, set()
         for w in set(_WORD.findall((text or "").lower())):
@@ -65,53 +73,76 @@ class Model:
             if hit is None:
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
-                hit = memo[w] = [i for k in features_of_word(w) if (i := self.by_key.get(k)) is not None]
+                hit = memo[w] = self.places(w)
             if hit:
                 found.update(hit)
         z = self.bias + (float(self.weights[list(found)].sum()) if found else 0.0)
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
+def evidence(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
+    """How far each feature's weight is let out, 0 to 1, by the numbers of positive and unlabelled texts it's in: the difference of
+    its rates in units of its spread, the wider of the pooled and the separate one, saturating about LEAST_Z."""
+    p, u, both = in_p / n_p, in_u / n_u, (in_p + in_u) / (n_p + n_u)
+    spread = np.maximum(p * (1 - p) / n_p + u * (1 - u) / n_u, both * (1 - both) * (1 / n_p + 1 / n_u))
+    z = np.abs(p - u) / np.sqrt(spread + 1e-9) / LEAST_Z
+    return z**4 / (1 + z**4)
+
+
 def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keys: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> Model:
-    """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text, all of them among ``keys``."""
+    """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text, all of them among ``keys``.
+
+    All keys get a weight: one that the gradient moves, times the feature's :func:`evidence`, so that the many rare features don't drown the rest."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
-    keys = np.sort(np.asarray(keys, dtype=np.int64))
+    keys = np.sort(np.asarray(keys))
     if not positive or not unlabelled:
         return Model(np.empty(0, np.int64), np.empty(0), float(np.log(prior / (1 - prior))))
 
-    def sparse(texts):
-        rows = [np.searchsorted(keys, x) for x in texts]
-        return np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), len(rows)
+    n_p, n_u = len(positive), len(unlabelled)
+    lengths = np.array([len(x) for x in (*positive, *unlabelled)], dtype=np.int64)
+    at = np.concatenate([np.searchsorted(keys, x).astype(np.int32) for x in (*positive, *unlabelled)])
+    in_p = np.bincount(at[: lengths[:n_p].sum()], minlength=len(keys))
+    in_all = np.bincount(at, minlength=len(keys))
+    # sums over each text's features and over each feature's texts, by their starts in either order
+    filled, used = np.flatnonzero(lengths), np.flatnonzero(in_all)
+    by_text, by_key = (np.cumsum(lengths) - lengths)[filled], (np.cumsum(in_all) - in_all)[used]
+    texts = np.repeat(np.arange(n_p + n_u, dtype=np.int32), lengths)[np.argsort(at, kind="stable")]
+    let = evidence(in_p, in_all - in_p, n_p, n_u)
+
+    def summed(x, starts, to, size):
+        out = np.zeros(size)
+        if len(to):
+            out[to] = np.add.reduceat(x, starts)
+        return out
 
-    sets = [sparse(positive), sparse(unlabelled)]
     w, b = np.zeros(len(keys)), float(np.log(prior / (1 - prior)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
-        p, u = (b + np.bincount(r, weights=w[i], minlength=n) for i, r, n in sets)
+        z = b + summed((let * w)[at], by_text, filled, n_p + n_u)
+        p, u = z[:n_p], z[n_p:]
         risk_pm, risk_um = np.logaddexp(0, p).mean(), np.logaddexp(0, u).mean()
         inner = risk_um - prior * risk_pm
-        sp, su = 1 / (1 + np.exp(-p)), 1 / (1 + np.exp(-u))
-        gp_inner, gu_inner = -prior * sp / len(p), su / len(u)
-        gp, gu = (prior * (sp - 1) / len(p) + gp_inner, gu_inner) if inner >= 0 else (-gp_inner, -gu_inner)
-        g = sum(np.bincount(i, weights=x[r], minlength=len(w)) for (i, r, _), x in zip(sets, (gp, gu), strict=True)) + decay * w
+        sp, su = (1 / (1 + np.exp(-np.clip(x, -35, 35))) for x in (p, u))
+        gp_inner, gu_inner = -prior * sp / n_p, su / n_u
+        gp, gu = (prior * (sp - 1) / n_p + gp_inner, gu_inner) if inner >= 0 else (-gp_inner, -gu_inner)
+        g = let * summed(np.concatenate([gp, gu])[texts], by_key, used, len(keys)) + decay * w
         gb = gp.sum() + gu.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
         w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-8)
         b -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return Model(keys, w, float(b))
+    return Model(keys, let * w, float(b))
 
 
-def _keys_column(among: np.ndarray | None):
-    """Column: the distinct feature keys of each whole text, only those in ``among`` (sorted) unless it's None."""
-    sent = None if among is None else SparkSession.getActiveSession().sparkContext.broadcast(set(among.tolist()))
+def _keys_column():
+    """Column: the distinct feature keys of each whole text, as signed integers of the same 32 bits."""
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("array<int>")
     def keys(texts: pd.Series) -> pd.Series:
-        wanted, out = None if sent is None else sent.value, []
+        out = []
         for t in texts:
             found = {k for w in set(_WORD.findall((t or "").lower())) for k in features_of_word(w)}
-            out.append(sorted(found if wanted is None else found & wanted))
+            out.append(np.sort(np.fromiter(found, dtype=np.uint32, count=len(found))).view(np.int32))
         return pd.Series(out, dtype=object)
 
     return keys.asNondeterministic()(F.col("text"))
@@ -132,25 +163,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     toxic_ids = labelled.filter((F.col("toxic") == 1) & (draw < share(max_positive, n_toxic))).select("doc_id").distinct().limit(2 * max_positive).withColumn("is_p", F.lit(True))
 
     sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs)).withColumn("is_p", F.coalesce("is_p", F.lit(False)))
-    # candidates: features of enough positive texts, so that those of unlabelled texts needn't be gathered
-    in_p = sampled.filter("is_p").select(F.explode(_keys_column(None)).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_DF)
-    candidates = collected(in_p.orderBy(F.desc("n"), "key").limit(MAX_CANDIDATES))["key"].to_numpy()
     drawn = sampled.filter(F.col("is_p") | F.col("is_u"))
-    rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column(np.sort(candidates)).alias("keys")), "toxicity-sample")
-    n_p, n_u = rows.agg(F.sum(F.col("is_p").cast("long")), F.sum(F.col("is_u").cast("long"))).first()
-    if not n_p or not n_u:
+    rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column().alias("keys")), "toxicity-sample")
+    got = rows.toArrow().sort_by("doc_id").combine_chunks()
+    if not got.num_rows:
         return train_pu([], [], prior, np.empty(0))
-    # features that tell the two apart most, by the difference of their rates in units of its spread
-    rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
-    spread = F.sqrt(rate_p * (1 - rate_p) / n_p + rate_u * (1 - rate_u) / n_u + 1e-9)
-    by_key = rows.select(F.explode("keys").alias("key"), F.col("is_p").cast("long").alias("p"), F.col("is_u").cast("long").alias("u")).groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-    told = by_key.withColumn("z", F.abs(rate_p - rate_u) / spread).filter("z > 2.5").orderBy(F.desc("z"), "key").limit(MAX_FEATURES).select("key")
-    told = materialize(told, "toxicity-features")  # MAX_FEATURES rows at most
-    lean = rows.select("doc_id", "is_p", "is_u", F.explode("keys").alias("key")).join(F.broadcast(told), "key").groupBy("doc_id", "is_p", "is_u").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    got = collected(rows.select("doc_id", "is_p", "is_u").distinct().join(lean, ["doc_id", "is_p", "is_u"], "left")).sort_values(["doc_id"], kind="stable")
-    arrays = [np.asarray(x, dtype=np.int64) if x is not None else np.empty(0, np.int64) for x in got["keys"]]
-    of = lambda c: [a for a, yes in zip(arrays, got[c], strict=True) if yes]
-    return train_pu(of("is_p"), of("is_u"), prior, collected(told)["key"].to_numpy())
+    # all texts' keys in one array, and each text's part of it
+    lists = got["keys"].combine_chunks()
+    flat, ends = lists.flatten().to_numpy().view(np.uint32), lists.offsets.to_numpy()
+    texts = [flat[a - ends[0] : e - ends[0]] for a, e in zip(ends[:-1], ends[1:], strict=True)]
+    of = lambda c: [t for t, yes in zip(texts, got[c].to_pylist(), strict=True) if yes]
+    return train_pu(of("is_p"), of("is_u"), prior, np.unique(flat))
 
 
 def score_column(model: Model, text_col: str = "text"):

@@ -26,6 +26,19 @@ def test_nnpu_separates_and_is_non_negative():
     assert o3.train_pu([], [], 0.2, np.empty(0)).score("anything") == pytest.approx(0.2)
 
 
+def test_toxicity_learns_rare_wordings_and_clean_words(spark):
+    draw = np.random.default_rng(3)
+    words = [f"w{k}" for k in draw.permutation(400)]
+    plain = lambda: " ".join(draw.choice(words, 8))
+    docs = [(k, f"{plain()} " + (f"vile{k // 16:04d} bad" if k % 4 == 0 else "kind")) for k in range(400)]
+    labels = [(k, int(k % 4 == 0)) for k in range(400)]
+    model = o3.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    seen = [k for k in range(0, 400, 4) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rare = [f"vile{k // 16:04d}" for k in seen]  # each in four texts at most
+    assert all(model.places(w) for w in rare) and np.mean([model.score(w) > model.score("") for w in rare]) > 0.95
+    assert model.score("kind") < model.score("")
+
+
 def test_toxicity_held_out(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = o3.op3_toxicity(spark, SF).collect()
