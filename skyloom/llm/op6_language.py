@@ -2,8 +2,8 @@
 
 Letters are lower-cased, all else becomes a space, and n-grams of one to three characters are hashed into a fixed
 number of features. Document frequencies are counted over all training documents. The weights are learned by
-follow-the-regularised-leader with elastic-net penalties from a bounded sample of each of the most frequent languages, and a
-temperature is fitted on a part of that sample which the weights don't see.
+follow-the-regularised-leader with elastic-net penalties from a bounded sample of every language, and a
+temperature is fitted on a part of that sample which the weights don't see. Memory and time of training grow with the number of languages.
 
 A text that is null or has no letter is ``und`` with score 0. Repeated rows and null ids are kept; rows with a null
 id or language never train. Without any training row every text with letters is ``und`` as well.
@@ -23,10 +23,8 @@ from .common import collected, held_out, packed, table, trainable
 
 BITS = 14
 FEATURES = 1 << BITS
-#: Training documents a language.
-PER_LANGUAGE = 1500
-#: Languages that can be learned, the most frequent ones: bounds the weights.
-MAX_LANGUAGES = 200
+#: Training documents a language, and of all languages together: shared alike where there are more than 200, 20 each at least.
+PER_LANGUAGE, MAX_ROWS = 1500, 300_000
 UNDETERMINED = "und"
 #: The pipeline keeps documents whose language is at least so certain.
 LEAST_SCORE = 0.5
@@ -108,8 +106,10 @@ def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_classes: int, e
             g2 = g * g
             z[at] = zi + g - (np.sqrt(ni + g2) - np.sqrt(ni)) / alpha * w
             n[at] = ni + g2
-    w = weights(z, n)
-    return w[:-1], w[-1] * 0.2
+    # the weights take z's place, some features at a time
+    for k in range(0, FEATURES + 1, 1024):
+        z[k : k + 1024] = weights(z[k : k + 1024], n[k : k + 1024])
+    return z[:-1].astype(np.float32), z[-1] * 0.2
 
 
 def fit_temperature(z: np.ndarray, y: np.ndarray) -> float:
@@ -132,8 +132,7 @@ def fit_temperature(z: np.ndarray, y: np.ndarray) -> float:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from (doc_id, text, lang) outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").filter(trainable() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    frequent = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    by_language = {r["lang"]: r["n"] for r in frequent.collect()}
+    by_language = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(by_language)
     if not languages:
         return Model([], np.zeros(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
@@ -157,9 +156,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     idf = np.log((1 + n_docs) / (1 + df)) + 1
 
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
-    least = F.lit(0)
-    for lang, n in by_language.items():
-        least = F.when(F.col("lang") == lang, int(min(1.0, per_language / n) * 1_000_000)).otherwise(least)
+    per_language = max(20, min(per_language, MAX_ROWS // len(languages)))
+    shares = [(lang, int(min(1.0, per_language / n) * 1_000_000)) for lang, n in by_language.items()]
+    least = F.broadcast(known.sparkSession.createDataFrame(pd.DataFrame(shares, columns=["lang", "least"]), "lang string, least long"))
 
     @F.pandas_udf("features array<int>, n array<int>")
     def sparse(texts: pd.Series) -> pd.DataFrame:
@@ -167,16 +166,18 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         at = [np.flatnonzero(c).astype(np.int32) if c is not None else np.empty(0, np.int32) for c in made]
         return pd.DataFrame({"features": at, "n": [c[i].astype(np.int32) if c is not None else np.empty(0, np.int32) for c, i in zip(made, at, strict=True)]})
 
-    drawn = known.filter(draw < least).select("doc_id", "lang", sparse.asNondeterministic()("text").alias("s")).select("doc_id", "lang", "s.*")
+    drawn = known.join(least, "lang").filter(draw < F.col("least")).select("doc_id", "lang", sparse.asNondeterministic()("text").alias("s")).select("doc_id", "lang", "s.*")
     sample = collected(drawn).sort_values("doc_id", kind="stable", ignore_index=True)
-    rows = []
+    rows, number = [], {lang: k for k, lang in enumerate(languages)}
     for at, n, lang in zip(sample["features"], sample["n"], sample["lang"], strict=True):
         at, n = np.asarray(at, np.int64), np.asarray(n, float)
         if len(at):
             x = (1 + np.log(n)) * idf[at]
-            rows.append((at, x / np.sqrt((x * x).sum()), languages.index(lang)))
-    aside, learn = rows[::5], [r for k, r in enumerate(rows) if k % 5]
-    learn, aside = (learn, aside) if learn else (rows, [])
+            rows.append((at, x / np.sqrt((x * x).sum()), number[lang]))
+    # every fifth row is set aside, but no language's first
+    first = {y: k for k, (*_, y) in reversed(list(enumerate(rows)))}
+    aside = [r for k, r in enumerate(rows) if k % 5 == 0 and first[r[2]] != k]
+    learn = [r for k, r in enumerate(rows) if k % 5 or first[r[2]] == k]
     w, b = train_ftrl(learn, len(languages))
     z = np.array([x @ w[at] + b for at, x, _ in aside]) if aside else np.zeros((0, len(languages)))
     return Model(languages, idf, w, b, fit_temperature(z, np.array([y for *_, y in aside], dtype=int)))

@@ -54,6 +54,17 @@ def test_language_held_out(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows]) > 0.97
 
 
+def test_every_language_is_learned(spark):
+    draw = np.random.default_rng(4)
+    words = [["".join(chr(0x4E00 + 60 * k + c) for c in draw.integers(0, 60, 4)) for _ in range(12)] for k in range(210)]
+    ids = iter(k for k in range(10**6) if zlib.crc32(str(k).encode()) % 4 != 2)
+    rows = [(next(ids), " ".join(draw.choice(words[k], 10)), f"x{k:03d}") for k in range(210) for _ in range(6 if k < 200 else 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = o6.fit(docs)
+    assert model.languages == [f"x{k:03d}" for k in range(210)]
+    assert np.mean([model.predict(text)[0] == lang for _, text, lang in rows if lang >= "x200"]) > 0.9
+
+
 def test_language_of_no_letters():
     model = o6.Model(["en"], np.ones(o6.FEATURES), np.zeros((o6.FEATURES, 1)), np.zeros(1), 1.0)
     assert [model.predict(t) for t in (None, "", "12 ... !", "a")] == [("und", 0.0)] * 3 + [("en", 1.0)]
