@@ -3,7 +3,8 @@
 Base patterns give the seeds. Each mention, seed or candidate of a fitting shape, is an instance; the word to its left
 and its kind are a lexical pattern. Over the pattern-instance graph, rounds run: a pattern is scored by the share of its distinct
 instances that are trusted; patterns with a high share and enough trusted instances are kept, and what they extract
-becomes trusted. Candidates that a kept pattern extracts are added to the base spans. Kept spans of the base never go.
+becomes trusted, until a round adds no pattern. A phone number of bare digits has a shape that says little: it doesn't count against a pattern, and
+is extracted where the trusted instances have the high share with the bare ones counted too. Candidates that a kept pattern extracts are added to the base spans. Kept spans of the base never go.
 
 Null texts count as empty: no spans, the digest of the empty string. Repeated rows and null ids are kept. Offsets are code points, ends
 exclusive.
@@ -36,7 +37,9 @@ CANDIDATE = {
 }
 CANDIDATE_NEEDS = {"email": r"[(\[{]at[)\]}]", "number": r"[0-9](?:[\x20().-]{0,2}[0-9]){7}"}
 #: A pattern is kept with so many distinct trusted instances and such a share of them.
-LEAST_TRUSTED, LEAST_SHARE, ROUNDS = 5, 0.8, 2
+LEAST_TRUSTED, LEAST_SHARE = 5, 0.8
+#: Rounds end when they add no pattern; this bound only guards against an endless loop.
+ROUNDS = 50
 _SPANS = "array<struct<s: int, e: int, m: string>>"
 
 
@@ -101,19 +104,20 @@ def _shape(m: Column) -> Column:
         F.when(m.rlike(r"[(\[{]at[)\]}]"), F.lit("email"))
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), F.lit("ip"))
         .when(n.between(16, 19) & m.rlike(r"^[0-9]+(?:[ -][0-9]+)*$"), F.lit("card"))
-        .when(n.between(8, 15) & ~m.rlike(r"^[0-9]+$"), F.lit("phone"))
+        .when(n.between(8, 15), F.lit("phone"))
     )
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, base (kind, s, e, m, left), cands (the same, outside base spans), key (id and text
+    """One row a document: doc_id, base (kind, s, e, m, left, bare), cands (the same, outside base spans), key (id and text
     as a digest, where there are candidates)."""
     found = with_base_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select(
         "*", *(matches("_t", CANDIDATE[c], CANDIDATE_NEEDS[c]).alias(f"_c_{c}") for c in CANDIDATE)
     )
 
     def told(kind: Column, x: Column) -> Column:
-        return F.struct(kind.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.sha2(F.lower(x["m"]), 256).alias("m"), _left(x["s"]).alias("left"))
+        bare = (kind == "phone") & x["m"].rlike("^[0-9]+$")
+        return F.struct(kind.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.sha2(F.lower(x["m"]), 256).alias("m"), _left(x["s"]).alias("left"), bare.alias("bare"))
 
     base = F.concat(*(F.transform(f"_{k}", partial(told, F.lit(k))) for k in KINDS)).alias("base")
     spans = F.concat(*(F.col(f"_{k}") for k in KINDS))
@@ -135,17 +139,24 @@ def discovered(told: DataFrame, rounds: int = ROUNDS, least_trusted: int = LEAST
     """(key, kind, s, e): candidates that kept patterns extract. ``told``: a written table of :func:`mentions`."""
     seeds = told.select(F.explode("base").alias("x")).select("x.kind", "x.left", "x.m").distinct()
     open_ = told.filter(F.col("key").isNotNull()).select("key", F.explode("cands").alias("x")).select("key", "x.*")
-    graph = seeds.withColumn("seed", F.lit(True)).unionByName(open_.select("kind", "left", "m").distinct().withColumn("seed", F.lit(False))).groupBy("kind", "left", "m").agg(F.max("seed").alias("trusted"))
-    graph = materialize(graph, "pii-graph")
-    patterns = None
+    found = seeds.withColumns({"seed": F.lit(True), "bare": F.lit(False)}).unionByName(open_.select("kind", "left", "m", "bare").distinct().withColumn("seed", F.lit(False)))
+    graph = materialize(found.groupBy("kind", "left", "m").agg(F.max("seed").alias("trusted"), F.max("bare").alias("bare")), "pii-graph")
+    count = lambda c: F.sum(c.cast("long"))
+    extracts = ~F.col("bare") | F.col("wide")
+    before = None
     for k in range(rounds):
-        kept = graph.groupBy("kind", "left").agg(F.count("*").alias("n"), F.sum(F.col("trusted").cast("long")).alias("ok")).filter((F.col("ok") >= least_trusted) & (F.col("ok") >= least_share * F.col("n")))
-        patterns = kept.select("kind", "left")
-        if k + 1 < rounds:
-            # what kept patterns extract is trusted wherever it stands
-            more = graph.join(patterns, ["kind", "left"]).select("kind", "m").distinct().withColumn("more", F.lit(True))
-            graph = materialize(graph.join(more, ["kind", "m"], "left").select("kind", "left", "m", (F.col("trusted") | F.coalesce("more", F.lit(False))).alias("trusted")), "pii-graph")
-    return open_.join(patterns, ["kind", "left"]).select("key", "kind", "s", "e").distinct()
+        counted = graph.groupBy("kind", "left").agg(count(F.col("trusted") | ~F.col("bare")).alias("n"), F.count("*").alias("n_all"), count(F.col("trusted")).alias("ok"))
+        kept = counted.filter((F.col("ok") >= least_trusted) & (F.col("ok") >= least_share * F.col("n")))
+        patterns = materialize(kept.select("kind", "left", (F.col("ok") >= least_share * F.col("n_all")).alias("wide")), "pii-patterns")
+        # trust only grows, and so do both counts
+        now = patterns.agg(F.count("*"), F.coalesce(count(F.col("wide")), F.lit(0))).first()
+        if now == before or k + 1 == rounds:
+            break
+        before = now
+        # what kept patterns extract is trusted wherever it stands
+        more = graph.join(patterns, ["kind", "left"]).filter(extracts).select("kind", "m").distinct().withColumn("more", F.lit(True))
+        graph = materialize(graph.join(more, ["kind", "m"], "left").select("kind", "left", "m", (F.col("trusted") | F.coalesce("more", F.lit(False))).alias("trusted"), "bare"), "pii-graph")
+    return open_.join(patterns, ["kind", "left"]).filter(extracts).select("key", "kind", "s", "e").distinct()
 
 
 def _is(kind: str, x: Column) -> Column:

@@ -149,6 +149,18 @@ def test_bootstrapping_finds_what_the_base_misses(spark):
     assert done[100] == "some words, call phone: [PHONE] now" and done[101] == rows[9][1] and done[0] == "some words, call phone: [PHONE] now"
 
 
+def test_bootstrapping_goes_on_and_takes_bare_digits(spark):
+    # each step's pattern is trusted by the numbers that the step before extracts
+    said = [f"{w} +1 (555) {n}10-2{k:03d} now" for n, (w, many) in enumerate((("aa:", 40), ("bb:", 15), ("cc:", 15), ("dd:", 15))) for k in range(many)]
+    for n, (a, b) in enumerate(zip(("aa:", "bb:", "cc:"), ("bb:", "cc:", "dd:"), strict=True)):
+        say = [f"555 {n}10 30 {k}0" for k in range(5)]
+        said += [f"{w} {m} now" for m in say for w in (a, b)]
+    lone = ["dd: 555 777 30 30 now", "aa: 5550102999 now", "dd: 5550102998 now", "order 5550102997 now"]
+    rows = [(k, t) for k, t in enumerate(said + lone)]
+    got = [r.spans for r in sorted(o8.spans_report(o8.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect(), key=lambda r: r.doc_id)]
+    assert got[-4:] == ["phone:4:17", "phone:4:14", "phone:4:14", ""] and all(got[:-4])
+
+
 def test_redaction_leaves_nothing_of_overlapping_spans(spark):
     said = ["call +49 30 1234567.john@x.com now", "card 4111 1111 1111 1111.j@x.org, then 1.2.3.4", "a@b.co+49 30 1234567 end", "a@b.co 1.2.3.4"]
     rows = [(k, t) for k, t in enumerate(said)]
