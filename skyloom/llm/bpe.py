@@ -15,7 +15,10 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import regex
 
@@ -23,12 +26,14 @@ import regex
 SPACE = "\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The split pattern of the vocabulary file's pre-tokenizer (fixed value), with the classes spelled out.
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Words kept in the memo before it is emptied; bounds the memory of a worker.
-MEMO_WORDS = 300_000
-#: Characters per step of the streaming split; longer texts are read in such steps.
-STEP = 1 << 16
-#: Words longer than so many bytes go through the streaming transducer and not through the memo.
-LONG_WORD = 256
+#: Characters in which the classes are plain ranges, and the same pattern over them for the faster matcher (fixed values).
+COMMON = r"\x00-\u024f\u2010-\u2027"
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t\n\x0b\x0c\r\x20\x85\xa0"
+COMMON_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+#: What the memo of words may hold before it is emptied, in bytes of words with 256 a word for the rest; bounds the memory of a worker.
+MEMO_BYTES = 80_000_000
+#: Characters per step; longer texts are read in such steps. A word whose known part is longer than LONG is taken as it comes.
+STEP, LONG = 1 << 16, 1024
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -61,6 +66,8 @@ class Merges:
             left, right = (bytes(back[c] for c in x) for x in (pair.split(" ") if isinstance(pair, str) else pair))
             self.pairs[vocab[left], vocab[right]] = (rank, vocab[left + right])
         self.lookahead = sufficient_lookahead(self.pairs, self.bytes_of)
+        #: a long word's windows repeat where the word does
+        self.encode_window = lru_cache(maxsize=256)(self.encode_word)
 
     def encode_word(self, word: bytes) -> list[int]:
         """Merge by rank, leftmost first among equals."""
@@ -119,96 +126,160 @@ def sufficient_lookahead(pairs: dict[tuple[int, int], tuple[int, int]], bytes_of
     return most
 
 
-class Transducer:
-    """Text in, token ids out, in steps; holds at most a step, a white-space run's or a word's unstable tail."""
+class LongWord:
+    """A word of any length, byte by byte in and ids out: holds at most the lookahead and a step of four times as much."""
 
     def __init__(self, merges: Merges):
-        self.merges = merges
-        self.split = regex.compile(SPLIT)
-        self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(merges.special, key=len, reverse=True))) if merges.special else None
-        self.memo: dict[str, tuple[list[int], bytes]] = {}
-
-    def _long(self, word: bytes):
-        """Ids of one long word by the bounded lookahead; yields lists."""
-        keep, step = self.merges.lookahead, 4 * self.merges.lookahead
-        held = b""
-        for at in range(0, len(word), step):
-            held += word[at : at + step]
-            ids, done, out = self.merges.encode_word(held), 0, []
-            for i in ids:
+        self.merges, self.held = merges, b""
+
+    def push(self, more: bytes) -> list[int]:
+        """The ids that have become stable."""
+        keep, step, out = self.merges.lookahead, 4 * self.merges.lookahead, []
+        for at in range(0, len(more), step):
+            self.held += more[at : at + step]
+            done = 0
+            for i in self.merges.encode_window(self.held):
                 end = done + len(self.merges.bytes_of[i])
-                if end > len(held) - keep:
+                if end > len(self.held) - keep:
                     break
                 out.append(i)
                 done = end
-            held = held[done:]
-            if out:
-                yield out
-        if held:
-            yield self.merges.encode_word(held)
+            self.held = self.held[done:]
+        return out
+
+    def close(self) -> list[int]:
+        """The rest, once the word has ended."""
+        rest, self.held = self.held, b""
+        return list(self.merges.encode_window(rest)) if rest else []
+
+
+class Words(dict):
+    """Ids of a word and the same as decimals joined by commas. No token of a word that is shorter than the lookahead is stable
+    before the word ends, so such words are encoded at their end and kept, as far as there's room; longer ones take :class:`LongWord`."""
+
+    def __init__(self, merges: Merges, room: int = MEMO_BYTES):
+        super().__init__()
+        self.merges, self.room, self.left = merges, room, room
+
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], bytes]:
+        raw = word.encode("utf-8", "replace")
+        if len(raw) > self.merges.lookahead:
+            run = LongWord(self.merges)
+            return said(run.push(raw) + run.close())
+        made = said(self.merges.encode_word(raw))
+        self.left -= len(raw) + 256
+        if self.left < 0:
+            self.clear()
+            self.left = self.room
+        self[word] = made
+        return made
 
-    def words(self, text: str):
-        """Lists of words of ``text`` in order; a list ends where no later character can move the split.
 
-        The split looks at most three characters past a word (a contraction), and one past a run. So the last word
-        of a step is stable only once something other follows; until then it's carried over.
+def said(ids: list[int]) -> tuple[tuple[int, ...], bytes]:
+    return tuple(ids), b",".join([b"%d" % i for i in ids])
+
+
+class Stream:
+    """One text's way through the transducer: the split's unfinished tail, and the word that is open where it's long."""
+
+    def __init__(self, transducer: Transducer):
+        self.of, self.held, self.run, self.kind = transducer, "", None, None
+
+    def feed(self, text: str, final: bool = False) -> list[tuple[tuple[int, ...], bytes]]:
+        """What becomes stable by ``text``. ``final``: the text ends here.
+
+        A word is told from its last character and the one after; a contraction looks at three. So the last word of a step and what starts
+        in its last three characters wait for more. Of a run of white space, the last character may belong to the next word.
         """
-        find = self.split.findall
-        if len(text) <= STEP:
-            yield find(text)
-            return
+        out, held = [], self.held + text
+        if self.run is not None:
+            end = self.kind.match(held).end()
+            goes_on = end == len(held) and not final
+            stop = end - 1 if self.kind is self.of.spaces and (goes_on or end < len(held)) else end
+            out.append(said(self.run.push(held[:stop].encode("utf-8", "replace"))))
+            held = held[stop:]
+            if goes_on:
+                self.held = held
+                return out
+            out.append(said(self.run.close()))
+            self.run = None
+        words = self.of.split(held)
+        if not final:
+            at, k = len(held), len(words)
+            while k and (k == len(words) or at - len(words[k - 1]) > len(held) - 3):
+                k -= 1
+                at -= len(words[k])
+            self.held = held[at:]
+            del words[k:]
+        out += map(self.of.memo.__getitem__, words)
+        if not final and len(self.held) > LONG:
+            self.kind = next(c for c in self.of.classes if c.fullmatch(self.held[-1]))
+            self.run = LongWord(self.of.merges)
+            stop = len(self.held) - (self.kind is self.of.spaces)
+            out.append(said(self.run.push(self.held[:stop].encode("utf-8", "replace"))))
+            self.held = self.held[stop:]
+        return out
+
+
+class Transducer:
+    """Text in, token ids out, in steps; holds at most a step, the split's short tail and a long word's lookahead."""
+
+    def __init__(self, merges: Merges):
+        self.merges, self.memo = merges, Words(merges)
+        self.any_split = regex.compile(SPLIT).findall
+        self.common_split = re.compile(COMMON_SPLIT).findall
+        self.uncommon = re.compile(rf"[^{COMMON}]").search
+        letters, numbers, others, self.spaces = (regex.compile(c + "*") for c in (r"\p{L}", r"\p{N}", rf"[^{SPACE}\p{{L}}\p{{N}}]", f"[{SPACE}]"))
+        self.classes = (letters, numbers, others, self.spaces)
+        self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(merges.special, key=len, reverse=True))) if merges.special else None
+        self.longest = max(map(len, merges.special), default=1)
+
+    def split(self, text: str) -> list[str]:
+        return self.any_split(text) if self.uncommon(text) else self.common_split(text)
+
+    def _segments(self, parts: Iterable[str]):
+        """(text, special): text and the special string that ends its segment, None where the segment goes on. Holds back what may be the
+        start of a special string."""
         held = ""
-        for at in range(0, len(text), STEP):
-            held += text[at : at + STEP]
-            if at + STEP >= len(text):
-                yield find(held)
-                return
-            got = find(held)
-            # the last four words may still change: a contraction or a run at the end could go on
-            tail = got[-4:]
-            if len(got) > 4:
-                yield got[:-4]
-            held = "".join(tail)
+        for part in parts:
+            held += part
+            safe, at = max(0, len(held) - self.longest + 1), 0
+            for m in self.specials.finditer(held) if self.specials else ():
+                if m.start() >= safe:
+                    break
+                yield held[at : m.start()], m[0]
+                at = m.end()
+            stop = max(at, safe)
+            yield held[at:stop], None
+            held = held[stop:]
+        at = 0
+        for m in self.specials.finditer(held) if self.specials else ():
+            yield held[at : m.start()], m[0]
+            at = m.end()
+        yield held[at:], None
+
+    def stream(self, parts: Iterable[str]):
+        """Lists of (ids, the same as decimals) of a text that comes in parts, as they become stable."""
+        now = Stream(self)
+        for text, special in self._segments(parts):
+            for at in range(0, len(text), STEP):
+                yield now.feed(text[at : at + STEP])
+            if special is not None:
+                yield now.feed("", True)
+                yield [said([self.merges.special[special]])]
+                now = Stream(self)
+        yield now.feed("", True)
 
     def chunks(self, text: str):
-        """Lists of ids of ``text``, special strings included, as they become stable."""
-        at = 0
-        if self.specials is not None and "<" in text or self.specials is not None and not all(s.startswith("<") for s in self.merges.special):
-            for m in self.specials.finditer(text):
-                yield from self._plain(text[at : m.start()])
-                yield [self.merges.special[m[0]]], b"%d" % self.merges.special[m[0]]
-                at = m.end()
-        yield from self._plain(text[at:] if at else text)
-
-    def _plain(self, text: str):
-        if not text:
-            return
-        memo = self.memo
-        for words in self.words(text):
-            ids: list[int] = []
-            said: list[bytes] = []
-            for w in words:
-                hit = memo.get(w)
-                if hit is None:
-                    raw = w.encode("utf-8", "replace")
-                    if len(raw) > LONG_WORD:
-                        for part in self._long(raw):
-                            ids += part
-                            said.append(b",".join([b"%d" % i for i in part]))
-                        continue
-                    got = self.merges.encode_word(raw)
-                    hit = (got, b",".join([b"%d" % i for i in got]))
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    memo[w] = hit
-                ids += hit[0]
-                said.append(hit[1])
-            if ids:
-                yield ids, b",".join(said)
+        """The same for a text at hand; one of a step or less, without special strings, takes one feed."""
+        if len(text) <= STEP and not any(s in text for s in self.merges.special):
+            yield list(map(self.memo.__getitem__, self.split(text)))
+        else:
+            yield from self.stream(text[at : at + STEP] for at in range(0, len(text), STEP))
 
     def encode(self, text: str) -> list[int]:
         """All ids of ``text``."""
-        return [i for ids, _ in self.chunks(text) for i in ids]
+        return [i for some in self.chunks(text) for ids, _ in some for i in ids]
 
 
 class Decoder:
@@ -219,8 +290,7 @@ class Decoder:
         self.text = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: list[int], final: bool = False) -> str:
-        table = self.bytes_of
-        return self.text.decode(b"".join([table[i] for i in ids]), final)
+        return self.text.decode(b"".join(map(self.bytes_of.__getitem__, ids)), final)
 
 
 def digests(transducer: Transducer, text: str | None) -> tuple[int, str, str]:
@@ -228,11 +298,14 @@ def digests(transducer: Transducer, text: str | None) -> tuple[int, str, str]:
     with no list of all ids."""
     ids_sha, text_sha, n = hashlib.sha256(), hashlib.sha256(), 0
     decoder = Decoder_of(transducer.merges)
-    for ids, said in transducer.chunks(text or ""):
+    for some in transducer.chunks(text or ""):
+        ids = list(chain.from_iterable([ids for ids, _ in some]))
+        if not ids:
+            continue
         if n:
             ids_sha.update(b",")
         n += len(ids)
-        ids_sha.update(said)
+        ids_sha.update(b",".join([x for _, x in some if x]))
         text_sha.update(decoder.feed(ids).encode("utf-8"))
     text_sha.update(decoder.feed([], True).encode("utf-8"))
     return n, ids_sha.hexdigest(), text_sha.hexdigest()

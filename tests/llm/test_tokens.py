@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import resource
 import zlib
 from functools import lru_cache
 
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from skyloom.llm import bpe
 from skyloom.llm import op2_token_counts as o2
 from skyloom.llm import op4_packing as o4
 from skyloom.llm import op7_bpe as o7
@@ -43,6 +45,34 @@ def test_long_texts_are_encoded_in_steps(text):
     assert transducer_for(PATH).encode(text) == ids_of(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", " ", "  ", "\n", "'", "'s", "'re", "'ll", "1", "23", "!", "é", "漢", "<|endoftext|>", "<|endof", "x" * 30, " " * 30, "!" * 30, "7" * 30, "the", "ou"]), max_size=40), st.integers(1, 9), st.integers(4, 12))
+def test_small_steps_change_nothing(parts, step, long):
+    made, text = transducer_for(PATH), "".join(parts)
+    before = bpe.STEP, bpe.LONG
+    bpe.STEP, bpe.LONG = step, long
+    try:
+        got = [i for some in made.stream(parts) for ids, _ in some for i in ids]
+        assert got == made.encode(text) == ids_of(text)
+    finally:
+        bpe.STEP, bpe.LONG = before
+
+
+@pytest.mark.parametrize("unit", ["the", " ", "-=", "é"])
+def test_memory_stays_constant_over_one_long_word(unit):
+    """64 MB of one word, in parts: what's held at any time is a few steps. Ids are compared with a shorter word's."""
+    made, part = transducer_for(PATH), unit * 64_000
+    short = [i for some in made.stream([part]) for ids, _ in some for i in ids]
+    n, first, last, before = 0, [], [], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for some in made.stream(part for _ in range((64 << 20) // len(part.encode()))):
+        for ids, _ in some:
+            n += len(ids)
+            first = first or list(ids)
+            last = list(ids) or last
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 8 << 10 and n > 1 << 18
+    assert short[: len(first)] == first and short[-len(last) :] == last
+
+
 def test_stable_tokens_stay():
     """What the lookahead calls stable at a cut is a prefix of the ids of any longer word."""
     made, draw = transducer_for(PATH).merges, random.Random(3)
