@@ -139,28 +139,23 @@ def fewest_bins(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndar
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``items`` (doc_id, piece, length and more) with sequence_id and offset.
+    """``items``, a written table with rid (long, distinct, never null) and length, with sequence_id and offset.
 
-    Pieces as long as a sequence need no search. The rest is dealt into shards at random by its keys.
+    Only rid and length go through Python, so that no other column's values or nulls can suffer there. Pieces as long as a
+    sequence need no search. The rest is dealt into shards at random by rid, so that no repeated id makes a shard larger.
     """
-    rest = items.filter(F.col("length") < capacity)
-    full = items.filter(F.col("length") >= capacity)
+    is_full = F.col("length") >= capacity
+    rest = items.filter(~is_full)
     shards = max(1, -(-rest.count() // shard_rows))
-    keys = [c for c in items.columns if c not in ("sequence_id", "offset")]
-    schema = items.select(*keys).schema
-    from pyspark.sql.types import LongType, StructType
-
-    packed_schema = StructType([*schema.fields]).add("shard", LongType()).add("bin", LongType()).add("offset", LongType()).add("fill", LongType())
 
     def pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
+        rows = rows.sort_values("rid", kind="stable", ignore_index=True)
         bins, offsets, fill = fewest_bins(rows["length"].to_numpy(), capacity)
-        return rows.assign(bin=bins, offset=offsets, fill=fill[bins])[[f.name for f in packed_schema]]
+        return rows.assign(bin=bins, offset=offsets, fill=fill[bins])[["rid", "shard", "bin", "offset", "fill"]]
 
-    # every copy of a row needs a place of its own, so the shard is drawn by key and the rows stay whole
-    first = materialize(rest.select(*keys, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard")).groupBy("shard").applyInPandas(pack_shard, packed_schema), "packed")
-    bins = first.filter(F.col("offset") == 0).select("shard", "bin", "fill")
-    loose = bins.filter(F.col("fill") < capacity)
+    dealt = rest.select("rid", "length", F.pmod(F.xxhash64("rid"), F.lit(shards)).alias("shard")).repartition(shards, "shard")
+    first = materialize(dealt.groupBy("shard").applyInPandas(pack_shard, "rid long, shard long, bin long, offset long, fill long"), "packed")
+    loose = first.filter((F.col("offset") == 0) & (F.col("fill") < capacity)).select("shard", "bin", "fill")
     again = max(1, -(-loose.count() // shard_rows))
 
     def pack_bins(rows: pd.DataFrame) -> pd.DataFrame:
@@ -168,28 +163,32 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROW
         made, offsets, _ = fewest_bins(rows["fill"].to_numpy(), capacity)
         return rows.assign(made=made, base=offsets)[["shard", "bin", "again", "made", "base"]]
 
-    moved = loose.withColumn("again", F.pmod(F.xxhash64("shard", "bin"), F.lit(again))).groupBy("again").applyInPandas(pack_bins, "shard long, bin long, again long, made long, base long")
+    redealt = loose.withColumn("again", F.pmod(F.xxhash64("shard", "bin"), F.lit(again))).repartition(again, "again")
+    moved = redealt.groupBy("again").applyInPandas(pack_bins, "shard long, bin long, again long, made long, base long")
     # numbers: three residues keep full pieces, untouched bins and repacked bins apart
     placed = first.join(moved, ["shard", "bin"], "left").select(
-        *keys,
+        "rid",
         F.when(F.col("made").isNull(), (F.col("bin") * shards + F.col("shard")) * 3).otherwise((F.col("made") * again + F.col("again")) * 3 + 1).alias("sequence_id"),
         (F.col("offset") + F.coalesce(F.col("base"), F.lit(0))).alias("offset"),
     )
-    whole = full.select(*keys, (F.monotonically_increasing_id() * 3 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return placed.unionByName(whole)
+    whole = items.filter(is_full).select("*", (F.col("rid") * 3 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return rest.join(placed, "rid").unionByName(whole)
+
+
+def _numbered(cut: DataFrame) -> DataFrame:
+    return cut.select(F.monotonically_increasing_id().alias("rid"), "*")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, shard_rows: int = SHARD_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every document."""
     cut = pieces(docs, path, capacity, end_id, id_col, text_col)
-    narrow = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(materialize(narrow, "pieces"), capacity, shard_rows)
+    narrow = _numbered(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return pack(materialize(narrow, "pieces"), capacity, shard_rows).drop("rid")
 
 
 def sequences(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(sequence_id, ids binary, n): the packed sequences themselves. A sequence gathers ``capacity`` pieces at most."""
-    cut = materialize(pieces(docs, path, capacity, end_id, id_col, text_col), "pieces-with-ids")
-    placed = pack(cut, capacity)
+    placed = pack(materialize(_numbered(pieces(docs, path, capacity, end_id, id_col, text_col)), "pieces-with-ids"), capacity)
     parts = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("p"), F.sum("length").alias("n"))
     return parts.select("sequence_id", F.expr("aggregate(p, cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"), "n")
 
