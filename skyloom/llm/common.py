@@ -15,8 +15,10 @@ _written: list[str] = []
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker gets at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    """Bounds what a Python worker gets at once. Spark has this setting by session only, and reads it when a plan runs; it's lowered, never raised."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, ARROW_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all runs in this process (tests)."""
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir", None)
     if known:
@@ -34,6 +36,8 @@ def shared_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="skyloom-")
     sc.setCheckpointDir(made)
     return made
@@ -61,12 +65,20 @@ def materialize_narrow(df: DataFrame, name: str) -> DataFrame:
     return materialize(df.coalesce(max(32, 4 * df.sparkSession.sparkContext.defaultParallelism)), name)
 
 
-def clean(spark: SparkSession) -> None:
-    """Deletes what :func:`materialize` wrote in this application. Frames that read it can't be used any more."""
+def clean(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Deletes what :func:`materialize` wrote in this application, from the table number ``since`` on, but for the table ``keep`` reads.
+    Frames that read the others can't be used any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        at = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    kept = [p for p in _written[since:] if keep is not None and any(p.split("/")[-1] in f for f in keep.inputFiles()[:1])]
+    for path in set(_written[since:]) - set(kept):
+        at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(conf).delete(at, True)
+    _written[since:] = kept
+
+
+def written() -> int:
+    """How many tables :func:`materialize` has written; what's written later can be deleted by :func:`clean`."""
+    return len(_written)
 
 
 def collected(df: DataFrame) -> pd.DataFrame:

@@ -41,3 +41,16 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before:
             break
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+
+
+def with_least(found: DataFrame, values: DataFrame, share: int = 1000) -> DataFrame:
+    """(node, root, component): ``found`` with the least least_id of each component. ``found``: a written table of :func:`components`;
+    ``values``: node, least_id.
+
+    Minima are combined before the exchange. Components with more than one node in ``share`` are at most ``share``, so these are sent
+    to all tasks, and no task gets a large component's nodes; only the others' nodes are dealt by root.
+    """
+    by_root = materialize_narrow(values.join(found, "node").groupBy("root").agg(F.min("least_id").alias("component"), F.count("*").alias("size")), "component-minima")
+    large = F.broadcast(by_root.filter(F.col("size") * share > found.count()).select("root", "component"))
+    rest = found.join(large.select("root"), "root", "left_anti").join(by_root.select("root", "component"), "root")
+    return found.join(large, "root").unionByName(rest).select("node", "root", "component")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import collected, materialize, materialize_narrow, packed, table
-from .components import components
+from .components import components, with_least
 from .signature_tree import Union, enough, joined, overlap
 
 WORDS = 5
@@ -93,10 +93,13 @@ def _reduced(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
                 toks.append(None if c is None or c in seen else _signed(order_tokens(s, num, den)))
                 if c is not None:
                     seen.add(c)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "n": n, "cls": cls, "toks": toks})
+            yield pd.DataFrame({"id": batch["id"], "known": batch["known"], "mark": batch["mark"], "n": n, "cls": cls, "toks": toks})
 
-    made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _mark(F.col("text")).alias("mark")).mapInPandas(each, "doc_id long, mark long, n long, cls binary, toks array<long>")
-    return made.select(F.monotonically_increasing_id().alias("rid"), "*")
+    # a column of longs with a null would be doubles in pandas, and ids above 2^53 would change
+    doc_id = F.col("doc_id").cast("long")
+    sent = docs.select(F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNotNull().alias("known"), "text", _mark(F.col("text")).alias("mark"))
+    made = sent.mapInPandas(each, "id long, known boolean, mark long, n long, cls binary, toks array<long>")
+    return made.select(F.monotonically_increasing_id().alias("rid"), F.when(F.col("known"), F.col("id")).alias("doc_id"), "mark", "n", "cls", "toks")
 
 
 def _blocks(reduced: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -243,8 +246,7 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     if large.limit(1).count():
         edges = edges.unionByName(_cross_links(large, found, members, chunk, num, den))
         found = materialize_narrow(components(edges), "components")
-    in_one = classes.join(found, "node").groupBy("root").agg(F.min("least_id").alias("component"))
-    by_class = classes.join(found, "node", "left").join(in_one, "root", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
+    by_class = classes.join(with_least(found, classes), "node", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
     plain = reduced.filter(F.col("cls").isNull()).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("root"))
     linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "mark", "n", "cls").join(materialize_narrow(by_class, "component-of-class"), "cls")
     return linked.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "root").unionByName(plain)
