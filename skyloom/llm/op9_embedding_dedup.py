@@ -1,15 +1,15 @@
 """Operator 9: near duplicates of embeddings by randomised-rotation binary codes with stored correction factors.
 
-A unit vector is rotated by several random rotations and kept as the signs of its coordinates, with the inner product of
-the rotated vector and its scaled signs as the correction factor of each rotation. For another vector y, the scaled
-signs' inner product with y's rotation, divided by that factor, estimates the cosine without bias, and its spread is known from the factor. Only pairs
-whose estimate plus ``sigmas`` spreads reaches the threshold are computed exactly; only the exact value decides a link.
+A unit vector is turned by several random rotations and kept as the signs of its coordinates, with one correction factor: the inner product of
+the turned vector and its scaled signs. The scaled signs of two vectors agree as far as the arcsine of their cosine says, up to the factors; so the
+number of bits in which two codes differ (XOR and a count of bits) gives an estimate of the cosine without bias, and its spread is known from the
+number of bits. Only pairs whose estimate comes within ``sigmas`` spreads of the threshold are computed exactly; only the exact value decides a link.
 
-The bits of the codes are dealt into bands; vectors that agree in a band meet. The number of bits a band follows the number of
-vectors and the number of bands is such that a pair right at the threshold meets with probability ``recall``
-(closer pairs do so almost surely). A pair counts in the first band it meets in. Copies are compared once, as a class.
-Bands' groups larger than a chunk are dealt into pairs of chunks. All pairs within a group are judged there and only counts and
-a spanning star leave the task.
+Bands are parts of the code; vectors that agree in a band meet. The number of bits a band follows the number of vectors, and the number of bands is
+such that a pair right at the threshold meets with probability ``recall`` (closer pairs do so almost surely). A pair counts in the first
+band it meets in. Only codes travel through the bands. A vector is sent to those groups alone in which it has a pair to be computed. Copies are compared
+once, as a class. Bands' groups larger than a chunk are dealt into pairs of chunks. All pairs within a group are judged there, and only counts
+and a spanning star leave the task.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Repeated ids are vectors of
 their own. A row with a null id may link others; its kept is false.
@@ -22,157 +22,198 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
-from .components import components
+from .components import components, with_least
 from .signature_tree import Union
-from .vectors import as_vector
+from .vectors import loaded, read_vectors
 
 THRESHOLD, RECALL, SIGMAS = 0.9, 0.999, 4.0
-CHUNK = 1024
-#: Vectors that should meet in a band's group by chance.
-PER_GROUP = 32
+#: Components of a chunk's vectors together: 4,096 vectors of 64.
+CHUNK_SIZE = 1 << 18
+#: Vectors that should meet in a band's group by chance, and the least number of bits of a code.
+PER_GROUP, CODE_BITS = 1024, 256
 
 
-def plan(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
-    """Bits a band and number of bands for ``n`` vectors."""
-    bits = min(30, max(6, round(math.log2(max(n, 2) / PER_GROUP))))
-    meet = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+def code_bits(dim: int) -> int:
+    """Whole rotations of ``dim`` bits each."""
+    return -(-CODE_BITS // dim) * dim
+
+
+def plan(n: int, dim: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
+    """Bits a band and number of bands for ``n`` vectors. At the threshold, the number of differing bits is binomial; the probability to meet
+    in no band is taken over it."""
+    size, differ = code_bits(dim), math.acos(threshold) / math.pi
+    bits = min(30, size // 2, max(6, round(math.log2(max(n, 2) / PER_GROUP))))
+    h = np.arange(size - bits + 1)
+    weight = np.exp([math.lgamma(size + 1) - math.lgamma(k + 1) - math.lgamma(size - k + 1) + k * math.log(differ) + (size - k) * math.log(1 - differ) for k in h.tolist()])
+    meet = np.prod([(size - h - i) / (size - i) for i in range(bits)], axis=0)
+    missed = lambda bands: 1 - weight.sum() + (weight * (1 - meet) ** bands).sum()
+    bands = 1
+    while missed(bands) > 1 - recall and bands < 4000:
+        bands += max(1, bands // 16)
+    return bits, bands
 
 
 @lru_cache(maxsize=8)
-def rotations(dim: int, n: int) -> np.ndarray:
-    """``n`` random rotations, side by side: dim x (n dim)."""
+def positions(size: int, bits: int, bands: int) -> np.ndarray:
+    """Bands x bits: which of the code's bits make each band; bands share bits only once all are used."""
+    draw, need = np.random.default_rng(7), bits * bands
+    per = size // bits
+    return np.concatenate([draw.permutation(size)[: per * bits].reshape(per, bits) for _ in range(-(-need // (per * bits)))])[:bands]
+
+
+@lru_cache(maxsize=8)
+def rotations(dim: int) -> np.ndarray:
+    """Random rotations, side by side: dim x bits of a code."""
     draw = np.random.default_rng(20_000 + dim)
-    return np.concatenate([np.linalg.qr(draw.standard_normal((dim, dim)))[0] for _ in range(n)], axis=1)
+    return np.concatenate([np.linalg.qr(draw.standard_normal((dim, dim)))[0] for _ in range(code_bits(dim) // dim)], axis=1)
 
 
-def encode(unit: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sign bits (rows x bytes, packed) and factors (rows x rotations) of unit vectors."""
-    dim = unit.shape[1]
-    n = -(-n_bits // dim)
-    turned = unit @ rotations(dim, n)
-    factor = np.abs(turned).reshape(len(unit), n, dim).sum(axis=2) / math.sqrt(dim)
-    return np.packbits(turned >= 0, axis=1), factor
+def encode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sign bits (rows x 64-bit words) and the correction factor of unit vectors."""
+    dim, size = unit.shape[1], code_bits(unit.shape[1])
+    turned = unit @ rotations(dim)
+    packed = np.packbits(turned >= 0, axis=1)
+    words = np.zeros((len(unit), -(-size // 64) * 8), np.uint8)
+    words[:, : packed.shape[1]] = packed
+    return words.view(np.uint64), (np.abs(turned).mean(axis=1) * math.sqrt(dim)).astype(np.float32)
 
 
-def band_keys(code: np.ndarray, bits: int, bands: int) -> np.ndarray:
+def band_keys(code: np.ndarray, where: np.ndarray) -> np.ndarray:
     """Rows x bands: the bits of each band as a number."""
-    on = np.unpackbits(code, axis=1)[:, : bits * bands].reshape(len(code), bands, bits).astype(np.int64)
-    return on @ (1 << np.arange(bits, dtype=np.int64))
-
-
-def estimates(code: np.ndarray, factor: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of the coded rows with the unit vectors, and the spread of each row's."""
-    dim, n = unit.shape[1], factor.shape[1]
-    sign = np.where(np.unpackbits(code, axis=1)[:, : n * dim], 1.0, -1.0)
-    scaled = (sign.reshape(len(code), n, dim) / (math.sqrt(dim) * factor[:, :, None] * n)).reshape(len(code), n * dim)
-    spread = np.sqrt(((1 - np.minimum(factor, 1) ** 2) / factor**2).sum(axis=1)) / (n * math.sqrt(max(dim - 1, 1)))
-    return scaled @ (unit @ rotations(dim, n)).T, spread
-
-
-def _judge(threshold: float, sigmas: float, bits: int, bands: int):
-    """Rows of groups -> (a, b, n): n links that a gets here (b null), or a link of the star (n null)."""
-
-    def run(batches):
-        for rows in _groups(batches):
-            first = rows[0]
-            if len(rows) < 2:
-                continue
-            nodes = np.array([r.node for r in rows], dtype=np.int64)
-            vec = np.frombuffer(b"".join(r.vec for r in rows)).reshape(len(rows), -1)
-            unit = vec / np.sqrt((vec * vec).sum(axis=1))[:, None]
-            code = np.frombuffer(b"".join(r.code for r in rows), np.uint8).reshape(len(rows), -1)
-            factor = np.frombuffer(b"".join(r.factor for r in rows)).reshape(len(rows), -1)
-            est, spread = estimates(code, factor, unit)
-            side = np.array([r.chunk for r in rows])
-            maybe = est + sigmas * spread[:, None] >= threshold
-            maybe |= maybe.T  # each of the two estimates may speak for a pair
-            maybe &= nodes[:, None] < nodes[None, :]
-            if first.i != first.j:
-                maybe &= side[:, None] != side[None, :]
-            x, y = np.nonzero(maybe)
-            if not len(x):
-                continue
-            keys = band_keys(code, bits, bands)[:, : first.band]
-            links, known = np.zeros(len(rows), np.int64), Union(len(rows))
-            copies = np.array([r.copies for r in rows], dtype=np.int64)
-            for at in range(0, len(x), 1 << 16):
-                p, q = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                if first.band:
-                    new = ~(keys[p] == keys[q]).any(axis=1)
-                    p, q = p[new], q[new]
+    on = np.unpackbits(np.ascontiguousarray(code).view(np.uint8), axis=1)[:, where.ravel()].reshape(len(code), *where.shape).astype(np.int64)
+    return on @ (1 << np.arange(where.shape[1], dtype=np.int64))
+
+
+def _angles(code: np.ndarray, factor: np.ndarray, code2: np.ndarray, factor2: np.ndarray, dim: int) -> np.ndarray:
+    """Estimated arcsines of the cosines, rows of the one with rows of the other; by counts of differing bits."""
+    differ = np.zeros((len(code), len(code2)), np.int32)
+    for k in range(code.shape[1]):
+        differ += np.bitwise_count(code[:, k, None] ^ code2[None, :, k])
+    return (1 - (2 / code_bits(dim)) * differ) / (factor[:, None].astype(float) * factor2[None, :])
+
+
+def _dim_of(code: np.ndarray, dim: int | None) -> int:
+    return dim or 64 * code.shape[1]
+
+
+def estimates(code, factor, code2, factor2, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated cosines and their spread. The sine of an estimate with a spread falls short by a factor that is known."""
+    size = code_bits(_dim_of(code, dim))
+    angle = np.clip(_angles(code, factor, code2, factor2, _dim_of(code, dim)), -math.pi / 2, math.pi / 2)
+    share = np.clip(0.5 - angle / math.pi, 0.5 / size, 1 - 0.5 / size)
+    spread = math.pi * np.sqrt(share * (1 - share) / size)
+    return np.clip(np.sin(angle) * np.exp(spread**2 / 2), -1, 1), spread
+
+
+def possible(code, factor, code2, factor2, threshold: float, sigmas: float, dim: int | None = None) -> np.ndarray:
+    """Which pairs' estimates come within ``sigmas`` spreads of the threshold; the spread is that of a pair right at it."""
+    size, share = code_bits(_dim_of(code, dim)), math.acos(threshold) / math.pi
+    return _angles(code, factor, code2, factor2, _dim_of(code, dim)) >= math.asin(threshold) - sigmas * math.pi * math.sqrt(share * (1 - share) / size)
+
+
+def _maybe(rows: pd.DataFrame, where: np.ndarray, threshold: float, sigmas: float):
+    """(x, y) positions of a group's pairs that have to be computed here: estimated close enough, and in no earlier band together.
+    Some rows at a time; in a group of two chunks, only pairs across them."""
+    dim, band = int(rows["dim"].iloc[0]), int(rows["band"].iloc[0])
+    raw = rows["code"]
+    code = np.frombuffer(b"".join(raw), np.uint64).reshape(len(rows), -1)
+    factor = rows["factor"].to_numpy(np.float32)
+    nodes, side = rows["node"].to_numpy(np.int64), rows["side"].to_numpy()
+    across = rows["i"].iloc[0] != rows["j"].iloc[0]
+    keys = band_keys(code, where[:band]) if band else None
+    for at in range(0, len(rows), 512):
+        some = slice(at, at + 512)
+        ok = possible(code[some], factor[some], code, factor, threshold, sigmas, dim) & (nodes[some, None] < nodes[None, :])
+        if across:
+            ok &= side[some, None] != side[None, :]
+        x, y = np.nonzero(ok)
+        x += at
+        if band and len(x):
+            new = np.ones(len(x), bool)
+            for k in range(0, len(x), 1 << 16):
+                new[k : k + (1 << 16)] = ~(keys[x[k : k + (1 << 16)]] == keys[y[k : k + (1 << 16)]]).any(axis=1)
+            x, y = x[new], y[new]
+        if len(x):
+            yield x, y
+
+
+def _codes_only(where, threshold: float, sigmas: float):
+    """A group's rows, without vectors -> those that have a pair to be computed there."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        used = np.zeros(len(rows), bool)
+        for x, y in _maybe(rows, where.value[int(rows["dim"].iloc[0])], threshold, sigmas):
+            used[x] = used[y] = True
+        return rows.loc[used, ["node", "dim", "band", "key", "i", "j", "side"]]
+
+    return run
+
+
+def _judge(where, threshold: float, sigmas: float):
+    """A group's rows with vectors -> (a, b, n): n links that a gets here (b is -1), or a link of the star (n is 0)."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        vec = loaded(rows["vec"], int(rows["dim"].iloc[0]))
+        unit = vec / np.sqrt((vec * vec).sum(axis=1))[:, None]
+        nodes, copies = rows["node"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
+        links, known = np.zeros(len(rows), np.int64), Union(len(rows))
+        for xs, ys in _maybe(rows, where.value[int(rows["dim"].iloc[0])], threshold, sigmas):
+            for at in range(0, len(xs), 1 << 14):
+                p, q = xs[at : at + (1 << 14)], ys[at : at + (1 << 14)]
                 ok = (unit[p] * unit[q]).sum(axis=1) >= threshold
                 p, q = p[ok], q[ok]
                 np.add.at(links, p, copies[q])
                 np.add.at(links, q, copies[p])
                 for i, j in zip(p.tolist(), q.tolist(), strict=True):
                     known.link(i, j)
-            out = [(int(nodes[k]), None, int(n)) for k, n in enumerate(links.tolist()) if n] + [(int(nodes[known.find(k)]), int(nodes[k]), None) for k in range(len(rows)) if known.find(k) != k]
-            if out:
-                yield pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "Int64"})
+        top = np.array([known.find(k) for k in range(len(rows))])
+        has, star = np.flatnonzero(links), np.flatnonzero(top != np.arange(len(rows)))
+        return pd.DataFrame({"a": np.r_[nodes[has], nodes[top[star]]], "b": np.r_[np.full(len(has), -1), nodes[star]], "n": np.r_[links[has], np.zeros(len(star), np.int64)]})
 
     return run
 
 
-def _groups(batches):
-    held, key = [], None
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            k = (row.dim, row.band, row.key, row.i, row.j)
-            if k != key and held:
-                yield held
-                held = []
-            key = k
-            held.append(row)
-    if held:
-        yield held
-
-
-def duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, sigmas: float = SIGMAS, chunk: int = CHUNK, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, sigmas: float = SIGMAS, chunk_size: int = CHUNK_SIZE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
-
-    @F.pandas_udf("dim int, vec binary, cls binary")
-    def read(column: pd.Series) -> pd.DataFrame:
-        got = [as_vector(v) for v in column]
-        raw = [None if a is None else a.tobytes() for a in got]
-        return pd.DataFrame({"dim": [None if a is None else len(a) for a in got], "vec": raw, "cls": [None if b is None else xxhash.xxh3_128_digest(b) for b in raw]}).astype({"dim": "Int32"})
-
-    made = vectors.select(F.col(id_col).cast("long").alias("vec_id"), read.asNondeterministic()(F.col(vec_col)).alias("r"))
-    rows = materialize(made.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "r.dim", "r.vec", "r.cls"), "vectors")
+    spark = vectors.sparkSession
+    rows = materialize(read_vectors(vectors, id_col, vec_col).select(F.monotonically_increasing_id().alias("rid"), "vec_id", "dim", "vec", "cls"), "vectors")
     grouped = rows.filter(F.col("cls").isNotNull()).groupBy("dim", "cls").agg(F.min("rid").alias("node"), F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
     classes = materialize(grouped, "vector-classes")
-    bits, bands = plan(classes.count(), threshold, recall)
-
-    @F.pandas_udf("code binary, factor binary, keys array<long>")
-    def coded(column: pd.Series) -> pd.DataFrame:
-        out = []
-        for raw in column:
-            a = np.frombuffer(raw)
-            code, factor = encode((a / np.sqrt((a * a).sum()))[None, :], bits * bands)
-            out.append((code.tobytes(), factor.tobytes(), band_keys(code, bits, bands)[0]))
+    plans = {r["dim"]: plan(r["n"], r["dim"], threshold, recall) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a row a vector length
+    where = spark.sparkContext.broadcast({dim: positions(code_bits(dim), *p) for dim, p in plans.items()})
+
+    @F.pandas_udf("code binary, factor float, keys array<long>")
+    def coded(dims: pd.Series, vecs: pd.Series) -> pd.DataFrame:
+        out: list = [None] * len(dims)
+        for dim in dims.unique().tolist():
+            at = np.flatnonzero(dims.to_numpy() == dim)
+            x = loaded(vecs.iloc[at], dim)
+            code, factor = encode(x / np.sqrt((x * x).sum(axis=1))[:, None])
+            for i, c, f, k in zip(at.tolist(), code, factor, band_keys(code, where.value[dim]), strict=True):
+                out[i] = (c.tobytes(), f, k)
         return pd.DataFrame(out, columns=["code", "factor", "keys"])
 
     firsts = rows.select(F.col("rid").alias("node"), "vec").join(classes.select("node", "dim", "copies"), "node")
-    codes = materialize(firsts.withColumn("r", coded.asNondeterministic()("vec")).select("node", "dim", "copies", "vec", "r.*"), "vector-codes")
-    entries = codes.select("node", "dim", "copies", "vec", "code", "factor", F.posexplode("keys").alias("band", "key"))
-    counted = codes.select("dim", F.posexplode("keys").alias("band", "key")).groupBy("dim", "band", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = materialize(counted.select("dim", "band", "key", F.ceil(F.col("n") / chunk).alias("chunks")), "band-groups")
-    dealt = entries.join(sizes, ["dim", "band", "key"]).withColumn("chunk", F.pmod(F.xxhash64("node", "band"), "chunks"))
+    codes = materialize(firsts.withColumn("r", coded.asNondeterministic()("dim", "vec")).select("node", "dim", "copies", "vec", "r.*"), "vector-codes")
+    keyed = codes.select("dim", F.posexplode("keys").alias("band", "key"))
+    # only groups of more than a chunk are dealt; a chunk has chunk_size components
+    large = keyed.groupBy("dim", "band", "key").agg(F.ceil(F.count("*") * F.col("dim") / chunk_size).cast("int").alias("chunks")).filter("chunks > 1")
+    entries = codes.select("node", "dim", "code", "factor", F.posexplode("keys").alias("band", "key")).join(materialize(large, "large-groups"), ["dim", "band", "key"], "left")
+    dealt = entries.withColumn("chunk", F.pmod(F.xxhash64("node", "band"), F.coalesce("chunks", F.lit(1))).cast("int"))
     # a row goes to each pair of chunks that its own is in
-    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    pairs = other.withColumn("i", F.least("chunk", "o")).withColumn("j", F.greatest("chunk", "o")).drop("o", "chunks")
-    order = ["dim", "band", "key", "i", "j"]
-    judged = pairs.repartition(*order).sortWithinPartitions(*order).mapInPandas(_judge(threshold, sigmas, bits, bands), "a long, b long, n long")
-    found = materialize(judged, "vector-links")
-    links = found.filter("n is not null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
-    parts = materialize(components(found.filter("b is not null").select("a", "b")), "components")
-    least = classes.join(parts, "node").groupBy("root").agg(F.min("least_id").alias("component"))
-    by_class = classes.join(parts, "node", "left").join(least, "root", "left").join(links, "node", "left")
+    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
+    placed = other.select("node", "dim", "band", "key", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), (F.col("chunk") > F.col("o")).alias("side"), "code", "factor")
+    group = ["dim", "band", "key", "i", "j"]
+    open_ = materialize(placed.groupBy(*group).applyInPandas(_codes_only(where, threshold, sigmas), "node long, dim int, band int, key long, i int, j int, side boolean"), "open-pairs")
+    with_vectors = open_.join(codes.select("node", "copies", "vec", "code", "factor"), "node")
+    found = materialize(with_vectors.groupBy(*group).applyInPandas(_judge(where, threshold, sigmas), "a long, b long, n long"), "vector-links")
+    links = found.filter("b < 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    parts = materialize(components(found.filter("b >= 0").select("a", "b")), "components")
+    by_class = classes.join(with_least(parts, classes), "node", "left").join(links, "node", "left")
     by_class = materialize(by_class.select("dim", "cls", F.coalesce("component", "least_id").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "result-of-class")
     linked = rows.filter(F.col("cls").isNotNull()).select("vec_id", "dim", "cls").join(by_class, ["dim", "cls"]).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
     alone = rows.filter(F.col("cls").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
