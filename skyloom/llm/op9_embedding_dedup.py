@@ -122,13 +122,13 @@ def _maybe(rows: pd.DataFrame, where: np.ndarray, threshold: float, sigmas: floa
     raw = rows["code"]
     code = np.frombuffer(b"".join(raw), np.uint64).reshape(len(rows), -1)
     factor = rows["factor"].to_numpy(np.float32)
-    nodes, side = rows["node"].to_numpy(np.int64), rows["side"].to_numpy()
-    across = rows["i"].iloc[0] != rows["j"].iloc[0]
+    nodes = rows["node"].to_numpy(np.int64)
+    sides = [rows[c].to_numpy() for c, i, j in (("side", "i", "j"), ("side2", "i2", "j2")) if c in rows and rows[i].iloc[0] != rows[j].iloc[0]]
     keys = band_keys(code, where[:band]) if band else None
     for at in range(0, len(rows), 512):
         some = slice(at, at + 512)
         ok = possible(code[some], factor[some], code, factor, threshold, sigmas, dim) & (nodes[some, None] < nodes[None, :])
-        if across:
+        for side in sides:
             ok &= side[some, None] != side[None, :]
         x, y = np.nonzero(ok)
         x += at
@@ -177,6 +177,18 @@ def _judge(where, threshold: float, sigmas: float):
     return run
 
 
+def _dealt(entries: DataFrame, counted: DataFrame, group: list[str], chunk_size: int, name: str = "") -> tuple[DataFrame, list[str]]:
+    """``entries`` with i, j and side, and what to group by then: groups of more than a chunk are dealt into chunks, and a row goes to
+    each pair of chunks that its own is in; pairs meet in one of these. ``counted``: the same rows, without what they carry."""
+    i, j, side = (c + name for c in ("i", "j", "side"))
+    sized = counted.groupBy(*group).agg(F.ceil(F.count("*") * F.col("dim") / chunk_size).cast("int").alias("chunks")).filter("chunks > 1")
+    chunks = F.coalesce("chunks", F.lit(1))
+    dealt = entries.join(materialize(sized, "large-groups"), group, "left").withColumn("chunk", F.pmod(F.xxhash64("node", "band", F.lit(name)), chunks).cast("int"))
+    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    made = other.withColumns({i: F.least("chunk", "o"), j: F.greatest("chunk", "o"), side: F.col("chunk") > F.col("o")}).drop("chunks", "chunk", "o")
+    return made, [*group, i, j]
+
+
 def duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, sigmas: float = SIGMAS, chunk_size: int = CHUNK_SIZE, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     spark = vectors.sparkSession
@@ -199,18 +211,14 @@ def duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
 
     firsts = rows.select(F.col("rid").alias("node"), "vec").join(classes.select("node", "dim", "copies"), "node")
     codes = materialize(firsts.withColumn("r", coded.asNondeterministic()("dim", "vec")).select("node", "dim", "copies", "vec", "r.*"), "vector-codes")
-    keyed = codes.select("dim", F.posexplode("keys").alias("band", "key"))
-    # only groups of more than a chunk are dealt; a chunk has chunk_size components
-    large = keyed.groupBy("dim", "band", "key").agg(F.ceil(F.count("*") * F.col("dim") / chunk_size).cast("int").alias("chunks")).filter("chunks > 1")
-    entries = codes.select("node", "dim", "code", "factor", F.posexplode("keys").alias("band", "key")).join(materialize(large, "large-groups"), ["dim", "band", "key"], "left")
-    dealt = entries.withColumn("chunk", F.pmod(F.xxhash64("node", "band"), F.coalesce("chunks", F.lit(1))).cast("int"))
-    # a row goes to each pair of chunks that its own is in
-    other = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
-    placed = other.select("node", "dim", "band", "key", F.least("chunk", "o").alias("i"), F.greatest("chunk", "o").alias("j"), (F.col("chunk") > F.col("o")).alias("side"), "code", "factor")
-    group = ["dim", "band", "key", "i", "j"]
+    keyed = codes.select("node", "dim", F.posexplode("keys").alias("band", "key"))
+    entries = codes.select("node", "dim", "code", "factor", F.posexplode("keys").alias("band", "key"))
+    placed, group = _dealt(entries, keyed, ["dim", "band", "key"], chunk_size)
     open_ = materialize(placed.groupBy(*group).applyInPandas(_codes_only(where, threshold, sigmas), "node long, dim int, band int, key long, i int, j int, side boolean"), "open-pairs")
-    with_vectors = open_.join(codes.select("node", "copies", "vec", "code", "factor"), "node")
-    found = materialize(with_vectors.groupBy(*group).applyInPandas(_judge(where, threshold, sigmas), "a long, b long, n long"), "vector-links")
+    # vectors are larger than codes, and their groups are dealt into smaller chunks
+    again, finer = _dealt(open_, open_, group, chunk_size // 16, "2")
+    with_vectors = again.join(codes.select("node", "copies", "vec", "code", "factor"), "node")
+    found = materialize(with_vectors.groupBy(*finer).applyInPandas(_judge(where, threshold, sigmas), "a long, b long, n long"), "vector-links")
     links = found.filter("b < 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     parts = materialize(components(found.filter("b >= 0").select("a", "b")), "components")
     by_class = classes.join(with_least(parts, classes), "node", "left").join(links, "node", "left")
