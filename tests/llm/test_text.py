@@ -6,6 +6,8 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from skyloom.llm import op3_toxicity as o3
 from skyloom.llm import op6_language as o6
@@ -150,17 +152,126 @@ def test_bootstrapping_finds_what_the_base_misses(spark):
 
 
 def test_bootstrapping_goes_on_and_takes_bare_digits(spark):
-    # each step's pattern is trusted by the numbers that the step before extracts
-    said = [f"{w} +1 (555) {n}10-2{k:03d} now" for n, (w, many) in enumerate((("aa:", 40), ("bb:", 15), ("cc:", 15), ("dd:", 15))) for k in range(many)]
+    # each step's pattern is trusted by the numbers that the step before extracts; no two right words are the same
+    right = (f"now{k}" for k in range(1000))
+    said = [f"{w} +1 (555) {n}10-2{k:03d} {next(right)}" for n, (w, many) in enumerate((("aa:", 40), ("bb:", 15), ("cc:", 15), ("dd:", 15))) for k in range(many)]
     for n, (a, b) in enumerate(zip(("aa:", "bb:", "cc:"), ("bb:", "cc:", "dd:"), strict=True)):
         say = [f"555 {n}10 30 {k}0" for k in range(5)]
-        said += [f"{w} {m} now" for m in say for w in (a, b)]
+        said += [f"{w} {m} {next(right)}" for m in say for w in (a, b)]
     lone = ["dd: 555 777 30 30 now", "aa: 5550102999 now", "dd: 5550102998 now", "order 5550102997 now"]
     rows = [(k, t) for k, t in enumerate(said + lone)]
     got = [r.spans for r in sorted(o8.spans_report(o8.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect(), key=lambda r: r.doc_id)]
     assert got[-4:] == ["phone:4:17", "phone:4:14", "phone:4:14", ""] and all(got[:-4])
 
 
+CANDIDATES = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+",
+    "ip": r"(?<![0-9])[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)) ?[0-9]{1,3}){3}(?![0-9])",
+    "number": r"(?<![A-Za-z0-9])[0-9](?:[\x20().-]{0,2}[0-9]){7,18}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}={0,2}",
+}
+
+
+def plain_mentions(text):
+    """Base and candidate mentions by plain Python: (kind, s, e, text, patterns, bare, seed)."""
+
+    def context(text, found):
+        out = []
+        for k, m in enumerate(found):
+            before = text[found[k - 1].end() if k else 0 : m.start()]
+            after = text[m.end() : found[k + 1].start() if k + 1 < len(found) else len(text)]
+            left, right = regex.search(r"([\p{L}\p{N}]+)[^\p{L}\p{N}]*\Z", before), regex.match(r"[^\p{L}\p{N}]*([\p{L}\p{N}]+)", after)
+            left, right = (w and (w[1].lower() if len(w[1]) <= 64 else hashlib.sha256(w[1].lower().encode()).hexdigest()) for w in (left, right))
+            pats = [p for p in (left and f"L {left}", right and f"R {right}", left and right and f"B {left} {right}") if p]
+            out.append((m, pats, bool(regex.search(r"[=:]\s{0,3}[\"']\Z", before)) and after[:1] in "\"'" and after != ""))
+        return out
+
+    base, cands = [], []
+    for kind, p in KINDS.items():
+        base += [(kind, m.start(), m.end(), m[0].lower(), pats, False, True) for m, pats, _ in context(text, list(re.finditer(p, text))) if counts(kind, m[0])]
+    rest = list(text)
+    for _, s, e, *_ in base:
+        rest[s:e] = "\x01" * (e - s)
+    rest = "".join(rest)
+    for found, p in CANDIDATES.items():
+        for m, pats, quoted in context(rest, list(re.finditer(p, rest))):
+            n = len(re.sub("[^0-9]", "", m[0]))
+            kind = found
+            if found == "number":
+                kind = "ip" if re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", m[0]) else "card" if 16 <= n <= 19 and re.fullmatch("[0-9]+([ -][0-9]+)*", m[0]) else "phone" if 8 <= n <= 15 else None
+            if kind:
+                cands.append((kind, m.start(), m.end(), m[0].lower(), pats, kind == "phone" and m[0].isdigit(), found == "secret" and quoted))
+    return base, cands
+
+
+def plain_bootstrapping(texts):
+    """Added spans of each text, by plain Python, to the fixed point."""
+    told = {k: plain_mentions(t) for k, t in texts.items()}
+    graph = {}
+    for base, cands in told.values():
+        for kind, _, _, m, pats, bare, seed in base + cands:
+            for p in pats:
+                t, b = graph.get((kind, p, m), (False, False))
+                graph[kind, p, m] = (t or seed, b or (bare and not seed))
+    while True:
+        sums = {}
+        for (kind, p, _), (trusted, bare) in graph.items():
+            n = sums.setdefault((kind, p), [0, 0, 0])
+            n[0] += trusted or not bare
+            n[1] += 1
+            n[2] += trusted
+        kept = {k: ok >= 0.8 * n_all for k, (n, n_all, ok) in sums.items() if ok >= 5 and ok >= 0.8 * n}
+        more = {(kind, m) for (kind, p, m), (_, bare) in graph.items() if (kind, p) in kept and (not bare or kept[kind, p])}
+        new = {k: (t or (k[0], k[2]) in more, b) for k, (t, b) in graph.items()}
+        if new == graph:
+            break
+        graph = new
+    of = lambda c: any((c[0], p) in kept and (not (c[5] and not c[6]) or kept[c[0], p]) for p in c[4])
+    return {k: {f"{c[0]}:{c[1]}:{c[2]}" for c in cands if of(c)} for k, (_, cands) in told.items()}
+
+
+def test_added_spans_against_plain_bootstrapping(spark):
+    draw = np.random.default_rng(5)
+    words = ["call", "tel", "phone", "fax", "mail", "from", "key", "id", "order", "the", "x" * 70, "é", "and"]
+    secret = lambda: "".join(draw.choice(list("abcdef0123456789XYZ_"), 24))
+    forms = [
+        lambda: f"+1 (555) {draw.integers(100, 999)}-{draw.integers(1000, 9999)}", lambda: f"555 {draw.integers(100, 999)} {draw.integers(1000, 9999)}", lambda: f"{draw.integers(10**9, 10**10)}",
+        lambda: f"user{draw.integers(99)} (at) mail [dot] org", lambda: f"u{draw.integers(99)}@mail.org", lambda: f"10[.]0[.]{draw.integers(255)}[.]1", lambda: f"10.0.{draw.integers(260)}.1",
+        lambda: f'= "{secret()}"', lambda: f": {secret()}", lambda: f"{draw.integers(10**15, 10**16)}", lambda: "4111 1111 1111 1111",
+    ]
+    usual = {0: "call", 1: "call", 2: "tel", 3: "mail", 4: "mail", 5: "from", 6: "from", 7: "key", 8: "key"}
+    texts = {}
+    for k in range(400):
+        parts = []
+        for _ in range(draw.integers(1, 5)):
+            f = int(draw.choice(len(forms), p=[0.3, 0.03, 0.03, 0.03, 0.2, 0.03, 0.15, 0.15, 0.03, 0.03, 0.02]))
+            parts.append(f"{usual.get(f, 'the') if draw.random() < 0.8 else draw.choice(words)} {forms[f]()} {draw.choice(words)}")
+        texts[k] = (". ").join(parts)
+    texts |= {10**6 + r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = o8.spans_report(o8.find(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4))).collect()
+    want, added = plain_bootstrapping(texts), 0
+    for r in rows:
+        base = {f"{k}:{m.start()}:{m.end()}" for k, p in KINDS.items() for m in re.finditer(p, texts[r.doc_id]) if counts(k, m[0])}
+        assert set(filter(None, r.spans.split(","))) - base == want[r.doc_id] - base, texts[r.doc_id][:300]
+        added += r.n_added
+    assert added > 100 and sum(r.n_added for r in rows if r.doc_id >= 10**6) > 0
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    import time
+
+    text = " ".join(f"a{k}@b.co" if k % 2 else f"10.0.{k % 255}.1" for k in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    o8.with_base_spans(docs).select(F.size("_email")).collect()  # compiles
+    began = time.monotonic()
+    assert o8.with_base_spans(docs).select(F.size("_email") + F.size("_ip")).first()[0] == 20_000
+    took = time.monotonic() - began
+    began = time.monotonic()
+    done = o8.redact(spark, docs, "").first().text
+    print("spans", took, "redaction", time.monotonic() - began)
+    assert done == " ".join("[EMAIL]" if k % 2 else "[IP]" for k in range(20_000)) and took < 2
+
+
 def test_redaction_leaves_nothing_of_overlapping_spans(spark):
     said = ["call +49 30 1234567.john@x.com now", "card 4111 1111 1111 1111.j@x.org, then 1.2.3.4", "a@b.co+49 30 1234567 end", "a@b.co 1.2.3.4"]
     rows = [(k, t) for k, t in enumerate(said)]
