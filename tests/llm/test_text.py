@@ -82,19 +82,112 @@ def test_temperature_calibrates():
 
 @pytest.mark.parametrize(
     ("expression", "labels", "free"),
-    [("MIT", {"mit"}, True), ("MIT OR GPL-3.0-only", {"mit", "gpl"}, True), ("MIT AND GPL-3.0-only", {"mit", "gpl"}, False), ("(MIT OR GPL-3.0-only) AND Apache-2.0", {"mit", "gpl", "apache-2"}, True), ("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", {"gpl", "mit"}, True), ("MIT and then prose", {"mit"}, False)],
-)
+    [
+        ("MIT", {"mit"}, True), ("MIT OR GPL-3.0-only", {"mit", "gpl"}, True), ("MIT AND GPL-3.0-only", {"mit", "gpl"}, False), ("(MIT OR GPL-3.0-only) AND Apache-2.0", {"mit", "gpl", "apache-2"}, True),
+        ("GPL-2.0-only WITH Classpath-exception-2.0 OR MIT", {"gpl", "mit"}, True), ("MIT and then prose", {"mit"}, True), ("MIT or later at your choice", {"mit"}, True), ("MIT AND", {"mit"}, True), ("GPL-2.0+", {"gpl"}, False),
+        ("Zlib OR EPL-2.0", {"zlib", "epl"}, True), ("MIT with some changes", {"mit"}, True), ("Own-1.0 AND 0BSD", {"own-1.0", "bsd"}, False), ("LicenseRef-Mine OR ISC", {"licenseref-mine", "isc"}, True), ("MIT). (See", {"mit"}, True),
+    ],
+)
 def test_licence_expressions(expression, labels, free):
-    found, ok = o10.evaluate(expression)
-    assert found == labels and (ok == free)
+    assert o10.evaluate(expression) == (labels, free, {"classpath-exception-2.0"} if "Classpath" in expression else set())
 
 
-@pytest.mark.parametrize("expression", ["", "OR MIT", "(MIT", "MIT AND", "()"])
+@pytest.mark.parametrize("expression", ["", "OR MIT", "(MIT", "()", "see the file", "MIT OR (GPL-2.0 OR what"])
 def test_broken_expressions(expression):
     with pytest.raises(ValueError):
         o10.evaluate(expression)
 
 
+def test_identifiers_are_the_public_list():
+    known = o10.identifiers()
+    assert len(known) > 450
+    for i in "mit 0bsd agpl-3.0-or-later apache-2.0 artistic-2.0 bsd-3-clause bsd-4-clause-uc bsl-1.0 busl-1.1 cc-by-nc-nd-4.0 cc0-1.0 cddl-1.0 cecill-2.1 ecl-2.0 epl-1.0 epl-2.0 eupl-1.2 gfdl-1.3-or-later gpl-2.0 gpl-2.0+ gpl-2.0-only gpl-3.0-or-later isc lgpl-2.1-or-later lgpl-3.0+ lppl-1.3c ms-pl mpl-2.0 ncsa odbl-1.0 ofl-1.1 osl-3.0 postgresql python-2.0 unlicense upl-1.0 vim w3c wtfpl zlib zpl-2.1".split():
+        assert i in known, i
+
+
+def plain_expression(text):
+    """(labels, free) by recursive descent over a list of tokens, or None."""
+    tokens = []
+    while m := re.match(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.\-]*\+?)", text):
+        tokens.append(m[1])
+        text = text[m.end() :]
+    tokens += [""] * 3
+
+    def operand(t):
+        low, known = t.lower().rstrip(".-"), o10.identifiers()
+        low = low if low in known or not low.endswith("+") or low[:-1] not in known else low[:-1]
+        shaped = re.fullmatch(r"[a-z][a-z0-9.]*-[a-z0-9.+-]+", low) and re.search("[0-9]", low) or re.fullmatch(r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+", low)
+        return known.get(low) or ((low, False) if shaped else None)
+
+    def goes_on(word):
+        return tokens[0].lower() == word and (tokens[1] == "(" or operand(tokens[1]))
+
+    def one():
+        t = tokens.pop(0)
+        if t == "(":
+            made = any_()
+            if tokens.pop(0) != ")":
+                raise ValueError
+            return made
+        if not operand(t):
+            raise ValueError
+        made = ({operand(t)[0]}, operand(t)[1])
+        if tokens[0].lower() == "with" and "exception" in tokens[1].lower():
+            del tokens[:2]
+        return made
+
+    def all_():
+        made = one()
+        while goes_on("and"):
+            tokens.pop(0)
+            more = one()
+            made = (made[0] | more[0], made[1] and more[1])
+        return made
+
+    def any_():
+        made = all_()
+        while goes_on("or"):
+            tokens.pop(0)
+            more = all_()
+            made = (made[0] | more[0], made[1] or more[1])
+        return made
+
+    try:
+        return any_()
+    except (ValueError, IndexError):
+        return None
+
+
+def plain_labels(text):
+    """All labels by looking at every place of every phrase."""
+    text = text or ""
+    found = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+    words = [m[0] for m in found]
+    places = lambda phrase: [(k, k + len(phrase.split())) for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
+    labels = {label for phrase, label in o10.BASE.items() if places(phrase)}
+    notices = [(a, e, label) for label, phrases in o10.NOTICES.items() for p in phrases for a, e in places(p)]
+    labels |= {label for a, e, label in notices if not any(b <= a and e <= f and (a, e) != (b, f) for b, f, _ in notices)}
+    for _, e in places(o10.TAG):
+        got = plain_expression(text[found[e - 1].end() :].lstrip(" \t\n\x0b\x0c\r:="))
+        labels |= got[0] if got else set()
+    return ",".join(sorted(labels))
+
+
+def test_labels_against_brute_force(spark):
+    draw = np.random.default_rng(9)
+    ids, glue = ["MIT", "gpl-2.0+", "Apache-2.0", "LGPL-2.1-or-later", "Foo-1.0", "later", "see", "CC-BY-4.0", "(", ")", "(MIT", "Zlib)"], [" OR ", " and ", " WITH Classpath-exception-2.0 ", " with ", " ", ", "]
+    phrases = [p for ps in o10.NOTICES.values() for p in ps] + list(o10.BASE)
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    for _ in range(1500):
+        t = ["é ", str(draw.choice(["SPDX-License-Identifier: ", "SPDX License Identifier: ", "spdx-license-identifier=", ""]))]
+        for _ in range(draw.integers(1, 6)):
+            t += [str(draw.choice(ids)), str(draw.choice(glue))]
+        t += [str(draw.choice(phrases)).title(), " ", " ".join(str(draw.choice(phrases)).split()[: draw.integers(1, 6)]), " SPDX-License-Identifier:\n" if draw.random() < 0.3 else "", str(draw.choice(ids))]
+        texts.append("".join(t))
+    for t in texts:
+        assert o10.scan(t)[5] == plain_labels(t), t
+
+
 def plain_scan(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     at = [(k, label) for phrase, label in o10.BASE.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
@@ -109,7 +202,7 @@ def test_licences_against_brute_force(spark):
         got = o10.scan(t)
         assert got[:5] == plain_scan(t), t
         assert set(got[4].split(",")) <= set(got[5].split(",")) | {""} and 0 <= got[6] <= 1
-    assert o10.scan(texts[-1])[5:] == ("apache-2,mit", 1.0, True)
+    assert o10.scan(texts[-1])[5:] == ("apache-2,mit", 1.0, True, "")
 
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
