@@ -90,6 +90,14 @@ def _counter(path: str):
     return lambda texts: [len(e) for t in texts for e in made.encode_batch_fast([t], add_special_tokens=False)]
 
 
+def drops_white_space(path: str) -> bool:
+    """Whether a vocabulary file's normalizer and pre-tokenizer leave no white space, whatever stands between words."""
+    if path.endswith(".model"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        return WordCounter.fits(json.load(f))
+
+
 def tokenizer_digest(path: str) -> str:
     """SHA-256 of the vocabulary file: another file is another version."""
     with open(path, "rb") as f:
@@ -112,10 +120,12 @@ def read_cache(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
     return kept.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limit: int = LIMIT, white_space_free: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limit: int = LIMIT, white_space_free: bool | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit). ``white_space_free``: the tokenizer drops white space, so texts that
-    differ only there share a cache entry; else the content is taken as it is."""
+    differ only there share a cache entry; else the content is taken as it is. Unless given, it's told from the vocabulary file."""
     spark, path = docs.sparkSession, path or vocabulary_path()
+    if white_space_free is None:
+        white_space_free = drops_white_space(path)
     version = tokenizer_digest(path)
     content = normalised(F.col(text_col)) if white_space_free else F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), content.alias("content"))

@@ -89,6 +89,19 @@ def evidence(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int) -> np.ndarr
     return z**4 / (1 + z**4)
 
 
+def risk(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the risk for the outputs of positive and unlabelled texts under the logistic loss: that of the positive ones
+    with the class prior, and that of the negative ones, which is the unlabelled less the positive share and may fall below zero."""
+    return float(prior * np.logaddexp(0, -p).mean()), float(np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean())
+
+
+def risk_gradient(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The step's direction by output: the gradient of both parts; where the negative part is below zero, that of its opposite alone."""
+    sp, su = (1 / (1 + np.exp(-np.clip(x, -35, 35))) for x in (p, u))
+    gp, gu = -prior * sp / len(p), su / len(u)
+    return (prior * (sp - 1) / len(p) + gp, gu) if risk(p, u, prior)[1] >= 0 else (-gp, -gu)
+
+
 def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keys: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text, all of them among ``keys``.
 
@@ -119,12 +132,7 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
         z = b + summed((let * w)[at], by_text, filled, n_p + n_u)
-        p, u = z[:n_p], z[n_p:]
-        risk_pm, risk_um = np.logaddexp(0, p).mean(), np.logaddexp(0, u).mean()
-        inner = risk_um - prior * risk_pm
-        sp, su = (1 / (1 + np.exp(-np.clip(x, -35, 35))) for x in (p, u))
-        gp_inner, gu_inner = -prior * sp / n_p, su / n_u
-        gp, gu = (prior * (sp - 1) / n_p + gp_inner, gu_inner) if inner >= 0 else (-gp_inner, -gu_inner)
+        gp, gu = risk_gradient(z[:n_p], z[n_p:], prior)
         g = let * summed(np.concatenate([gp, gu])[texts], by_key, used, len(keys)) + decay * w
         gb = gp.sum() + gu.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -200,7 +208,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents whose score stays below the threshold, with their columns."""
+    """Pipeline stage: the documents whose score stays below the threshold, with their columns. A null or empty text scores the
+    model's bias, so it stays unless most texts are toxic. Repeated rows and null ids are judged by their texts like any others."""
     model = fit(docs, table(spark, sf_dir, "labels"))
     scored = packed(docs).select("row", score_column(model, "row.text").alias("score"))
     return scored.filter(F.col("score") < THRESHOLD).select("row.*")

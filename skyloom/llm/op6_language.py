@@ -25,6 +25,8 @@ BITS = 14
 FEATURES = 1 << BITS
 #: Training documents a language, and of all languages together: shared alike where there are more than 200, 20 each at least.
 PER_LANGUAGE, MAX_ROWS = 1500, 300_000
+#: The elastic net's penalties. At sf0.1, 0.1 holds two thirds of the seen features' weights at zero without a held-out error more.
+L1, L2 = 0.1, 1e-4
 UNDETERMINED = "und"
 #: The pipeline keeps documents whose language is at least so certain.
 LEAST_SCORE = 0.5
@@ -84,7 +86,7 @@ class Model:
         return self.languages[k], float(p[k] / p.sum())
 
 
-def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_classes: int, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-4, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], n_classes: int, epochs: int = 4, alpha: float = 1.0, beta: float = 1.0, l1: float = L1, l2: float = L2, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal with per-coordinate rates; weights that l1 holds at zero stay sparse."""
     z, n = np.zeros((FEATURES + 1, n_classes)), np.zeros((FEATURES + 1, n_classes))
     order = np.random.default_rng(seed)
@@ -206,6 +208,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents whose language is found with enough certainty, with their columns."""
+    """Pipeline stage: the documents whose language is found with enough certainty, with their columns. Texts that are null, empty or
+    without a letter have no language and go. Repeated rows and null ids are judged by their texts like any others."""
     found = packed(docs).select("row", _predict_column(fit(docs), "row.text").alias("p"))
     return found.filter((F.col("p.lang_pred") != UNDETERMINED) & (F.col("p.score") >= LEAST_SCORE)).select("row.*")

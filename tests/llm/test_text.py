@@ -28,6 +28,44 @@ def test_nnpu_separates_and_is_non_negative():
     assert o3.train_pu([], [], 0.2, np.empty(0)).score("anything") == pytest.approx(0.2)
 
 
+@pytest.mark.parametrize("shift", [0.0, -4.0])
+def test_risk_gradient_by_differences(shift):
+    """Against central differences of the risk, on both sides of zero of its negative part."""
+    draw = np.random.default_rng(4)
+    p, u, prior, d = draw.standard_normal(7) + (6 if shift else 0), draw.standard_normal(9) + shift, 0.4, 1e-6
+    below = o3.risk(p, u, prior)[1] < 0
+    assert below == bool(shift)
+    goal = lambda p, u: -o3.risk(p, u, prior)[1] if below else sum(o3.risk(p, u, prior))
+    gp, gu = o3.risk_gradient(p, u, prior)
+    for k in range(len(p)):
+        e = np.eye(len(p))[k] * d
+        assert gp[k] == pytest.approx((goal(p + e, u) - goal(p - e, u)) / (2 * d), abs=1e-7)
+    for k in range(len(u)):
+        e = np.eye(len(u))[k] * d
+        assert gu[k] == pytest.approx((goal(p, u + e) - goal(p, u - e)) / (2 * d), abs=1e-7)
+
+
+def test_training_against_a_dense_version():
+    """Some steps of Adam on the risk, feature by feature, in plain Python."""
+    draw = np.random.default_rng(5)
+    texts = [np.sort(draw.choice(12, draw.integers(0, 6), replace=False)) for _ in range(20)]
+    positive, unlabelled, prior, steps = texts[:6], texts[6:], 0.3, 7
+    x = np.array([[float(f in t) for f in range(12)] for t in texts])
+    let = o3.evidence(x[:6].sum(0), x[6:].sum(0), 6, 14)
+    theta, m, v = np.zeros(13), np.zeros(13), np.zeros(13)
+    theta[12] = np.log(prior / (1 - prior))
+    for step in range(1, steps + 1):
+        z = x @ (let * theta[:12]) + theta[12]
+        sp, su = 1 / (1 + np.exp(-z[:6])), 1 / (1 + np.exp(-z[6:]))
+        negative = -np.log(1 - su).mean() + prior * np.log(1 - sp).mean()
+        gz = np.r_[prior * (sp - 1) / 6 - prior * sp / 6, su / 14] if negative >= 0 else np.r_[prior * sp / 6, -su / 14]
+        g = np.r_[let * (x.T @ gz) + 1e-3 * theta[:12], gz.sum()]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    model = o3.train_pu(positive, unlabelled, prior, np.arange(12), steps=steps)
+    assert np.allclose(model.weights, let * theta[:12]) and model.bias == pytest.approx(theta[12])
+
+
 def test_toxicity_learns_rare_wordings_and_clean_words(spark):
     draw = np.random.default_rng(3)
     words = [f"w{k}" for k in draw.permutation(400)]
@@ -56,6 +94,42 @@ def test_language_held_out(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows]) > 0.97
 
 
+def test_ftrl_against_a_plain_version():
+    """Weight by weight in plain Python, in the same order of rows; the penalty holds some weights at zero."""
+    draw = np.random.default_rng(6)
+    rows = []
+    for _ in range(40):
+        at = np.sort(draw.choice(15, draw.integers(1, 6), replace=False))
+        x = draw.random(len(at))
+        rows.append((at, x / np.sqrt((x * x).sum()), int(draw.integers(3))))
+    epochs, alpha, beta, l1, l2 = 3, 0.7, 1.5, 0.15, 0.01
+    z, n = {}, {}
+
+    def weight(f, c):
+        a, b = z.get((f, c), 0.0), n.get((f, c), 0.0)
+        return 0.0 if abs(a) <= l1 else -(a - np.sign(a) * l1) / ((beta + b**0.5) / alpha + l2)
+
+    order = np.random.default_rng(1)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            at, x, y = rows[k]
+            row = [*zip(at.tolist(), x.tolist(), strict=True), ("bias", 0.2)]
+            s = [sum(v * weight(f, c) for f, v in row) for c in range(3)]
+            p = np.exp(np.array(s) - max(s))
+            p /= p.sum()
+            old = {(f, c): weight(f, c) for f, _ in row for c in range(3)}
+            for f, v in row:
+                for c in range(3):
+                    g = v * (p[c] - (c == y))
+                    before = n.get((f, c), 0.0)
+                    z[f, c] = z.get((f, c), 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / alpha * old[f, c]
+                    n[f, c] = before + g * g
+    w, b = o6.train_ftrl(rows, 3, epochs=epochs, alpha=alpha, beta=beta, l1=l1, l2=l2, seed=1)
+    want = np.array([[weight(f, c) for c in range(3)] for f in range(15)])
+    assert np.allclose(w[:15], want, atol=1e-6) and np.allclose(b, [0.2 * weight("bias", c) for c in range(3)])
+    assert 0 < (want == 0).sum() < 40 and not w[15:].any()
+
+
 def test_every_language_is_learned(spark):
     draw = np.random.default_rng(4)
     words = [["".join(chr(0x4E00 + 60 * k + c) for c in draw.integers(0, 60, 4)) for _ in range(12)] for k in range(210)]

@@ -143,6 +143,17 @@ def test_counts_by_other_files():
     assert o2._counter(PATH)(texts) == [len(ids_of(t)) for t in texts]
 
 
+def test_white_space_counts_where_the_tokenizer_keeps_it(spark, tmp_path):
+    import sentencepiece
+
+    texts = ["a  b\n\nc", " a b c ", "a b c", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    piece = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for name, count in (("byte_bpe_50k.json", lambda t: len(ids_of(t))), ("piece_bpe_32k.model", lambda t: len(piece.encode(t or ""))), ("word_bpe_49k.json", counted)):
+        got = o2.count_tokens(docs, str(tmp_path / name), public_tokenizers.path(name)).collect()
+        assert {r.doc_id: r.n_tokens for r in got} == {k: count(t) for k, t in enumerate(texts)}, name
+
+
 def check_packing(rows, texts, capacity):
     by_doc, by_sequence = {}, {}
     for r in rows:
