@@ -88,13 +88,23 @@ def validate(df: DataFrame, completeness: bool = True, data_types: bool = True,
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
+def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` rows as the scan gives them; the limit is the feature."""
+    return df.limit(n)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer takes the table's size to be; no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 def report(tables: dict[str, DataFrame]) -> dict:
     """Across tables: rows each, columns that all share, columns that are mostly null, and advice on large tables."""
-    rows, sparse = {}, {}
+    rows, sparse, sizes = {}, {}, {}
     for name, df in tables.items():
         has = filled(df)
-        rows[name] = n = df.count()
+        rows[name], sizes[name] = (n := df.count()), estimated_bytes(df)
         shares = {c: (n - k) / n for c, k in has.items()} if n else {}
         sparse[name] = {"over_50": sorted(c for c, s in shares.items() if s > 0.5), "over_30": sorted(c for c, s in shares.items() if s > 0.3)}
     common = set.intersection(*(set(d.columns) for d in tables.values())) if tables else set()
-    return {"rows": dict(sorted(rows.items(), key=lambda x: -x[1])), "total_rows": sum(rows.values()), "common_columns": sorted(common), "sparse": sparse, "large": sorted(n for n, k in rows.items() if k > 100_000)}
+    return {"rows": dict(sorted(rows.items(), key=lambda x: -x[1])), "total_rows": sum(rows.values()), "bytes": dict(sorted(sizes.items(), key=lambda x: -x[1])), "total_bytes": sum(sizes.values()), "common_columns": sorted(common), "sparse": sparse, "large": sorted(n for n, k in rows.items() if k > 100_000)}

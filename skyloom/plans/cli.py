@@ -1,93 +1,68 @@
-"""Command line: graphs, strategies, table status and queries."""
+"""Command line. Commands are the modules of a package: each has ``arguments(parser)`` and ``run(given, context)``, and its name is the command's."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
+import logging
+import pkgutil
+from functools import cached_property
+from types import ModuleType
 
-from . import dag
-from .registry import PREPROCESSORS, STRATEGIES
+from .handlers import Handlers
 from .settings import load
 
+log = logging.getLogger("skyloom.cli")
+COMMANDS = "skyloom.plans.commands"
 
-def _session():
-    from pyspark.sql import SparkSession
 
-    return SparkSession.builder.appName("skyloom").getOrCreate()
+class Context:
+    """What commands share: settings, and a session that starts once it's needed."""
 
+    def __init__(self, **settings):
+        self.settings = load(**settings)
 
-def handlers(spark, settings) -> dict:
-    """What tasks of a graph do: read and write tables below the settings' folders."""
-    from ..operators import profile
-    from ..sources import scan
+    @cached_property
+    def spark(self):
+        from pyspark.sql import SparkSession
 
-    def latest():
-        path = scan.latest_stage(spark, settings.interim)
-        if path is None:
-            raise FileNotFoundError(f"no stage below {settings.interim}")
-        return spark.read.parquet(path)
+        return SparkSession.builder.appName("skyloom").getOrCreate()
 
-    def preprocess(task):
-        name = task.config["preprocessor"]
-        from .registry import stage_of
+    @cached_property
+    def handlers(self) -> Handlers:
+        return Handlers(self.spark, self.settings)
 
-        return scan.write_stage(PREPROCESSORS.get(name)(latest()), settings.interim, stage_of(name), task.config.get("output", "preprocessed"))
-
-    def merge(task):
-        from .pipeline import catalog_merge
-
-        sources = {s: df for s in task.config["sources"] if (df := scan.scan_any(spark, settings.raw, s)) is not None}
-        return scan.write_stage(catalog_merge(sources).dropDuplicates(), settings.interim, scan.STAGES[0], task.config.get("output", "merged"))
-
-    def validate(task):
-        return [r.asDict() for r in profile.validate(latest()).collect()]
+    @staticmethod
+    def tell(said) -> None:
+        print(json.dumps(said, default=str))
 
-    def export(task):
-        return scan.export(latest(), settings.processed, task.config.get("name", "catalog"), task.config.get("formats", ["parquet"]))
 
-    return {"preprocess": preprocess, "merge": merge, "validate": validate, "export": export}
+def commands(package: str = COMMANDS) -> dict[str, ModuleType]:
+    """The modules of a package that are commands. One that can't be imported is logged and left out."""
+    found = {}
+    for m in pkgutil.iter_modules(importlib.import_module(package).__path__):
+        try:
+            module = importlib.import_module(f"{package}.{m.name}")
+        except Exception as e:  # a broken plug-in doesn't take the others with it
+            log.error("command %s left out: %s", m.name, e)
+            continue
+        if hasattr(module, "arguments") and hasattr(module, "run"):
+            found[m.name] = module
+    return found
 
 
-def main(args: list[str] | None = None) -> int:
+def main(args: list[str] | None = None, packages: tuple[str, ...] = (COMMANDS,)) -> int:
     parser = argparse.ArgumentParser("skyloom")
-    commands = parser.add_subparsers(dest="command", required=True)
-    graph = commands.add_parser("dag")
-    graph.add_argument("action", choices=["run", "validate", "info"])
-    graph.add_argument("file")
-    graph.add_argument("--mode", default="sequential", choices=["sequential", "parallel"])
-    graph.add_argument("--task")
-    commands.add_parser("strategies")
-    status = commands.add_parser("status")
-    status.add_argument("bases", nargs="+")
-    query = commands.add_parser("query")
-    query.add_argument("name")
-    query.add_argument("tables")
-    query.add_argument("--out")
+    parser.add_argument("--root", help="folder of data and configuration")
+    parser.add_argument("--force", action="store_true", help="fetch again what's there")
+    below = parser.add_subparsers(dest="command", required=True)
+    known = {name: module for p in packages for name, module in commands(p).items()}
+    for name, module in sorted(known.items()):
+        module.arguments(below.add_parser(name, help=(module.__doc__ or "").strip().split("\n")[0]))
     given = parser.parse_args(args)
-    if given.command == "strategies":
-        print(json.dumps({"strategies": STRATEGIES.listed(), "preprocessors": PREPROCESSORS.listed()}))
-        return 0
-    if given.command == "dag":
-        made = dag.load(given.file)
-        if given.action != "run":
-            found = made.errors()
-            print(json.dumps({"errors": found} | (made.stats() if given.action == "info" else {})))
-            return int(bool(found))
-        settings = load()
-        runner = dag.Runner(handlers(_session(), settings), settings.workers)
-        said = runner.run_one(made, given.task) if given.task else runner.run(made, given.mode)
-        print(json.dumps(said, default=str))
-        return int("failed" in said["tasks"])
-    if given.command == "status":
-        from ..sources.scan import data_status
-
-        print(json.dumps(data_status(_session(), {b: b for b in given.bases})))
-        return 0
-    from ..queries import QUERIES
-
-    df = QUERIES[given.name](_session(), given.tables)
-    df.write.mode("overwrite").parquet(given.out) if given.out else df.show(20, False)
-    return 0
+    context = Context(**({"root": given.root} if given.root else {}), **({"force": True} if given.force else {}))
+    return known[given.command].run(given, context) or 0
 
 
 if __name__ == "__main__":

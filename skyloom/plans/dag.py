@@ -30,8 +30,8 @@ class Task:
 class Graph:
     """Tasks in insertion order."""
 
-    def __init__(self, name: str = "graph"):
-        self.name, self.tasks = name, {}
+    def __init__(self, name: str = "graph", description: str = ""):
+        self.name, self.description, self.tasks = name, description, {}
 
     def add(self, task: Task) -> Task:
         if task.id in self.tasks:
@@ -106,10 +106,12 @@ class Graph:
 
     @staticmethod
     def from_dict(spec: dict) -> Graph:
-        """Unknown keys of a task are dropped."""
-        graph = Graph(spec.get("name", "graph"))
-        for t in spec.get("tasks", []):
-            graph.add(Task(t["id"], t.get("type", "task"), list(t.get("depends_on", [])), dict(t.get("config", {})), int(t.get("retries", 0)), t.get("timeout"), t.get("on_failure", FAIL)))
+        """Tasks as a list with their ids, or as a mapping by id; unknown keys of a task are dropped."""
+        graph = Graph(spec.get("name") or spec.get("dag_id") or "graph", spec.get("description") or "")
+        told = spec.get("tasks") or []
+        for t in [{"id": i, **(t or {})} for i, t in told.items()] if isinstance(told, dict) else told:
+            needs = t.get("depends_on") or t.get("dependencies") or []
+            graph.add(Task(t["id"], t.get("type") or t.get("task_type") or "task", list(needs), dict(t.get("config") or {}), int(t.get("retries", 0)), t.get("timeout"), t.get("on_failure", FAIL)))
         return graph
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame
 
 from ..operators.profile import merge_statistics
 
+log = logging.getLogger("skyloom.merge")
+
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -29,6 +32,9 @@ def check_inputs(sources: dict[str, DataFrame], join_keys: dict[str, list[str]]
         lacking = [k for k in keys if name in sources and k not in sources[name].columns]
         if lacking:
             raise KeyError(f"{name} lacks {', '.join(lacking)}")
+    for name, df in sources.items():
+        if df.isEmpty():
+            log.warning("source %s has no rows", name)
 
 
 def run_merge(sources: dict[str, DataFrame], strategy: Callable[[dict[str, DataFrame]], DataFrame], path: str, join_keys: dict[str, list[str]] | None = None, distinct: bool = True) -> MergeResult:
@@ -43,3 +49,20 @@ def run_merge(sources: dict[str, DataFrame], strategy: Callable[[dict[str, DataF
         return MergeResult(path, True, stats["output_rows"], tuple(sources), time.monotonic() - began, stats)
     except Exception as e:  # the result tells; callers that want to stop raise on it
         return MergeResult(path, False, 0, (), time.monotonic() - began, {}, f"{type(e).__name__}: {e}")
+
+
+def strategies() -> list[str]:
+    """The names that :func:`merge_by` knows."""
+    from .registry import STRATEGIES
+
+    return STRATEGIES.listed()
+
+
+def merge_by(strategy: str, sources: dict[str, DataFrame], path: str, **options) -> DataFrame:
+    """Run a strategy by its name and read what it wrote; a failure is an error. ``options``: spec and primary."""
+    from .registry import STRATEGIES
+
+    told = run_merge(sources, lambda s: STRATEGIES.get(strategy)(s, **options), path)
+    if not told.success:
+        raise RuntimeError(f"merge failed: {told.error}")
+    return next(iter(sources.values())).sparkSession.read.parquet(path)

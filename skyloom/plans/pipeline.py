@@ -62,9 +62,9 @@ def join_all(primary: DataFrame, sources: dict[str, DataFrame], spec: Spec) -> D
     return primary
 
 
-def catalog_merge(sources: dict[str, DataFrame], compat: bool = False) -> DataFrame:
-    """Merge by the catalogs' names alone: the primary is chosen by name and counted size; ids, provenance and scores follow."""
-    name = joins.choose_primary({n: d.count() for n, d in sources.items()})
+def catalog_merge(sources: dict[str, DataFrame], compat: bool = False, primary: str | None = None) -> DataFrame:
+    """Merge by the catalogs' names alone: the primary, unless named, is chosen by name and counted size; ids, provenance and scores follow."""
+    name = primary or joins.choose_primary({n: d.count() for n, d in sources.items()})
     df = record_id(with_row_index(sources[name]))
     for n, d in sources.items():
         if n != name:

@@ -1,15 +1,21 @@
-"""Descriptors of source catalogs, and fetching of landed files. There's no network code: a fetcher is a function that lands a
-raw file and returns its path, so any transport can be registered."""
+"""Descriptors of source catalogs, and fetching of landed files. There's no network code: a transport is any function that
+answers a request with bytes, and the fetchers here hold the rules around it: what's asked, what's refused, and what file it becomes."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .scan import exists, ingest, placeholder
+from .scan import empty, exists, ingest, placeholder
+
+#: Where a query takes the ids of another source's rows (fixed value).
+ID_LIST = "<GAIA_ID_LIST>"
+#: A transport: (url, the query or None, seconds) -> bytes.
+Transport = Callable[[str, str | None, float], bytes]
 
 
 @dataclass(frozen=True)
@@ -22,6 +28,12 @@ class Source:
     primary_keys: tuple[str, ...] = ()
     join_keys: tuple[str, ...] = ()
     format: str = "csv"
+    description: str = ""
+
+    @property
+    def waits_for_ids(self) -> bool:
+        """Its query needs the ids of another source first."""
+        return ID_LIST in self.query
 
     @staticmethod
     def of(spec: dict) -> Source:
@@ -30,7 +42,7 @@ class Source:
         listed = lambda *names: tuple(take(*names) or ())
         if not spec.get("id"):
             raise ValueError("a source needs an id")
-        return Source(spec["id"], take("name") or spec["id"], take("url") or "", take("query", "adql") or "", listed("columns", "columns_to_keep"), listed("primary_keys"), listed("join_keys"), take("format") or "csv")
+        return Source(spec["id"], take("name") or spec["id"], take("url", "download_url") or "", take("query", "adql") or "", listed("columns", "columns_to_keep"), listed("primary_keys"), listed("join_keys"), take("format") or "csv", take("description") or "")
 
 
 @dataclass
@@ -67,6 +79,61 @@ class Registry:
         raise LookupError(f"no fetcher for {source.id}")
 
 
+class Rejected(ValueError):
+    """An answer that isn't a table."""
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> str:
+    """A file of bytes, by Hadoop's file system, so the path may be remote."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+    return path
+
+
+def stamped(source: str, folder: str, end: str = "csv") -> str:
+    """A raw file's path with the time (UTC) in its name, so that none is written over."""
+    return f"{folder}/{source}/{source}_{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}_{time.time_ns() % 10**9:09d}.{end}"
+
+
+def http_fetcher(spark: SparkSession, folder: str, transport: Transport, timeout: float = 120) -> Callable[[Source], str]:
+    """Downloads a source's url; the raw file keeps the url's ending."""
+
+    def land(source: Source) -> str:
+        if not source.url:
+            raise ValueError(f"{source.id} has no url")
+        return write_bytes(spark, stamped(source.id, folder, "parquet" if source.url.lower().endswith(".parquet") else "csv"), transport(source.url, None, timeout))
+
+    return land
+
+
+def query_fetcher(spark: SparkSession, folder: str, transport: Transport, endpoint: str = "", timeout: float = 300) -> Callable[[Source], str]:
+    """Posts a source's query. Services tell errors as XML with a good status, so an answer that starts like XML is refused; the others are kept as a stamped raw CSV."""
+
+    def land(source: Source) -> str:
+        data = transport(source.url or endpoint, source.query, timeout)
+        if data.lstrip()[:1] == b"<":
+            raise Rejected(f"{source.id}: an XML answer: {data[:200].decode('utf-8', 'replace')}")
+        return write_bytes(spark, stamped(source.id, folder), data)
+
+    return land
+
+
+def with_ids(source: Source, ids: Iterable[int]) -> str:
+    """The query with its list of ids."""
+    return source.query.replace(ID_LIST, ",".join(str(int(i)) for i in ids))
+
+
+def usual_fetchers(registry: Registry, spark: SparkSession, folder: str, transport: Transport, timeout: float = 120, query_timeout: float = 300) -> Registry:
+    """Registers the two above: a query goes before a url."""
+    registry.register("query", lambda s: bool(s.query), query_fetcher(spark, folder, transport, timeout=query_timeout))
+    registry.register("http", lambda s: bool(s.url), http_fetcher(spark, folder, transport, timeout))
+    return registry
+
+
 @dataclass(frozen=True)
 class Fetched:
     source: str
@@ -82,6 +149,11 @@ def fetch(spark: SparkSession, registry: Registry, id_: str, folder: str, force:
     out = f"{folder}/{id_}/{id_}.parquet"
     if exists(spark, out) and not force:
         return Fetched(id_, out, spark.read.parquet(out).count())
+    if source.waits_for_ids:
+        # its rows come by the tiers over another source's ids; till then an empty table holds its place
+        if not exists(spark, out):
+            empty(spark, ", ".join(f"`{c}` string" for c in source.columns or source.primary_keys or ("id",))).write.parquet(out)
+        return Fetched(id_, out, spark.read.parquet(out).count())
     try:
         return Fetched(id_, out, ingest(spark, registry.fetcher_for(source)(source), out, source.columns, source.url).count())
     except Exception as e:

@@ -154,11 +154,175 @@ def test_cli_and_settings(spark, tmp_path, monkeypatch, capsys):
     dag.save(graph(), str(tmp_path / "g.json"))
     assert cli.main(["dag", "validate", str(tmp_path / "g.json")]) == 0
     assert cli.main(["dag", "info", str(tmp_path / "g.json")]) == 0
-    assert cli.main(["strategies"]) == 0 and "cone_search" in capsys.readouterr().out
+    assert cli.main(["merge", "--list-strategies"]) == 0 and "cone_search" in capsys.readouterr().out
     monkeypatch.setenv("SKYLOOM_WORKERS", "9")
     assert settings.load(root=str(tmp_path)).workers == 9
 
 
+SOURCES = {
+    "nasa_archive": {"columns_to_keep": ["pl_name", "hostname", "gaia_id", "ra", "dec", "st_teff", "st_lum", "st_mass", "st_rad", "pl_orbsmax", "pl_orbper", "pl_orbeccen", "pl_masse", "pl_rade"], "primary_keys": ["pl_name"]},
+    "other_catalog": {"columns_to_keep": ["P_NAME", "P_ESI"], "primary_keys": ["P_NAME"]},
+    "sweet_cat": {"columns_to_keep": ["Name", "Teff"], "primary_keys": ["Name"]},
+    "gaia_dr3_parameters": {"adql": "-- by tiers", "columns_to_keep": ["gaia_dr2_source_id", "gaia_dr3_source_id", "parallax", "ruwe"], "primary_keys": ["gaia_dr3_source_id"]},
+    "waiting": {"adql": "select x from t where id in (<GAIA_ID_LIST>)", "columns_to_keep": ["x", "y"], "primary_keys": ["x"]},
+    "lost": {"download_url": "https://nowhere.example/x.csv", "columns_to_keep": ["k"], "primary_keys": ["k"]},
+}
+RAW = {
+    "nasa_archive": "pl_name,hostname,gaia_id,ra,dec,st_teff,st_lum,st_mass,st_rad,pl_orbsmax,pl_orbper,pl_orbeccen,pl_masse,pl_rade,extra\nP 1 b,Host A,Gaia DR2 1000000001,10,20,5000,0.5,1,1,0.9,300,0.1,2,1.5,x\nP 2 b,Host B,Gaia DR2 1000000002,11,21,5200,0.7,1,1,1.1,400,0.1,3,2.5,x\n",
+    "other_catalog": "P_NAME,P_ESI\np 1 b,0.8\n",
+    "sweet_cat": "Name,Teff\nhost a,4900\n",
+}
+
+
+@pytest.fixture
+def project(spark, tmp_path):
+    """A root with configuration, landed raw files, both releases, and a graph in the mapping form."""
+    import yaml
+
+    for kind in ("sources", "mergers", "constants", "dags"):
+        (tmp_path / "config" / kind).mkdir(parents=True)
+    for name, told in SOURCES.items():
+        if name in RAW:
+            (tmp_path / f"{name}.csv").write_text(RAW[name])
+            told = told | {"download_url": str(tmp_path / f"{name}.csv")}
+        (tmp_path / "config/sources" / f"{name}.yml").write_text(yaml.safe_dump({"id": name, "name": name} | told))
+    (tmp_path / "config/sources/broken.yml").write_text("name: without an id")
+    (tmp_path / "config/constants/drop_columns.yml").write_text(yaml.safe_dump({"columns_to_drop": ["hostname"]}))
+    catalogs = [
+        {"id": "gaia_dr3_parameters", "priority": 1, "cross_match": {"method": "gaia_source_id", "primary_key": "gaia_id", "tolerance": None}},
+        {"id": "sweet_cat", "priority": 2, "cross_match": {"method": "fuzzy_hostname", "primary_key": "hostname", "tolerance": 0.8}},
+        {"id": "other_catalog", "priority": 3, "cross_match": {"method": "exact_name", "primary_key": "pl_name"}},
+        {"id": "toi", "priority": 4, "cross_match": {"method": "multiple_identifiers", "primary_key": ["ra", "dec"], "tolerance": 2.0, "epoch_correction": True}},
+    ]
+    made = {"id": "own_merge", "sources": {"primary": "nasa_archive", "catalogs": catalogs}, "uncertainty_propagation": {"num_samples": 50, "random_seed": 7}}
+    (tmp_path / "config/mergers/own_merge.yml").write_text(yaml.safe_dump(made))
+    raw = str(tmp_path / "data/raw")
+    spark.createDataFrame([(1000000001, 10.0, 20.0, 5.0, 0.1, 1.1, 12.0)], "source_id long, ra double, dec double, parallax double, parallax_error double, ruwe double, phot_g_mean_mag double").write.parquet(f"{raw}/gaia_dr3/gaia_dr3.parquet")
+    spark.createDataFrame([(1000000002, 11.0, 21.0, 4.0, 0.1, 12.0)], "source_id long, ra double, dec double, parallax double, parallax_error double, phot_g_mean_mag double").write.parquet(f"{raw}/gaia_dr2/gaia_dr2.parquet")
+    fetches = {f"fetch_{n}": {"task_type": "fetch", "config": {"source": n}, "dependencies": ["fetch_nasa_archive"] if n.startswith("gaia") else [], "retries": 1, "on_failure": "warn" if n == "lost" else "fail"} for n in SOURCES}
+    rest = {
+        "check_raw": {"task_type": "validate", "config": {"check_completeness": True}, "dependencies": list(fetches)},
+        "ingest": {"task_type": "merge", "config": {"strategy": "unified_ingestion", "monte_carlo_samples": 20}, "dependencies": ["check_raw"]},
+        "assess": {"task_type": "validate", "config": {"check_completeness": True, "check_hz_columns": True}, "dependencies": ["ingest"]},
+        "export": {"task_type": "export", "config": {"formats": ["parquet", "csv"], "output_path": "final", "filename": "all"}, "dependencies": ["assess"]},
+    }
+    (tmp_path / "config/dags/all.yaml").write_text(yaml.safe_dump({"dag_id": "all", "tasks": fetches | rest}, sort_keys=False))
+    return tmp_path
+
+
+def test_ten_tasks_run_from_landed_files_to_the_export(spark, project, capsys):
+    import json
+
+    graph = str(project / "config/dags/all.yaml")
+    root = ["--root", str(project)]
+    assert cli.main([*root, "dag", "run", graph, "--dry-run"]) == 0 and not (project / "data/interim").exists()
+    capsys.readouterr()
+    assert cli.main([*root, "dag", "run", graph, "--mode", "parallel"]) == 0
+    said = json.loads(capsys.readouterr().out)
+    assert len(said["tasks"]["done"]) == 10 and not said["errors"]
+    wide = {r.pl_name: r for r in spark.read.parquet(str(project / "data/processed/final/all.parquet")).collect()}
+    assert wide["P 1 b"].star_id == "1000000001" and wide["P 2 b"].star_id == "1000000002"
+    assert wide["P 1 b"].gaia_dr3_parameters_gaia_dr3_source_id == 1000000001 and wide["P 2 b"].gaia_dr3_parameters_gaia_dr3_source_id is None
+    assert wide["P 1 b"].sweet_cat_Teff == 4900 and wide["P 2 b"].sweet_cat_Teff is None and wide["P 1 b"].other_catalog_P_ESI == 0.8
+    assert wide["P 1 b"].hz_inner is not None and (project / "data/processed/final/all.csv").exists()
+    assert spark.read.parquet(str(project / "data/raw/lost/lost.parquet")).first().k == "dummy_lost"
+    empty = spark.read.parquet(str(project / "data/raw/waiting/waiting.parquet"))
+    assert empty.columns == ["x", "y"] and empty.count() == 0
+
+
+def test_commands(spark, project, capsys):
+    import json
+
+    def told(*args, code=0):
+        assert cli.main(["--root", str(project), *args]) == code
+        return json.loads(capsys.readouterr().out)
+
+    assert told("fetch")["sources"] == sorted(SOURCES) and "unknown" in told("fetch", "none", code=1)["error"]
+    assert told("fetch", "sweet_cat")["sweet_cat"]["rows"] == 1 and told("fetch", "all", "--sequential")["lost"]["placeholder"]
+    assert "own_merge" in told("merge")["strategies"] and "nearest" in told("merge", "--info")["cone_search"]
+    assert "unknown strategy" in told("merge", "none", code=1)["error"]
+    assert told("merge", "own_merge", "--output", "own")["rows"] == 2
+    assert told("data", "sources") == sorted(SOURCES) and told("data", "sources", "-d")["sweet_cat"]["columns"] == 2
+    assert told("data", "config")["constants"] == ["drop_columns"]
+    status = told("data", "status")
+    assert status["raw"]["nasa_archive"] == {"status": "ok", "rows": 2} and status["interim"]["01_initial_merge"]["own"]["rows"] == 2
+    valid = told("data", "validate")
+    assert valid["total"] == 6 and valid["sources"]["lost"]["rows"] == 1
+    assert told("config", "show")["workers"] == 4 and told("config", "dags") == ["all.yaml"]
+    assert "unified" in told("info")["strategies"] and told("dag", "info", str(project / "config/dags/all.yaml"))["tasks"] == 10
+    assert [x["id"] for x in told("dag", "validate", str(project / "config/dags/all.yaml"))["order"]][-1] == "export"
+
+
+def test_preprocess_task_drops_what_the_constants_say(spark, project):
+    from skyloom.plans.handlers import Handlers
+
+    made = Handlers(spark, settings.load(root=str(project)))
+    with pytest.raises(FileNotFoundError):
+        made.preprocess(dag.Task("p", "preprocess", config={"preprocessor": "columns_pruner"}))
+    scan.write_stage(spark.createDataFrame([("a", "h")], "pl_name string, hostname string"), made.settings.interim, scan.STAGES[0], "t")
+    told = made.preprocess(dag.Task("p", "preprocess", config={"preprocessor": "columns_pruner"}))
+    assert told["output_rows"] == 1 and spark.read.parquet(told["output_path"]).columns == ["pl_name"]
+    for bad in (dag.Task("f", "fetch"), dag.Task("p", "preprocess")):
+        with pytest.raises(ValueError):
+            made.by_type()[bad.type](bad)
+
+
+def test_commands_are_found_by_scan(tmp_path, monkeypatch):
+    at = tmp_path / "own_commands"
+    at.mkdir()
+    (at / "__init__.py").write_text("")
+    (at / "hello.py").write_text("def arguments(p):\n    p.add_argument('who')\ndef run(given, context):\n    return len(given.who)\n")
+    (at / "broken.py").write_text("import nothing_of_that_name\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert list(cli.commands("own_commands")) == ["hello"]
+    assert cli.main(["hello", "abc"], (cli.COMMANDS, "own_commands")) == 3
+
+
+def test_fetchers_ask_and_refuse(spark, tmp_path):
+    asked = []
+
+    def transport(url, query, timeout):
+        asked.append((url, query, timeout))
+        return b"  <VOTABLE>error</VOTABLE>" if query and "bad" in query else b"a,b\n1,2\n"
+
+    registry = catalog.usual_fetchers(catalog.Registry(), spark, str(tmp_path / "raw"), transport, 5, 9)
+    for told in ({"id": "q", "adql": "select good", "primary_keys": ["a"]}, {"id": "x", "adql": "select bad", "columns_to_keep": ["a"], "primary_keys": ["a"]}, {"id": "h", "download_url": "http://h/t.csv", "columns_to_keep": ["b"]}):
+        registry.add(catalog.Source.of(told))
+    got = catalog.fetch_all(spark, registry, str(tmp_path / "out"), workers=1)
+    assert (got["q"].rows, got["h"].rows) == (1, 1) and got["x"].placeholder and "XML" in got["x"].error
+    assert sorted(asked) == [("", "select bad", 9), ("", "select good", 9), ("http://h/t.csv", None, 5)]
+    assert len(list((tmp_path / "raw/q").glob("q_*.csv"))) == 1 and spark.read.parquet(got["h"].path).columns == ["b"]
+    assert catalog.with_ids(catalog.Source.of({"id": "w", "adql": f"in ({catalog.ID_LIST})"}), [3, 4]) == "in (3,4)"
+
+
+def test_every_strategy_is_called_alike(spark):
+    numbers = ("ra", "dec", "st_teff", "st_lum", "st_mass", "st_rad", "pl_orbsmax", "pl_orbper", "pl_orbeccen", "pl_masse", "pl_rade")
+    planets = spark.createDataFrame([("P 1", "Host A", "Gaia DR2 1000000001", 1, 10.0, 20.0, 5000.0, 0.5, 1.0, 1.0, 1.0, 365.0, 0.0, 1.0, 1.0)], f"pl_name string, hostname string, gaia_id string, tic_id long, {', '.join(f'{c} double' for c in numbers)}")
+    other = spark.createDataFrame([("p 1", "p 1", "host a", 1000000001, 1, 10.0, 20.0)], "name string, planet string, hostname string, gaia_id long, tic_id long, ra double, dec double")
+    for name in STRATEGIES.listed():
+        spec = pipeline.Spec((pipeline.Catalog("other", "exact_name", "pl_name"),), samples=10)
+        got = STRATEGIES.get(name)({"planets": planets, "other": other}, spec, "planets")
+        assert got.count() == 1 and any(c.startswith("other_") for c in got.columns), name
+    assert STRATEGIES.get("hostname")({"only": planets}).count() == 1
+    with pytest.raises(KeyError):
+        STRATEGIES.get("hostname")({"only": planets}, primary="none")
+
+
+def test_merge_by_name_reads_what_it_wrote(spark, tmp_path, caplog):
+    a = spark.createDataFrame([("A",), ("A",)], "hostname string")
+    assert merge.merge_by("hostname", {"a": a, "b": a.limit(0)}, str(tmp_path / "m"), primary="a").count() == 1
+    assert "b has no rows" in caplog.text and merge.strategies() == STRATEGIES.listed()
+    with pytest.raises(RuntimeError):
+        merge.merge_by("none", {"a": a}, str(tmp_path / "n"))
+
+
+def test_settings_take_the_environment(monkeypatch):
+    for k, v in (("FORCE", "yes"), ("TIMEOUT", "7"), ("CONFIG", "/etc/x")):
+        monkeypatch.setenv(f"SKYLOOM_{k}", v)
+    made = settings.load(root="/r")
+    assert made.force is True and made.timeout == 7 and made.config_folder == "/etc/x" and made.query_timeout == 300
+
+
 def test_routes():
     import threading
     import urllib.error
