@@ -13,23 +13,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_name, parse_id, to_number
-from .columns import first, holding, host_column, id_column, prefixed, require
+from .columns import first, holding, host_column, id_column, prefixed, require, with_row_index
+from .missing import keep_first
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full", "full": "full", "cross": "cross"}
 
 
-def join_on(primary: DataFrame, source: DataFrame, name: str, left: Callable[[], Column], right: Callable[[], Column], how: str = "left", compat: bool = False) -> DataFrame:
-    """``left`` and ``right`` make the key of each side."""
+def join_on(primary: DataFrame, source: DataFrame, name: str, left: Callable[[], Column], right: Callable[[], Column], how: str = "left", compat: bool = False, one_each: bool = False) -> DataFrame:
+    """``left`` and ``right`` make the key of each side. ``one_each``: of source rows with the same key, only the first in scan order is joined."""
     if how not in HOW:
         raise ValueError(f"unknown join: {how}")
-    l_key, r_key = primary.withColumn("_l", left()), prefixed(source.withColumn("_r", right()), name, keep=("_r",))
+    keyed = source.withColumn("_r", right())
+    if one_each:
+        # by _src_idx where the source has it; combined before the exchange that the join needs anyway
+        keyed = keep_first(with_row_index(keyed, "_src_idx"), ["_r"], "_src_idx").select(*source.columns, "_r")
+    l_key, r_key = primary.withColumn("_l", left()), prefixed(keyed, name, keep=("_r",))
     if how == "cross":
         return l_key.crossJoin(r_key).drop("_l", "_r")
     match = F.col("_l").eqNullSafe(F.col("_r")) if compat else F.col("_l") == F.col("_r")
     return l_key.join(r_key, match, HOW[how]).drop("_l", "_r")
 
 
-def by_id(primary: DataFrame, source: DataFrame, name: str, key: str = "gaia_id", how: str = "left", compat: bool = False, exact: bool = False) -> DataFrame:
+def by_id(primary: DataFrame, source: DataFrame, name: str, key: str = "gaia_id", how: str = "left", compat: bool = False, exact: bool = False, one_each: bool = False) -> DataFrame:
     """By long identifiers, exactly. In ``compat``, unless ``exact``, keys pass through doubles, so ids that differ in the last digits meet."""
     other = id_column(source)
     if other is None:
@@ -41,12 +46,12 @@ def by_id(primary: DataFrame, source: DataFrame, name: str, key: str = "gaia_id"
         value = F.col(c).cast("bigint") if dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") else parse_id(c)
         return value.cast("double") if compat and not exact else value
 
-    return join_on(primary, source, name, lambda: made(primary, key), lambda: made(source, other), how, compat)
+    return join_on(primary, source, name, lambda: made(primary, key), lambda: made(source, other), how, compat, one_each)
 
 
-def by_name(primary: DataFrame, source: DataFrame, name: str, key: str = "name", how: str = "left", compat: bool = False) -> DataFrame:
+def by_name(primary: DataFrame, source: DataFrame, name: str, key: str = "name", how: str = "left", compat: bool = False, one_each: bool = False) -> DataFrame:
     other = first(source, lambda c: "name" in c.lower() and c != key)
-    return primary if other is None else _by_text(primary, source, name, key, other, how, compat)
+    return primary if other is None else _by_text(primary, source, name, key, other, how, compat, one_each)
 
 
 def by_planet_name(primary: DataFrame, source: DataFrame, name: str, key: str = "pl_name", how: str = "left", compat: bool = False) -> DataFrame:
@@ -54,15 +59,15 @@ def by_planet_name(primary: DataFrame, source: DataFrame, name: str, key: str =
     return primary if other is None else _by_text(primary, source, name, key, other, how, compat)
 
 
-def by_host(primary: DataFrame, source: DataFrame, name: str, how: str = "left", compat: bool = False) -> DataFrame:
+def by_host(primary: DataFrame, source: DataFrame, name: str, how: str = "left", compat: bool = False, one_each: bool = False) -> DataFrame:
     key, other = host_column(primary), host_column(source)
-    return primary if key is None or other is None else _by_text(primary, source, name, key, other, how, compat)
+    return primary if key is None or other is None else _by_text(primary, source, name, key, other, how, compat, one_each)
 
 
-def by_any_name(primary: DataFrame, source: DataFrame, name: str, how: str = "left", compat: bool = False) -> DataFrame:
+def by_any_name(primary: DataFrame, source: DataFrame, name: str, how: str = "left", compat: bool = False, one_each: bool = False) -> DataFrame:
     """The planet's name with the source's first column that holds 'name'."""
     other = first(source, holding("name"))
-    return primary if other is None or "pl_name" not in primary.columns else _by_text(primary, source, name, "pl_name", other, how, compat)
+    return primary if other is None or "pl_name" not in primary.columns else _by_text(primary, source, name, "pl_name", other, how, compat, one_each)
 
 
 def by_stellar_id(primary: DataFrame, source: DataFrame, name: str, key: str = "tic_id", how: str = "left", compat: bool = False) -> DataFrame:
@@ -73,9 +78,9 @@ def by_stellar_id(primary: DataFrame, source: DataFrame, name: str, key: str = "
     return join_on(primary, source, name, lambda: to_number(key), lambda: to_number(other), how, compat)
 
 
-def _by_text(primary, source, name, key, other, how, compat) -> DataFrame:
+def _by_text(primary, source, name, key, other, how, compat, one_each=False) -> DataFrame:
     require(primary, key)
-    return join_on(primary, source, name, lambda: norm_name(key, compat), lambda: norm_name(other, compat), how, compat)
+    return join_on(primary, source, name, lambda: norm_name(key, compat), lambda: norm_name(other, compat), how, compat, one_each)
 
 
 STRATEGIES = {"gaia_source_id": by_id, "exact_name": by_name, "stellar_id": by_stellar_id, "planet_name": by_planet_name, "hostname": by_host, "generic_name": by_any_name}

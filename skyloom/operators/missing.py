@@ -60,14 +60,18 @@ def keep_first(df: DataFrame, keys, order: str = "_row_idx") -> DataFrame:
     return one.select(*(F.col(c) if c in keys else F.col(f"_v.{c}").alias(c) for c in df.columns))
 
 
-def add_canonical_ids(df: DataFrame, index: str = "_row_idx", dedupe: bool = True, compat: bool = False) -> DataFrame:
-    """``star_id`` from DR3, else DR2 identifiers; ``planet_id`` from the normalised name; row index where there's no such column. One row a pair."""
+def identity_columns(names) -> tuple[str | None, str | None, str | None]:
+    """The columns of the newer id, the older id and the planet's name that canonical ids read."""
 
     def find(*ends: str):
-        return next((c for e in ends if (c := first(df, ending(e)))), None)
+        return next((c for e in ends if (c := first(names, ending(e)))), None)
+
+    return find("gaia_dr3_source_id", "source_id_dr3", "dr3_source_id"), find("gaia_dr2_source_id", "source_id_dr2", "dr2_source_id"), find("pl_name", "planet_name", "pl_hostname")
 
-    dr3, dr2 = find("gaia_dr3_source_id", "source_id_dr3", "dr3_source_id"), find("gaia_dr2_source_id", "source_id_dr2", "dr2_source_id")
-    name = find("pl_name", "planet_name", "pl_hostname")
+
+def add_canonical_ids(df: DataFrame, index: str = "_row_idx", dedupe: bool = True, compat: bool = False) -> DataFrame:
+    """``star_id`` from DR3, else DR2 identifiers; ``planet_id`` from the normalised name; row index where there's no such column. One row a pair."""
+    dr3, dr2, name = identity_columns(df.columns)
     ids = [F.col(c).cast("string") for c in (dr3, dr2) if c]
     row = F.col(index).cast("string")
     out = df.withColumns({"star_id": F.coalesce(*ids) if ids else row, "planet_id": norm_name(name, compat) if name else row})

@@ -48,8 +48,10 @@ def add_hz_position(df: DataFrame) -> DataFrame:
 def add_distance(df: DataFrame, zero_point: bool = False, offset: float = astro.ZERO_POINT) -> DataFrame:
     """Parsecs: the first geometric distance that has values (one counting job if there are several), else the inverse of the first parallax."""
     named = [c for c in df.columns if c.lower().endswith("distance_gspphot")]
-    has = filled(df, named)
-    geometric = next((F.col(c) for c in named if has[c]), F.lit(None).cast("double"))
+    if len(named) > 1:
+        has = filled(df, named)
+        named = [c for c in named if has[c]]
+    geometric = F.col(named[0]) if named else F.lit(None).cast("double")
     parallax = first(df, ending("parallax"))
     plx = F.col(parallax) - (offset if zero_point else 0.0) if parallax else F.lit(None).cast("double")
     inverse = F.when(plx > 0, F.try_divide(F.lit(1000.0), plx))

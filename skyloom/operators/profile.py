@@ -95,7 +95,7 @@ def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """What the optimizer takes the table's size to be; no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def report(tables: dict[str, DataFrame]) -> dict:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from .fixtures import view, with_views
 from .functions import text
 from .functions.astro import separation
 from .operators import columns, joins, missing, montecarlo, normalize, physics, profile, quality, sky, tiers, units
-from .plans import pipeline
+from .plans import merge, pipeline
 from .sources import scan
+from .streaming import enrich
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,8 +46,13 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path that all executors see; a local folder only where no shared one is set (tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skyloom-")
+    """A fresh path that all executors see; a local folder only where no shared one is set and all runs in this process (tests)."""
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="skyloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -142,23 +149,13 @@ def join_planet_name(spark, d):
 
 
 def _how(how: str):
-    @query(f"select c_custkey, o_orderkey as o_o_orderkey from (select * from customer where c_custkey % 3 > 0) c {how.replace('outer', 'full outer')} join (select * from orders where o_orderkey % 2 = 0) o on c_custkey = o_custkey", f"join_{how}")
-    def run(spark, d):
-        c, o = _table(spark, d, "customer").filter("c_custkey % 3 > 0"), _table(spark, d, "orders").filter("o_orderkey % 2 = 0")
-        return joins.join_on(c, o, "o", lambda: F.col("c_custkey"), lambda: F.col("o_custkey"), how).select("c_custkey", "o_o_orderkey")
-
-
-def _whole(how: str):
-    """The same join over whole customer and whole orders."""
-
-    @query(f"select c_custkey, o_orderkey as o_o_orderkey from customer {how.replace('outer', 'full outer')} join orders on c_custkey = o_custkey", f"join_whole_{how}")
+    @query(f"select c_custkey, o_orderkey as o_o_orderkey from customer {how.replace('outer', 'full outer')} join orders on c_custkey = o_custkey", f"join_{how}")
     def run(spark, d):
         return joins.join_on(_table(spark, d, "customer"), _table(spark, d, "orders"), "o", lambda: F.col("c_custkey"), lambda: F.col("o_custkey"), how).select("c_custkey", "o_o_orderkey")
 
 
 for _h in ("inner", "left", "right", "outer"):
     _how(_h)
-    _whole(_h)
 
 
 @query("select o_orderkey, l_linenumber as l_l_linenumber, l_quantity as l_l_quantity from orders left join lineitem on o_orderkey = l_orderkey")
@@ -176,14 +173,8 @@ def pm_correction(spark, d):
     return sky.corrected(view(spark, d, "sec"), 10.0).select("src_idx", r("ra_corrected"), r("decl_corrected"))
 
 
-@query(f"select row_idx, src_idx, round({_HAVERSINE}, 6) as sep from prim p join sec s on p.row_idx % 100 = s.src_idx % 100")
-def angular_separation(spark, d):
-    p, s = view(spark, d, "prim").select("row_idx", "ra", "decl"), view(spark, d, "sec").select("src_idx", F.col("ra").alias("ra2"), F.col("decl").alias("decl2"))
-    return p.join(s, F.col("row_idx") % 100 == F.col("src_idx") % 100).select("row_idx", "src_idx", r(separation("ra", "decl", "ra2", "decl2"), "sep"))
-
-
 @query(f"select row_idx, src_idx, round(sep, 6) as sep from (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join sec s on abs(p.decl - s.decl) < 0.06) where sep <= 3.0 / 3600")
-def cone_separation(spark, d):
+def angular_separation(spark, d):
     """The separation of every pair that the wide cone match considers."""
     return sky.within(view(spark, d, "prim"), view(spark, d, "sec"), 3.0, compat=True, left_id="row_idx", right_id="src_idx").select("row_idx", "src_idx", r("sep"))
 
@@ -201,8 +192,8 @@ def _cone(name: str, compat: bool, form: str):
         return found.filter("sec_match_quality is not null").select("row_idx", "sec_src_idx", r("sec_match_separation_arcsec"))
 
 
-_cone("cone_match_compat", True, "broadcast")
-_cone("cone_match_strict", False, "broadcast")
+_cone("cone_match_compat", True, "auto")
+_cone("cone_match_strict", False, "auto")
 _cone("cone_match_grid", False, "grid")
 _cone("cone_match_grid_compat", True, "grid")
 
@@ -255,18 +246,28 @@ def anti_ids(spark, d):
     return tiers.unmatched(_table(spark, d, "customer").select(F.col("c_custkey").alias("target_id")), _table(spark, d, "orders"), "o_custkey")
 
 
-@query(f"""select gaia_dr2_source_id, data_source, round(parallax_corrected, 6) as parallax_corrected from (
- select source_id as gaia_dr2_source_id, 'DR3_direct' as data_source, parallax - 0.017 as parallax_corrected from (select gaia_dr2_source_id as source_id, parallax from gaia where gaia_dr3_source_id is not null and parallax is not null) where source_id in (select {_ID} from prim)
- union all
- select source_id, 'DR2_direct', parallax - 0.017 from (select gaia_dr2_source_id as source_id, parallax from gaia where gaia_dr3_source_id is null and parallax > 0) where source_id in (select {_ID} from prim))""")
+# numbers of the older release's sources end in 0; the source after each second of them stands 0.3 or 0.7 arc seconds beside it, every third of these of unlike magnitude
+_BASE = 4295076295112340000
+_SKY = f"""(select gaia_dr2_source_id - {_BASE} as num, gaia_dr2_source_id, gaia_dr3_source_id, parallax, parallax_error, ruwe from gaia)"""
+
+
+@query(f"""select gaia_dr2_source_id, gaia_dr3_source_id, data_source, match_quality, round(parallax - 0.017, 6) as parallax_corrected from (
+ select o.gaia_dr2_source_id, case when one.num is not null then o.gaia_dr3_source_id else two.gaia_dr3_source_id end as gaia_dr3_source_id,
+  case when one.num is not null then 'DR3_direct' when two.num is not null then 'DR3_crossmatch' else 'DR2_direct' end as data_source,
+  case when one.num is not null then 1.0::double when two.num is not null then case when two.num % 40 = 1 then 0.8::double else 0.6::double end else 0.4::double end as match_quality,
+  case when one.num is not null then one.parallax when two.num is not null then two.parallax else o.parallax end as parallax
+ from {_SKY} o left join {_SKY} one on one.num = o.num and one.gaia_dr3_source_id is not null and one.parallax is not null
+  left join {_SKY} two on o.gaia_dr3_source_id is null and o.num % 20 = 0 and two.num = o.num + 1 and two.num % 60 <> 1 and two.gaia_dr3_source_id is not null and two.parallax is not null
+ where o.gaia_dr2_source_id in (select {_ID} from prim) and (one.num is not null or two.num is not null or (o.gaia_dr3_source_id is null and o.parallax > 0)))""")
 def tier_cascade(spark, d):
-    # positions as in the view of planets; no two are within an arc second, so tier 2 runs over all that tier 1 left and finds none
-    number = F.col("gaia_dr2_source_id") - 4295076295112340000
-    at = {"ra": (number * 37 % 36000).cast("double") / 100, "dec": (number * 91 % 17800).cast("double") / 100 - 89}
-    g = view(spark, d, "gaia").withColumns({"phot_g_mean_mag": F.lit(12.0), **at})
+    number = F.col("gaia_dr2_source_id") - _BASE
+    beside = number % 20 == 1
+    place = F.when(beside, number - 1).otherwise(number)
+    at = {"ra": (place * 37 % 36000).cast("double") / 100, "dec": (place * 91 % 17800).cast("double") / 100 - 89 + F.when(beside, F.when(number % 40 == 1, 0.3).otherwise(0.7) / 3600).otherwise(0.0)}
+    g = view(spark, d, "gaia").withColumns({"phot_g_mean_mag": F.when(number % 60 == 1, 14.0).otherwise(12.0), **at})
     newer = g.filter("gaia_dr3_source_id is not null").select(F.col("gaia_dr3_source_id").alias("source_id"), "ra", "dec", "parallax", "parallax_error", "ruwe", "phot_g_mean_mag")
     older = g.filter("gaia_dr3_source_id is null").select(F.col("gaia_dr2_source_id").alias("source_id"), "ra", "dec", "parallax", "parallax_error", "phot_g_mean_mag")
-    return tiers.cascade(view(spark, d, "prim"), newer, older).select("gaia_dr2_source_id", "data_source", r("parallax_corrected"))
+    return tiers.cascade(view(spark, d, "prim"), newer, older).select("gaia_dr2_source_id", "gaia_dr3_source_id", "data_source", "match_quality", r("parallax_corrected"))
 
 
 @query(f"select distinct {_ID} as target_id from prim where gaia_id is not null")
@@ -496,9 +497,16 @@ def drop_sparse(spark, d):
     return missing.drop_sparse(view(spark, d, "gaia")).select("gaia_dr2_source_id", "gaia_dr3_source_id", r("parallax"), r("ruwe"))
 
 
-@query()
+_NARROWED = {c: f"(select case when min({c}) >= -128 and max({c}) < 128 then 'tinyint' when min({c}) >= -32768 and max({c}) < 32768 then 'smallint' when min({c}) >= -2147483648 and max({c}) < 2147483648 then 'int' else 'bigint' end from lineitem)" for c in ("l_orderkey", "l_partkey", "l_suppkey")} | {
+    c: f"(select case when bool_and(({c}::float)::double = {c}) then 'float' else 'double' end from lineitem)" for c in ("l_quantity", "l_extendedprice", "l_discount")}
+
+
+@query("select l_linenumber, " + ", ".join(f"{c}{'::bigint' if c.endswith('key') else '::double'} as {c}, {t} as type_of_{c}" for c, t in _NARROWED.items()) + " from lineitem")
 def downcast(spark, d):
-    return missing.narrow_types(_table(spark, d, "lineitem").drop("l_shipdate", "l_commitdate", "l_receiptdate"))
+    """Values and the type that each column was narrowed to."""
+    narrow = missing.narrow_types(_table(spark, d, "lineitem").select("l_linenumber", *(F.col(c).cast("bigint" if c.endswith("key") else "double").alias(c) for c in _NARROWED)))
+    kinds = dict(narrow.dtypes)
+    return narrow.select(F.col("l_linenumber").cast(_table(spark, d, "lineitem").schema["l_linenumber"].dataType).alias("l_linenumber"), *(x for c in _NARROWED for x in (F.col(c).cast("bigint" if c.endswith("key") else "double").alias(c), F.lit(kinds[c]).alias(f"type_of_{c}"))))
 
 
 @query(f"""select row_idx, round((((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double
@@ -637,8 +645,94 @@ def validate_completeness(spark, d):
     return profile.validate(view(spark, d, "gaia")).select("check", "passed", r("value"))
 
 
+@query(f"""select row_idx, g.gaia_dr2_source_id as gaia_gaia_dr2_source_id, h.src_name as sweet_src_name, true as has_gaia_data, h.src_name is not null as has_sweet_data,
+ case when g.parallax is null or g.parallax_error = 0 then 'unknown' when g.parallax / g.parallax_error > 5.0 then 'good' else 'poor' end as gaia_parallax_quality,
+ round(((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double, 6) as data_completeness_score
+ from prim p left join gaia g on {_ID} = g.gaia_dr2_source_id left join (select concat('host ', src_idx) as host, src_name from sec) h on lower(trim(p.hostname)) = h.host""")
+def catalog_merge(spark, d):
+    """Provenance follows the first word of a column's name, so the primary's gaia_id and the quality flags count as data of gaia."""
+    stars = view(spark, d, "sec").select(F.concat(F.lit("host "), "src_idx").alias("hostname"), "src_name")
+    merged = pipeline.catalog_merge({"nasa_exoplanet": view(spark, d, "prim"), "gaia": view(spark, d, "gaia"), "sweet": stars}, primary="nasa_exoplanet")
+    return merged.select("row_idx", "gaia_gaia_dr2_source_id", "sweet_src_name", "has_gaia_data", "has_sweet_data", "gaia_parallax_quality", r("data_completeness_score"))
+
+
+@query("""select 'output_rows' as name, count(*)::double as value from (select distinct * from (select c_custkey, o_orderkey from customer left join orders on c_custkey = o_custkey))
+ union all select 'total_input_rows', ((select count(*) from customer) + (select count(*) from orders))::double
+ union all select 'merge_efficiency', round((select count(*) from (select distinct c_custkey, o_orderkey from customer left join orders on c_custkey = o_custkey)) / ((select count(*) from customer) + (select count(*) from orders))::double, 6)""")
+def merge_statistics(spark, d):
+    """What a written merge tells of itself."""
+    sources = {"customer": _table(spark, d, "customer").select("c_custkey"), "orders": _table(spark, d, "orders").select("o_orderkey", "o_custkey")}
+    join = lambda s: joins.join_on(s["customer"], s["orders"], "o", lambda: F.col("c_custkey"), lambda: F.col("o_custkey"))
+    told = merge.run_merge(sources, join, _scratch(spark, "merged"))
+    if not told.success:
+        raise RuntimeError(told.error)
+    rows = [(k, float(told.statistics[k])) for k in ("output_rows", "total_input_rows", "merge_efficiency")]
+    return spark.createDataFrame(rows, "name string, value double").select("name", r("value"))
+
+
+@query("select s_suppkey, s_name from supplier")
+def scan_landed(spark, d):
+    """A landed CSV is ingested to Parquet, and read as whatever is there, with the listed columns that exist."""
+    folder = _scratch(spark, "landed")
+    path = scan.export(_table(spark, d, "supplier").select("s_suppkey", "s_name"), f"{folder}/s", "raw", ["csv"])["csv"]
+    scan.ingest(spark, path, f"{folder}/s/s.parquet")
+    kept = scan.scan_any(spark, folder, "s", ["s_suppkey", "s_name", "absent"], required=True)
+    schema = _table(spark, d, "supplier").schema
+    return kept.select(*(F.col(c).cast(schema[c].dataType).alias(c) for c in kept.columns))
+
+
+@query("select s_suppkey, s_name from supplier")
+def stage_roundtrip(spark, d):
+    """Tables written to two stages; the newest of the last one is read, and exported."""
+    folder, table = _scratch(spark, "interim"), _table(spark, d, "supplier").select("s_suppkey", "s_name")
+    scan.write_stage(table.limit(0), folder, scan.STAGES[0], "t")
+    scan.write_stage(table, folder, scan.STAGES[1], "t")
+    return spark.read.parquet(scan.export(spark.read.parquet(scan.latest_stage(spark, folder)), f"{folder}/out", "t", ["parquet"])["parquet"])
+
+
+@query(f"""select row_idx, round(hz_inner, 6) as hz_inner, round(case when t between 0 and 20000 then t end, 6) as equilibrium_temperature,
+ round(((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double, 6) as data_completeness_score
+ from (select *, {_edge('RunawayGreenhouse')} as hz_inner, {_TEQ} as t from prim)""")
+def stream_enriched(spark, d):
+    """Planets as a stream of files, enriched, and written until all files are read."""
+    folder = _scratch(spark, "stream")
+    view(spark, d, "prim").write.parquet(f"{folder}/in")
+    rows = spark.read.parquet(f"{folder}/in")
+    stream = enrich.enrich_stream(enrich.landed(spark, f"{folder}/in", rows.schema))
+    stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out").select("row_idx", r("hz_inner"), r("equilibrium_temperature"), r("data_completeness_score"))
+
+
+_CHECKED = """(select row_idx, lower(trim(pl_name)) as planet_id, gaia_id, st_teff, st_lum, st_mass, st_rad, case when pl_orbsmax > 0 then pl_orbsmax end as pl_orbsmax,
+ case when pl_rade > 0 then pl_rade end as pl_rade, case when pl_masse > 0 then pl_masse end as pl_masse from prim)"""
+_PARALLAX = "g.parallax - 0.017"
+
+
+@query(f"""select p.row_idx, cast(coalesce(g.gaia_dr3_source_id, g.gaia_dr2_source_id) as varchar) as star_id, planet_id, round(pl_rade, 6) as pl_rade, round(pl_masse, 6) as pl_masse, round(pl_orbsmax, 6) as pl_orbsmax,
+ round({_edge('RunawayGreenhouse')}, 6) as hz_inner, round({_edge('EarlyMars')}, 6) as hz_opt_outer, round(case when {_TEQ} between 0 and 20000 then {_TEQ} end, 6) as equilibrium_temperature,
+ round(((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double, 6) as data_completeness_score,
+ pl_rade is null as pl_rade_missing, round(case when g.distance_gspphot is not null then g.distance_gspphot when {_PARALLAX} > 0 then 1000.0 / ({_PARALLAX}) end, 6) as distance_pc, m.src_idx as sec_src_idx
+ from {_CHECKED} p left join gaia g on {_ID} = g.gaia_dr2_source_id
+ left join (select row_idx, src_idx, row_number() over (partition by row_idx order by sep, src_idx) as k from
+   (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join (select src_idx, ra + pmra / 3.6e6 / cos(radians(decl)) as ra, decl + pmdec / 3.6e6 as decl from sec) s on abs(p.decl - s.decl) < 0.06)
+   where sep <= radians(3.0 / 3600)) m on m.row_idx = p.row_idx and m.k = 1""")
+def full_pipeline_values(spark, d):
+    """All stages; of their columns, those that don't come from random draws or from one of several equal matches."""
+    return full_pipeline(spark, d).select("row_idx", "star_id", "planet_id", r("pl_rade"), r("pl_masse"), r("pl_orbsmax"), r("hz_inner"), r("hz_opt_outer"), r("equilibrium_temperature"), r("data_completeness_score"), "pl_rade_missing", r("distance_pc"), "sec_src_idx")
+
+
+@query()
+def full_pipeline_tables(spark, d):
+    """(name, n): stage nine over the wide table, which is written once: rows of every entity table."""
+    path = _scratch(spark, "wide")
+    full_pipeline(spark, d).write.parquet(path)
+    made = pipeline.tables(spark.read.parquet(path))
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in made.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query()
 def full_pipeline(spark, d):
-    """All stages: joins with three catalogs, then ids, units, checks, quality, physics, Monte Carlo, missingness and distance."""
+    """The wide table, stages one to eight: joins with three catalogs, then ids, units, checks, quality, physics, Monte Carlo, missingness and distance."""
     p = view(spark, d, "prim").withColumn("_row_idx", F.col("row_idx"))
     return pipeline.merged(p, _sources(spark, d), pipeline.Spec(CATALOGS))

@@ -155,11 +155,16 @@ def test_quantiles_are_exact_however_small_the_band(spark, small):
     draw = np.random.default_rng(1)
     x = np.concatenate([draw.standard_normal(500), np.full(300, 0.25), [1e9, -1e9]])
     df = frame(spark, [(float(v), None) for v in x], "x double, e double")
-    got = exact_quantiles(df, ["x", "e"], [0.0, 0.16, 0.5, 0.75, 1.0], small)
+    got = exact_quantiles(df, ["x", "e"], [0.0, 0.16, 0.5, 0.75, 1.0], small, few=small)
     assert got["x"] == pytest.approx(list(np.quantile(x, [0.0, 0.16, 0.5, 0.75, 1.0])), rel=1e-12)
     assert got["e"] == [None] * 5 and modes(df, ["x", "e"]) == {"x": 0.25, "e": None}
 
 
+def test_modes_of_mixed_types(spark):
+    df = frame(spark, [("a", 1, None), ("b", 2, None), ("b", 1, None), ("a", (1 << 60) + 1, None), (None, (1 << 60) + 1, None), ("c", (1 << 60) + 1, None)], "s string, `n.x` long, e double")
+    assert modes(df, ["s", "n.x", "e"]) == {"s": "a", "n.x": (1 << 60) + 1, "e": None} and modes(df, []) == {}
+
+
 def test_narrowing_keeps_values(spark):
     df = frame(spark, [(1, 0.5, 1 << 40), (-128, 0.1, 0)], "a long, b double, c long")
     got = missing.narrow_types(df.select("a", "c", F.when(F.col("b") == 0.5, 0.25).otherwise(0.5).alias("b"), F.col("b").alias("d")))

@@ -33,10 +33,10 @@ def test_whole_joins_keep_every_row(spark, tmp_path, how):
     spark.createDataFrame([(1, 1), (2, 3), (3, 3), (4, 9), (5, 9)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     both, left, right = {(1, 1), (3, 2), (3, 3)}, {(2, None), (6, None)}, {(None, 4), (None, 5)}
     want = both | (left if how in ("left", "outer") else set()) | (right if how in ("right", "outer") else set())
-    got = [tuple(r) for r in QUERIES[f"join_whole_{how}"](spark, str(tmp_path)).collect()]
+    got = [tuple(r) for r in QUERIES[f"join_{how}"](spark, str(tmp_path)).collect()]
     assert len(got) == len(want) and set(got) == want
 
 
 def test_separation_of_all_pairs_of_the_cone(spark, sf_dir):
     matched = {r.row_idx for r in QUERIES["cone_match_grid_compat"](spark, sf_dir).collect()}
-    assert {r.row_idx for r in QUERIES["cone_separation"](spark, sf_dir).collect()} == matched and matched
+    assert {r.row_idx for r in QUERIES["angular_separation"](spark, sf_dir).collect()} == matched and matched
