@@ -5,9 +5,9 @@ similar sets shares a token among the first fifth (and one more) of each, in any
 The order here: a fixed quarter of all tokens by its hash comes first, rare tokens before frequent ones; the others follow by hash, and
 only sets too small in that quarter need them. Tokens of one class only can't link anything and fall away, and most documents
 with them. Classes that share such a token meet in a block, named by the token's smallest class; a block gets
-each class's whole set once. A block is dealt into chunks, and its smallest class goes to each chunk. In a
-chunk a signature tree is joined with itself (signature_tree.py); every link is verified on the whole sets. Chunks
-of one block whose classes aren't all in one component yet are then joined with each other, except for pairs within the
+each class's whole set once. A large block is dealt into levels of set sizes, of which only adjoining ones can hold similar sets, and those into chunks;
+its smallest class goes to each chunk. In a chunk a signature tree is joined with itself (signature_tree.py); every link is verified on the whole sets. Chunks
+of one block whose classes aren't all in one component yet are then joined with each other where their levels allow, except for pairs within the
 component that most are in, which need no comparing. So nothing is left out, and a large group of near copies costs its size.
 
 A document with fewer words than a shingle has the whole sequence as its one shingle; without words or text
@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from .common import collected, materialize, materialize_narrow, packed, table
 from .components import components, with_least
-from .signature_tree import Union, enough, joined, overlap
+from .signature_tree import Union, joined
 
 WORDS = 5
 NUM, DEN = 80, 100
 CHUNK = 1024
+#: Where sets meet: a chunk of a level of a block, and two of them.
+PLACE, ACROSS = ["block", "level", "chunk"], ["block", "level", "i", "level2", "j"]
 #: One token in so many is in the part of the order that is sorted by frequency.
 SAMPLED = 4
 #: Bits of the filter that keeps most sets without candidates from being built again; its size is fixed.
@@ -180,18 +182,14 @@ def _grouped(batches, keys: list[str]):
 
 
 def _within(num: int, den: int):
-    """Rows (block, chunk, node, toks) -> (a, b): a star a component that a chunk holds."""
+    """Rows (block, level, chunk, node, toks) -> (a, b): a star a component that a chunk holds."""
 
     def run(batches):
-        for rows in _grouped(batches, ["block", "chunk"]):
+        for rows in _grouped(batches, PLACE):
             rows.sort(key=lambda r: r.node)
             nodes = [r.node for r in rows]
             sets = [np.frombuffer(r.toks, np.uint64) for r in rows]
             known = Union(len(rows))
-            hub = next((k for k, r in enumerate(rows) if r.node == r.block), 0)
-            for k, s in enumerate(sets):  # the block's own class first: it's like most of them
-                if k != hub and enough(min(len(s), len(sets[hub])), len(s), len(sets[hub]), num, den) and enough(overlap(s, sets[hub]), len(s), len(sets[hub]), num, den):
-                    known.link(k, hub)
             joined(sets, known, np.arange(len(rows)), None, num, den)
             links = [(nodes[known.find(k)], nodes[k]) for k in range(len(rows)) if known.find(k) != k]
             if links:
@@ -201,10 +199,10 @@ def _within(num: int, den: int):
 
 
 def _across(num: int, den: int):
-    """Rows (block, i, j, side, root, node, toks) -> (a, b): links between a chunk and a chunk of a block's minor components."""
+    """Rows (block, level, i, level2, j, side, root, node, toks) -> (a, b): links between a chunk and a chunk of a block's minor components."""
 
     def run(batches):
-        for rows in _grouped(batches, ["block", "i", "j"]):
+        for rows in _grouped(batches, ACROSS):
             left = [r for r in rows if r.side == 0]
             right = [r for r in rows if r.side == 1]
             if not left or not right:
@@ -232,19 +230,18 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     """(doc_id, mark, n_shingles, component_id, root) of every document; root names the component even where no id does."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     reduced = materialize(_reduced(docs, words, num, den), "shingle-tokens")
-    classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id")), "shingle-classes")
+    classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id"), F.max("n").alias("n")), "shingle-classes")
     blocks = materialize_narrow(_blocks(reduced, classes, num, den), "blocks")
     members = materialize(_sets(docs, blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), words), "block-sets")
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    dealt = materialize_narrow(blocks.join(sizes, "block").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), "chunks")), "chunks")
-    # a block's own class goes to each of its chunks
-    spread = dealt.filter("node != block").select("block", "chunk", "node").unionByName(dealt.filter("node = block").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node"))
-    edges = spread.join(members, "node").select("block", "chunk", "node", "toks").repartition("block", "chunk").sortWithinPartitions("block", "chunk").mapInPandas(_within(num, den), "a long, b long")
+    dealt, chunks = _dealt(blocks, classes, chunk, num, den)
+    # a block's own class goes to each of its chunks: it's like most of them, and holds their components together
+    spread = dealt.filter("node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
+    edges = spread.join(members, "node").select(*PLACE, "node", "toks").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
     edges = materialize_narrow(edges.distinct(), "links")
     found = materialize_narrow(components(edges), "components")
-    large = dealt.filter("chunks > 1")
-    if large.limit(1).count():
-        edges = edges.unionByName(_cross_links(large, found, members, chunk, num, den))
+    large = dealt.filter("large")
+    if not large.isEmpty():
+        edges = edges.unionByName(_cross_links(large, chunks, found, members, chunk, num, den))
         found = materialize_narrow(components(edges), "components")
     by_class = classes.join(with_least(found, classes), "node", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
     plain = reduced.filter(F.col("cls").isNull()).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("root"))
@@ -252,19 +249,38 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     return linked.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "root").unionByName(plain)
 
 
-def _cross_links(large: DataFrame, found: DataFrame, members: DataFrame, chunk: int, num: int, den: int) -> DataFrame:
+def _dealt(blocks: DataFrame, classes: DataFrame, chunk: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(block, level, chunk, node, large) of every class in every block, and the distinct (block, level, chunk) of them. A block larger than a chunk is
+    dealt by the size of its sets: a level's sizes are as far apart as similar sets' sizes can be, so that only sets of the same and of
+    adjoining levels can be similar; and a level into chunks."""
+    counts = blocks.groupBy("block").agg((F.count("*") > chunk).alias("large"))
+    level = F.when(F.col("large"), F.floor(F.log("n") / F.log(F.lit(den / num)) + 1e-9)).otherwise(0).cast("int")
+    placed = blocks.join(classes.select("node", "n"), "node").join(counts, "block").select("block", "node", "large", level.alias("level"))
+    placed = materialize_narrow(placed, "levels")
+    sizes = placed.groupBy("block", "level").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
+    dealt = materialize_narrow(placed.join(sizes, ["block", "level"]).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), "chunks").cast("int")), "chunks")
+    return dealt, dealt.select(*PLACE).distinct()
+
+
+def _beside(df: DataFrame, level: str, to: str) -> DataFrame:
+    """Every row for its own level and the two that adjoin it, as column ``to``."""
+    return df.withColumn(to, F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.col(level) + d)))
+
+
+def _cross_links(large: DataFrame, chunks: DataFrame, found: DataFrame, members: DataFrame, chunk: int, num: int, den: int) -> DataFrame:
     """Links between chunks of blocks that hold several components: every chunk meets the chunks of all classes
-    outside the block's largest component."""
+    outside the block's largest component that are of its level or adjoin it."""
     rooted = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     by_root = rooted.groupBy("block", "root").agg(F.count("*").alias("k"))
-    main = by_root.groupBy("block").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots"), F.sum("k").alias("k_all"), F.max("k").alias("k_main")).filter("roots > 1")
-    main = main.select("block", "main", F.ceil((F.col("k_all") - F.col("k_main")) / chunk).alias("minor_chunks"))
-    here = materialize_narrow(rooted.join(main, "block"), "open-chunks")
-    left = here.select("block", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("minor_chunks") - 1)).alias("j"), F.lit(0).alias("side"), "root", "node")
-    minor = here.filter("root != main").withColumn("j", F.pmod(F.xxhash64("node", F.lit(5)), "minor_chunks"))
-    right = minor.select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), "j", F.lit(1).alias("side"), "root", "node")
-    rows = left.unionByName(right).join(members, "node").select("block", "i", "j", "side", "root", "node", "toks")
-    return materialize_narrow(rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j").mapInPandas(_across(num, den), "a long, b long").distinct(), "links")
+    main = by_root.groupBy("block").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").select("block", "main")
+    here = materialize_narrow(rooted.join(main, "block").select("block", "level", F.col("chunk").alias("i"), "root", "node", "main"), "open-chunks")
+    sizes = here.filter("root != main").groupBy("block", F.col("level").alias("level2")).agg(F.ceil(F.count("*") / chunk).cast("int").alias("minor_chunks"))
+    left = _beside(here, "level", "level2").join(sizes, ["block", "level2"]).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("minor_chunks") - 1)))
+    minor = here.filter("root != main").withColumnRenamed("level", "level2").drop("i").join(sizes, ["block", "level2"]).withColumn("j", F.pmod(F.xxhash64("node", F.lit(5)), "minor_chunks").cast("int"))
+    right = _beside(minor, "level2", "level").join(chunks.select("block", "level", F.col("chunk").alias("i")), ["block", "level"])
+    shown = lambda df, side: df.select(*ACROSS, F.lit(side).alias("side"), "root", "node")
+    rows = shown(left, 0).unionByName(shown(right, 1)).join(members, "node").select(*ACROSS, "side", "root", "node", "toks")
+    return materialize_narrow(rows.repartition(*ACROSS).sortWithinPartitions(*ACROSS).mapInPandas(_across(num, den), "a long, b long").distinct(), "links")
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
