@@ -234,8 +234,8 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     blocks = materialize_narrow(_blocks(reduced, classes, num, den), "blocks")
     members = materialize(_sets(docs, blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), words), "block-sets")
     dealt, chunks = _dealt(blocks, classes, chunk, num, den)
-    # a block's own class goes to each of its chunks: it's like most of them, and holds their components together
-    spread = dealt.filter("node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
+    # a large block's own class goes to each of its chunks: it's like most of them, and holds their components together
+    spread = dealt.filter("not large or node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
     edges = spread.join(members, "node").select(*PLACE, "node", "toks").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
     edges = materialize_narrow(edges.distinct(), "links")
     found = materialize_narrow(components(edges), "components")
@@ -250,16 +250,17 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
 
 
 def _dealt(blocks: DataFrame, classes: DataFrame, chunk: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(block, level, chunk, node, large) of every class in every block, and the distinct (block, level, chunk) of them. A block larger than a chunk is
+    """(block, level, chunk, node, large) of every class in every block, and the distinct (block, level, chunk) of large blocks. A block larger than a chunk is
     dealt by the size of its sets: a level's sizes are as far apart as similar sets' sizes can be, so that only sets of the same and of
     adjoining levels can be similar; and a level into chunks."""
-    counts = blocks.groupBy("block").agg((F.count("*") > chunk).alias("large"))
-    level = F.when(F.col("large"), F.floor(F.log("n") / F.log(F.lit(den / num)) + 1e-9)).otherwise(0).cast("int")
-    placed = blocks.join(classes.select("node", "n"), "node").join(counts, "block").select("block", "node", "large", level.alias("level"))
-    placed = materialize_narrow(placed, "levels")
+    large = materialize_narrow(blocks.groupBy("block").agg(F.count("*").alias("k")).filter(F.col("k") > chunk).select("block"), "large-blocks")
+    small = blocks.join(large, "block", "left_anti").select("block", F.lit(0).alias("level"), F.lit(0).alias("chunk"), "node", F.lit(False).alias("large"))
+    level = F.floor(F.log("n") / F.log(F.lit(den / num)) + 1e-9).cast("int")
+    placed = materialize_narrow(blocks.join(large, "block", "left_semi").join(classes.select("node", "n"), "node").select("block", level.alias("level"), "node"), "levels")
     sizes = placed.groupBy("block", "level").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
-    dealt = materialize_narrow(placed.join(sizes, ["block", "level"]).withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), "chunks").cast("int")), "chunks")
-    return dealt, dealt.select(*PLACE).distinct()
+    split = placed.join(sizes, ["block", "level"]).select("block", "level", F.pmod(F.xxhash64("node", F.lit(3)), "chunks").cast("int").alias("chunk"), "node", F.lit(True).alias("large"))
+    dealt = materialize_narrow(small.unionByName(split), "chunks")
+    return dealt, dealt.filter("large").select(*PLACE).distinct()
 
 
 def _beside(df: DataFrame, level: str, to: str) -> DataFrame:
