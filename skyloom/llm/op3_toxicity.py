@@ -12,7 +12,9 @@ with a null id never train. Without any positive label every score is the prior
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 LEAST_Z = 3.0
 THRESHOLD = 0.3
 #: Words' features kept in a worker's memo before it is emptied.
-MEMO_WORDS = 50_000
+MEMO_WORDS = 200_000
 
 
 def features_of_word(word: str) -> list[int]:
@@ -38,6 +40,21 @@ def features_of_word(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(k.encode("utf-8", "replace")) for k in keys]
 
 
+class Places(dict):
+    """Where a word's features are among the keys, without those that training hasn't met; kept for as many words as there's room."""
+
+    def __init__(self, keys: np.ndarray):
+        super().__init__()
+        self.place = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        place = self.place
+        made = self[word] = tuple([place[k] for k in features_of_word(word) if k in place])
+        return made
+
+
 @dataclass
 class Model:
     """Weights by feature key, of all features of the training texts."""
@@ -45,39 +62,22 @@ class Model:
     keys: np.ndarray
     weights: np.ndarray
     bias: float
-    memo: dict = field(default_factory=dict)
 
     def __getstate__(self):
         return {"keys": self.keys, "weights": self.weights, "bias": self.bias}
 
-    def __setstate__(self, state):
-        self.__dict__.update(state, memo={})
-
-    def __post_init__(self):
-        self.__setstate__(self.__getstate__())
-
-    @property
-    def by_key(self) -> dict:
-        return dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
+    @cached_property
+    def places(self) -> Places:
+        return Places(self.keys)
 
-    def places(self, word: str) -> list[int]:
-        """Where the word's features are among the keys; without those that training hasn't met."""
-        made = np.array(features_of_word(word), dtype=self.keys.dtype)
-        at = np.minimum(np.searchsorted(self.keys, made), len(self.keys) - 1)
-        return at[self.keys[at] == made].tolist() if len(self.keys) else []
+    @cached_property
+    def _listed(self) -> list[float]:
+        return self.weights.tolist()
 
     def score(self, text: str | None) -> float:
-        memo, found = self.memo, set()
-        for w in set(_WORD.findall((text or "").lower())):
-            hit = memo.get(w)
-            if hit is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                hit = memo[w] = self.places(w)
-            if hit:
-                found.update(hit)
-        z = self.bias + (float(self.weights[list(found)].sum()) if found else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+        found = set().union(*map(self.places.__getitem__, set(_WORD.findall((text or "").lower()))))
+        z = self.bias + math.fsum(map(self._listed.__getitem__, found))  # the same in any order
+        return 1 / (1 + math.exp(-min(max(z, -35.0), 35.0)))
 
 
 def evidence(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int) -> np.ndarray:
