@@ -163,7 +163,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 yield pd.DataFrame({"cls": cls, "toks": toks})
 
     built = docs.select("text").mapInPandas(each, "cls binary, toks binary")
-    return built.join(nodes, "cls").dropDuplicates(["node"]).select("node", "toks")
+    # a class is a node: by its digest, the rows lie where the join has put them
+    return built.join(nodes, "cls").dropDuplicates(["cls"]).select("node", "toks")
 
 
 def _grouped(batches, keys: list[str]):
