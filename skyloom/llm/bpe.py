@@ -24,18 +24,48 @@ import regex
 
 #: White space as Unicode's White_Space property has it (fixed values).
 SPACE = "\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: The split pattern of the vocabulary file's pre-tokenizer (fixed value), with the classes spelled out.
-SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Characters in which the classes are plain ranges, and the same pattern over them for the faster matcher (fixed values).
+#: Characters in which the classes of the split are plain ranges, and the split pattern of the vocabulary file's pre-tokenizer over them (fixed values).
 COMMON = r"\x00-\u024f\u2010-\u2027"
 _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t\n\x0b\x0c\r\x20\x85\xa0"
-COMMON_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 #: What the memo of words may hold before it is emptied, in bytes of words with 256 a word for the rest; bounds the memory of a worker.
 MEMO_BYTES = 80_000_000
 #: Characters per step; longer texts are read in such steps. A word whose known part is longer than LONG is taken as it comes.
 STEP, LONG = 1 << 16, 1024
 
 
+class Shown(dict):
+    """For str.translate: a common character of the same class for each other one. Versions of Unicode differ between libraries, so the class of a
+    character outside the common ones is asked of the tokenizer library's own pre-tokenizer, once."""
+
+    #: A character of each class, and a common one that stands for it; the last is white space.
+    KINDS = (("a", "\u0101"), ("1", "\xb2"), ("!", "\xa7"))
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.ask = ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        made = self[code] = c if not uncommon(c) else next((sign for like, sign in self.KINDS if len(self.ask(like + c)) == 1), "\xa0")
+        return made
+
+
+uncommon = re.compile(rf"[^{COMMON}]").search
+
+
+@lru_cache(maxsize=1)
+def _shown() -> Shown:
+    return Shown()
+
+
+def shown(text: str) -> str:
+    """``text`` in common characters of the same classes, place by place."""
+    return text.translate(_shown()) if uncommon(text) else text
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-ins that vocabulary files use for bytes, by the usual rule: printable Latin-1 stands for
     itself, the other bytes for 256, 257 and so on."""
@@ -193,7 +223,7 @@ class Stream:
         """
         out, held = [], self.held + text
         if self.run is not None:
-            end = self.kind.match(held).end()
+            end = self.kind.match(shown(held)).end()
             goes_on = end == len(held) and not final
             stop = end - 1 if self.kind is self.of.spaces and (goes_on or end < len(held)) else end
             out.append(said(self.run.push(held[:stop].encode("utf-8", "replace"))))
@@ -213,7 +243,7 @@ class Stream:
             del words[k:]
         out += map(self.of.memo.__getitem__, words)
         if not final and len(self.held) > LONG:
-            self.kind = next(c for c in self.of.classes if c.fullmatch(self.held[-1]))
+            self.kind = next(c for c in self.of.classes if c.fullmatch(shown(self.held[-1])))
             self.run = LongWord(self.of.merges)
             stop = len(self.held) - (self.kind is self.of.spaces)
             out.append(said(self.run.push(self.held[:stop].encode("utf-8", "replace"))))
@@ -226,16 +256,14 @@ class Transducer:
 
     def __init__(self, merges: Merges):
         self.merges, self.memo = merges, Words(merges)
-        self.any_split = regex.compile(SPLIT).findall
-        self.common_split = re.compile(COMMON_SPLIT).findall
-        self.uncommon = re.compile(rf"[^{COMMON}]").search
-        letters, numbers, others, self.spaces = (regex.compile(c + "*") for c in (r"\p{L}", r"\p{N}", rf"[^{SPACE}\p{{L}}\p{{N}}]", f"[{SPACE}]"))
+        self.find = re.compile(SPLIT)
+        letters, numbers, others, self.spaces = (re.compile(c + "*") for c in (f"[{_L}]", f"[{_N}]", f"[^{_S}{_L}{_N}]", f"[{_S}]"))
         self.classes = (letters, numbers, others, self.spaces)
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(merges.special, key=len, reverse=True))) if merges.special else None
         self.longest = max(map(len, merges.special), default=1)
 
     def split(self, text: str) -> list[str]:
-        return self.any_split(text) if self.uncommon(text) else self.common_split(text)
+        return [text[m.start() : m.end()] for m in self.find.finditer(shown(text))] if uncommon(text) else self.find.findall(text)
 
     def _segments(self, parts: Iterable[str]):
         """(text, special): text and the special string that ends its segment, None where the segment goes on. Holds back what may be the

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import SPACE, byte_alphabet
+from .bpe import SPACE, byte_alphabet, shown, uncommon
 from .common import fresh_path, materialize, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,7 +59,8 @@ class WordCounter:
         # plain ASCII has no other normal form
         plain = text.lower() if text.isascii() else self.library.normalizer.normalize_str(text)
         memo, total = self.memo, 0
-        for w in self.split.findall(plain):
+        words = [plain[m.start() : m.end()] for m in self.split.finditer(shown(plain))] if uncommon(plain) else self.split.findall(plain)
+        for w in words:
             n = memo.get(w)
             if n is None:
                 if len(memo) >= MEMO_WORDS:

@@ -40,6 +40,24 @@ def test_transducer_equals_library(text):
     assert Decoder(made.merges).feed(ids, True) == library("byte_bpe_50k.json").decode(ids, skip_special_tokens=False)
 
 
+def test_classes_are_the_librarys():
+    """Characters that versions of Unicode class differently, alone and beside letters, digits and signs."""
+    import sys
+    import unicodedata
+
+    import regex
+
+    letter = regex.compile(r"\p{L}").match
+    odd = [c for c in map(chr, range(0x250, sys.maxunicode + 1)) if bool(letter(c)) != unicodedata.category(c).startswith("L")][::97]
+    made = transducer_for(PATH)
+    for c in [*odd, "\U000323b0", "\u1c89", "\ua7cb", "\u0378", "\u2028", "\u180e", "\u200b", "\u0661", "\u2167"]:
+        if not 0xD800 <= ord(c) < 0xE000:
+            text = f"«{c} a{c}1{c}!{c}\n{c}{c} x"
+            assert made.encode(text) == ids_of(text), hex(ord(c))
+            assert o2._counter(o2.vocabulary_path())([text]) == [counted(text)], hex(ord(c))
+            assert [i for some in made.stream([text + c * 2000 + "ab"]) for ids, _ in some for i in ids] == ids_of(text + c * 2000 + "ab"), hex(ord(c))
+
+
 @pytest.mark.parametrize("text", ["x" * 100_000, " " * 70_000 + "a", "they'll" * 15_000, "ab " * 21_845 + "'ll ok", "a<|endoftext|>b" * 3, "aaaaaaaaab" * 500, "1" * 65_534 + "'s x"])
 def test_long_texts_are_encoded_in_steps(text):
     assert transducer_for(PATH).encode(text) == ids_of(text)
