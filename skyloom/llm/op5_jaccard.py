@@ -129,7 +129,7 @@ def _in_first_fifth(shared: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, toks): the whole set of each class in ``nodes`` (node, cls)."""
+    """(cls, toks): the whole set of each class in ``nodes`` (node, cls), and of a few others that the filter can't tell from them."""
     spark = docs.sparkSession
 
     def positions(batches):
@@ -162,9 +162,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             if cls:
                 yield pd.DataFrame({"cls": cls, "toks": toks})
 
-    built = docs.select("text").mapInPandas(each, "cls binary, toks binary")
-    # a class is a node: by its digest, the rows lie where the join has put them
-    return built.join(nodes, "cls").dropDuplicates(["cls"]).select("node", "toks")
+    return docs.select("text").mapInPandas(each, "cls binary, toks binary").dropDuplicates(["cls"])
 
 
 def _grouped(batches, keys: list[str]):
@@ -233,15 +231,18 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     reduced = materialize(_reduced(docs, words, num, den), "shingle-tokens")
     classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id"), F.max("n").alias("n")), "shingle-classes")
     blocks = materialize_narrow(_blocks(reduced, classes, num, den), "blocks")
-    members = materialize(_sets(docs, blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), words), "block-sets")
+    nodes = materialize_narrow(blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), "block-nodes")
     dealt, chunks = _dealt(blocks, classes, chunk, num, den)
     # a large block's own class goes to each of its chunks: it's like most of them, and holds their components together
     spread = dealt.filter("not large or node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
-    edges = spread.join(members, "node").select(*PLACE, "node", "toks").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
+    # sets are dealt by class once: for dropping repeated ones, and for this join
+    edges = spread.join(nodes, "node").join(_sets(docs, nodes, words), "cls").select(*PLACE, "node", "toks").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
     edges = materialize_narrow(edges.distinct(), "links")
     found = materialize_narrow(components(edges), "components")
     large = dealt.filter("large")
     if not large.isEmpty():
+        wide = materialize_narrow(large.select("node").distinct().join(nodes, "node"), "wide-nodes")
+        members = materialize(_sets(docs, wide, words).join(wide, "cls").select("node", "toks"), "wide-sets")
         edges = edges.unionByName(_cross_links(large, chunks, found, members, chunk, num, den))
         found = materialize_narrow(components(edges), "components")
     by_class = classes.join(with_least(found, classes), "node", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
