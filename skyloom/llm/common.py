@@ -44,8 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nobody else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody else uses; :func:`clean` knows it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -55,7 +57,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     small_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, name)
-    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -66,7 +67,7 @@ def materialize_narrow(df: DataFrame, name: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Deletes what :func:`materialize` wrote in this application, from the table number ``since`` on, but for the table ``keep`` reads.
+    """Deletes what was written to paths of :func:`fresh_path` in this application, from the path number ``since`` on, but for the table ``keep`` reads.
     Frames that read the others can't be used any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     kept = [p for p in _written[since:] if keep is not None and any(p.split("/")[-1] in f for f in keep.inputFiles()[:1])]
@@ -77,7 +78,7 @@ def clean(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) ->
 
 
 def written() -> int:
-    """How many tables :func:`materialize` has written; what's written later can be deleted by :func:`clean`."""
+    """How many paths :func:`fresh_path` has made; what's written to later ones can be deleted by :func:`clean`."""
     return len(_written)
 
 
