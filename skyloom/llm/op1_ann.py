@@ -29,10 +29,18 @@ K = 20
 FACTOR = 0.2
 #: Components of a shard's vectors together, so 8,192 rows of 64; rows of a leaf; queries that meet one copy of a tree.
 SHARD_SIZE, LEAF, BLOCK_ROWS = 1 << 19, 128, 65_536
+#: Share of the largest distance that rounding can shift a distance by, near zero at most.
+BLUR = 1e-7
 #: Rows from which the router is built, and its leaves at most (a leaf may have any number of shards).
 SAMPLE_ROWS, MOST_LEAVES = 16_384, 1024
 
 
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner product of each row of ``q`` with the same row of ``x``, summed in the order of the components: equal vectors have equal
+    scores wherever they stand. A matrix product doesn't give that; its last bits depend on a vector's place."""
+    return np.add.reduce(np.ascontiguousarray((q * x).T), axis=0)
+
+
 class Tree:
     """A vantage-point tree over the rows of ``x``; its form is a list of nodes (vantage, border, inner, outer) and leaves."""
 
@@ -78,6 +86,9 @@ class Tree:
         best, who, seen = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max), 0
         rows = np.asarray(self.rows, dtype=np.int64)
         q_norm = (q * q).sum(axis=1)
+        # what rounding can do to a matrix product, and to a distance, whose square it shifts
+        ulps = 4e-16 * (q.shape[1] + 2) * np.sqrt(q_norm * self.longest)
+        slack = BLUR * np.sqrt(q_norm + self.longest)
 
         def reach(a: np.ndarray) -> np.ndarray:
             """Distance of the k-th best so far."""
@@ -89,10 +100,17 @@ class Tree:
             score = q[a] @ self.x[at].T
             seen += score.size
             score[q_ids[a][:, None] == self.ids[at][None, :]] = -np.inf
-            hit = score.max(axis=1) >= np.maximum(best[a, -1], floor[a])
-            a, score = a[hit], score[hit]
+            cut = np.maximum(best[a, -1], floor[a]) - ulps[a]
+            hit = score.max(axis=1) >= cut
+            a, score, cut = a[hit], score[hit], cut[hit]
             if not len(a):
                 return
+            if score.shape[1] > k:  # a row can't be among the k best where k others are better by more than rounding
+                cut = np.maximum(cut, np.partition(score, -k, axis=1)[:, -k] - 2 * ulps[a])
+            # the matrix product finds candidates; those are scored one by one, and ranked by that
+            i, j = np.nonzero(score >= np.maximum(cut, np.finfo(float).min)[:, None])
+            score = np.full_like(score, -np.inf)
+            score[i, j] = products(q[a[i]], self.x[at[j]])
             all_score = np.concatenate([best[a], score], axis=1)
             all_id = np.concatenate([who[a], np.broadcast_to(self.ids[at], score.shape)], axis=1)
             order = np.lexsort((all_id, -all_score), axis=1)[:, :k]
@@ -109,7 +127,7 @@ class Tree:
             near = d <= border
             visit(inner, a[near])
             visit(outer, a[~near])
-            late = np.abs(d - border) <= factor * reach(a)
+            late = np.abs(d - border) <= factor * reach(a) + slack[a]
             visit(outer, a[near & late])
             visit(inner, a[~near & late])
 
@@ -175,7 +193,8 @@ class Router:
     def reached(self, x: np.ndarray, least: np.ndarray, factor: float) -> list[list[int]]:
         """Leaves that each query reaches with its k-th score ``least``, but for its own."""
         out, home = [[] for _ in x], self.leaf_of_query(x)
-        slack = factor * np.sqrt(np.maximum((x * x).sum(axis=1) + self.longest - 2 * least, 0.0))
+        norms = (x * x).sum(axis=1)
+        slack = factor * np.sqrt(np.maximum(norms + self.longest - 2 * least, 0.0)) + BLUR * np.sqrt(norms + self.longest)
         for leaf, a in self._visit(x, np.zeros(len(x)), slack):
             for k in a.tolist():
                 if home[k] != leaf:
@@ -205,11 +224,12 @@ def _by_dim(dims: pd.Series, vecs: pd.Series):
 
 
 def build_index(vectors: DataFrame, shard_size: int = SHARD_SIZE, sample_rows: int = SAMPLE_ROWS) -> Index:
-    """``vectors``: from :func:`usable`, written. Routers are built from an expected ``sample_rows`` rows, drawn by a hash of the id."""
+    """``vectors``: from :func:`usable`, written. Routers are built from an expected ``sample_rows`` rows, drawn by a hash of the id,
+    and never from more than twice as many, however often an id is repeated."""
     kinds = collected(vectors.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm2").alias("longest")))
     draw = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1_000_000))
     share = int(min(1.0, sample_rows / max(int(kinds["n"].sum()), 1)) * 1_000_000)
-    sample, routers = collected(vectors.filter(draw < share).select("vec_id", "dim", "vec")), {}
+    sample, routers = collected(vectors.filter(draw < share).select("vec_id", "dim", "vec").limit(2 * sample_rows)), {}
     for dim, n, longest in zip(kinds["dim"].tolist(), kinds["n"].tolist(), kinds["longest"].tolist(), strict=True):
         some = sample[sample["dim"] == dim].sort_values("vec_id", kind="stable")
         x = loaded(some["vec"], dim) if len(some) else np.zeros((0, dim))
@@ -241,13 +261,16 @@ def build_index(vectors: DataFrame, shard_size: int = SHARD_SIZE, sample_rows: i
 _TREE = ("ids", "vecs", "rows", "nodes", "root", "longest")
 
 
-def _meet(index: Index, queries: DataFrame, k: int, factor: float, blocks: int) -> DataFrame:
+def _meet(index: Index, queries: DataFrame, k: int, factor: float, block_rows: int) -> DataFrame:
     """(query_id, vec_id, score, seen): of each query and each shard of its leaf, what is as good as ``least`` and among the shard's k best;
-    one row without vec_id tells how many scores a shard's task took. ``queries``: query_id, dim, leaf, vec, least."""
-    subs = index.trees.select("dim", "leaf", "sub")
-    block = F.pmod(F.xxhash64("query_id", F.lit(9)), F.lit(blocks)).cast("int")
-    asked = queries.join(subs, ["dim", "leaf"]).select("dim", "leaf", "sub", block.alias("block"), "query_id", "vec", "least", *(F.lit(None).cast(index.trees.schema[c].dataType).alias(c) for c in _TREE))
-    trees = index.trees.select("dim", "leaf", "sub", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("binary").alias("vec"), F.lit(None).cast("double").alias("least"), *_TREE)
+    one row without vec_id tells how many scores a shard's task took. ``queries``: a written table of query_id, dim, leaf, vec, least.
+
+    A leaf's queries are dealt in blocks of about ``block_rows``, and its trees are sent once a block: not at all where no query reaches the leaf."""
+    blocks = F.broadcast(queries.groupBy("dim", "leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))  # at most 1,024 rows a vector length
+    block = F.pmod(F.xxhash64("query_id", F.lit(9)), F.col("blocks")).cast("int")
+    asked = queries.join(blocks, ["dim", "leaf"]).join(index.trees.select("dim", "leaf", "sub"), ["dim", "leaf"])
+    asked = asked.select("dim", "leaf", "sub", block.alias("block"), "query_id", "vec", "least", *(F.lit(None).cast(index.trees.schema[c].dataType).alias(c) for c in _TREE))
+    trees = index.trees.join(blocks, ["dim", "leaf"]).select("dim", "leaf", "sub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("binary").alias("vec"), F.lit(None).cast("double").alias("least"), *_TREE)
     key = ["dim", "leaf", "sub", "block"]
 
     def run(batches):
@@ -295,13 +318,14 @@ def search_steps(index: Index, queries: DataFrame, k: int = K, factor: float = F
         return pd.Series(out, dtype=object)
 
     asked = queries.select(F.col("vec_id").alias("query_id"), "dim", "vec").dropDuplicates(["query_id", "dim", "vec"])
-    blocks = max(1, -(-asked.count() // block_rows))
     low = F.lit(float("-inf"))
-    first = materialize(_meet(index, asked.select("*", home.asNondeterministic()("dim", "vec").alias("leaf"), low.alias("least")), k, factor, blocks), "first-found")
+    asked = materialize(asked.select("*", home.asNondeterministic()("dim", "vec").alias("leaf"), low.alias("least")), "queries-at-home")
+    first = materialize(_meet(index, asked, k, factor, block_rows), "first-found")
     kth = _best(first, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("score")).select("query_id", F.when(F.col("n") == k, F.col("score")).alias("kth"))
-    bounded = asked.join(kth, "query_id", "left").withColumn("least", F.coalesce("kth", low)).drop("kth")
-    away = bounded.withColumn("to", others.asNondeterministic()("dim", "vec", "least")).select("query_id", "dim", "vec", "least", F.explode("to").alias("leaf"))
-    return first.unionByName(_meet(index, away, k, factor, blocks))
+    bounded = asked.drop("leaf", "least").join(kth, "query_id", "left").withColumn("least", F.coalesce("kth", low)).drop("kth")
+    bounded = materialize(bounded.withColumn("to", others.asNondeterministic()("dim", "vec", "least")), "queries-away")
+    away = bounded.select("query_id", "dim", "vec", "least", F.explode("to").alias("leaf"))
+    return first.unionByName(_meet(index, away, k, factor, block_rows))
 
 
 def search(index: Index, queries: DataFrame, k: int = K, factor: float = FACTOR, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -109,7 +109,7 @@ def frame(spark, x):
 
 
 def best(x, q, k):
-    s = x @ x[q]
+    s = o1.products(np.broadcast_to(x[q], x.shape), x)
     return [int(i) for i in np.lexsort((np.arange(len(x)), -s)) if i != q][:k]
 
 
@@ -132,6 +132,41 @@ def test_search_is_exact_at_factor_one(spark, size):
         assert ranks[1].score == pytest.approx(float(x[q] @ x[ranks[1].vec_id]), rel=1e-14)
 
 
+@pytest.mark.parametrize("block", [1, 7, 450])
+def test_copies_tie_wherever_they_stand(block):
+    """Three copies of each vector at random places, factor 1: members, order and scores as brute force has them."""
+    for seed in range(12):
+        draw = np.random.default_rng(seed)
+        x = np.repeat(draw.standard_normal((150, 64)), 3, axis=0)[draw.permutation(450)]
+        tree = o1.Tree(np.arange(450), x, leaf=20)
+        for at in np.array_split(np.arange(450), -(-450 // block))[:40]:
+            scores, ids, _ = tree.search(x[at], at, 20, 1.0)
+            for q, own, who in zip(at, scores, ids, strict=True):
+                assert who.tolist() == best(x, q, 20) and (own == o1.products(np.broadcast_to(x[q], (20, 64)), x[who])).all()
+
+
+def test_search_finds_scattered_copies(spark):
+    draw = np.random.default_rng(5)
+    x = np.repeat(draw.standard_normal((300, 24)), 3, axis=0)[draw.permutation(900)]
+    found = written(spark, x)
+    got = {}
+    for r in o1.search(o1.build_index(found, shard_size=60 * 24, sample_rows=100), found.filter("vec_id % 20 = 0"), factor=1.0, block_rows=3).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert all([ranks[k] for k in range(1, 21)] == best(x, q, 20) for q, ranks in got.items()) and len(got) == 45
+
+
+def test_trees_go_only_where_queries_are(spark):
+    """One query: its own leaf's trees are sent once, the others only as far as the query reaches."""
+    draw = np.random.default_rng(8)
+    centres = 30 * draw.standard_normal((8, 4))
+    x = centres[np.arange(800) % 8] + 0.01 * draw.standard_normal((800, 4))
+    found = written(spark, x)
+    index = o1.build_index(found, shard_size=100 * 4)
+    steps = o1.search_steps(index, found.filter("vec_id = 0"))
+    # a task tells what it took, so there are as many such rows as trees that met the query
+    assert steps.filter("vec_id = -1").count() < index.trees.count()
+
+
 def test_search_of_few_and_of_equal_vectors(spark):
     same = written(spark, np.ones((200, 4)))
     got = o1.search(o1.build_index(same, shard_size=100), same.filter("vec_id % 20 = 0")).collect()
