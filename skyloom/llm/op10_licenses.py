@@ -18,6 +18,7 @@ import re
 from functools import lru_cache
 from itertools import product
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,7 +260,15 @@ def scan(text: str | None) -> tuple:
     raw = text.encode("utf-8", "replace")
     apart = raw.lower().translate(_TO_WORDS)
     words = [w for w in apart.split(b" ") if w]
-    said = (b" " + b" ".join(words) + b" ").decode("latin-1")
+    joined = b" " + b" ".join(words) + b" "
+    said, spaces = joined.decode("latin-1"), None
+
+    def number(places: list[int]) -> list[int]:
+        """Words that begin before each place of ``said``: one pass over its spaces, whatever the number of places."""
+        nonlocal spaces
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == ord(" ")) if spaces is None else spaces
+        return np.searchsorted(spaces, places).tolist()
+
     base, labels, exceptions, places, notices, tags, score, permissive = set(), set(), set(), [], [], [], 0.0, None
     for end, (width, values) in _automaton().iter(said):
         for kind, label in values:
@@ -270,7 +279,7 @@ def scan(text: str | None) -> tuple:
             elif kind == "notice":
                 notices.append((end - width, end, label))
             else:
-                tags.append(said.count(" ", 0, end) - 1)  # the tag's last word
+                tags.append(end)
     for k, (a, e, label) in enumerate(notices):
         # they are in order of ends, so one that holds this ends with it or soon after
         near = [notices[j] for j in _around(notices, k, e)]
@@ -278,9 +287,9 @@ def scan(text: str | None) -> tuple:
             labels.add(label)
             score = max(score, 0.7)
     if tags:
-        wanted, shown = set(tags), raw.decode("latin-1")  # one character a byte: places in bytes hold, and expressions are ASCII
+        wanted, shown = {n - 1 for n in number(tags)}, raw.decode("latin-1")  # one character a byte: places in bytes hold, and expressions are ASCII
         for k, m in enumerate(_WORD.finditer(apart)):
-            if k in wanted:
+            if k in wanted:  # a tag's last word
                 try:
                     found, free, without = evaluate(shown, _BEFORE.match(shown, m.end()).end())
                 except ValueError:
@@ -288,8 +297,7 @@ def scan(text: str | None) -> tuple:
                 labels |= found
                 exceptions |= without
                 score, permissive = 1.0, free if permissive is None else permissive and free
-    at = [said.count(" ", 0, p) for p in ((min(places), max(places)) if places else ())]
-    first, last = at or (None, None)
+    first, last = number([min(places), max(places)]) if places else (None, None)
     return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, permissive, ",".join(sorted(exceptions))
 
 

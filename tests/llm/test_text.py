@@ -262,6 +262,16 @@ def test_labels_against_brute_force(spark):
         assert o10.scan(t)[5] == plain_labels(t), t
 
 
+def test_licences_take_time_in_proportion_to_the_tags():
+    """200,000 tags and as many phrases in one text."""
+    import time
+
+    began = time.monotonic()
+    got = o10.scan("SPDX-License-Identifier: MIT OR Apache-2.0\nunder the MIT license\n" * 200_000)
+    assert time.monotonic() - began < 15
+    assert got[0] == got[1] * 12 and got[1] == 200_000 and got[2:4] == (8, 12 * 199_999 + 8) and got[4:6] == ("mit", "apache-2.0,mit")
+
+
 def plain_scan(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     at = [(k, label) for phrase, label in o10.BASE.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
