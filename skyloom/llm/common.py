@@ -50,14 +50,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again.
 
     It cuts the lineage, so a lost executor costs only the rereading of files, and a plan that is used twice runs once.
     """
     small_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
@@ -23,12 +24,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import SPACE
+from .bpe import _L as LETTERS
+from .bpe import _N as DIGITS
+from .bpe import _S as WHITE
+from .bpe import byte_alphabet, shown, uncommon
 from .common import clean, fresh_path, materialize, small_batches, table, written
 from .elias_fano import EliasFano, encode
 from .op2_token_counts import WordCounter, vocabulary_path
@@ -38,35 +41,40 @@ END_ID = 2
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 17, 1 << 15
 #: Ids a shard should hold, and the largest number of shards: their sums go to the driver.
 SHARD_IDS, MAX_SHARDS = 1 << 22, 1 << 15
-#: Chunks of text kept in a worker's memo, and the longest kept.
-MEMO_CHUNKS, MEMO_CHARS = 300_000, 64
+#: Words kept in a worker's memo, and the longest kept.
+MEMO_WORDS, MEMO_CHARS = 300_000, 64
 SEGMENT = "shard int, segment int, base long, n_docs int, n_ids long, width int, n_null int, least long, most long, doc_ids binary, bounds binary, ids binary"
 
 
-class Chunks(dict):
-    """Ids, as bytes, of chunks of text that hold no white space; filled by the library, emptied when full."""
+class Words(dict):
+    """Ids, as bytes, of words as the split leaves them; filled by the library's model, emptied when full."""
 
-    def __init__(self, library, kind: str):
+    def __init__(self, library, width: int):
         super().__init__()
-        self.library, self.kind = library, kind
+        self.tokenize, self.width, self.letter = library.model.tokenize, width, {b: c for c, b in byte_alphabet().items()}
 
-    def __missing__(self, chunk: str) -> bytes:
-        made = np.asarray(self.library.encode(chunk, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_CHUNKS:
+    def __missing__(self, word: str) -> bytes:
+        shape = word if word.isascii() and word.isalnum() else "".join([self.letter[b] for b in word.encode("utf-8", "replace")])
+        made = b"".join([t.id.to_bytes(self.width, "little") for t in self.tokenize(shape)])
+        if len(word) <= MEMO_CHARS:
+            if len(self) >= MEMO_WORDS:
                 self.clear()
-            self[chunk] = made
+            self[word] = made
         return made
 
 
-def chunked(spec: dict) -> bool:
-    """Whether a vocabulary file's tokens never reach over white space, which has no token itself: then a text's ids are those of its chunks."""
-    return WordCounter.fits(spec) and all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not regex.search(rf"[{SPACE}]", t["content"]) for t in spec["added_tokens"])
+#: The split of the vocabulary file over common characters, which lie in plain ranges (fixed value).
+SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{WHITE}{LETTERS}{DIGITS}]+")
 
 
 @lru_cache(maxsize=4)
 def encoder(path: str, end_id: int = END_ID):
-    """A function from text to the bytes of its ids and the end mark, and the width of an id."""
+    """A function from text to the bytes of its ids and the end mark, and the width of an id.
+
+    Where the tokenizer drops white space and merges within words only, a word's ids don't depend on its surroundings and are kept in a bounded memo; normalising
+    and merging are the library's. A text of common characters is in its normal form, and only needs small letters. Texts with a special string, and
+    other tokenizers, go through the library whole.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -78,15 +86,20 @@ def encoder(path: str, end_id: int = END_ID):
     end = np.asarray([end_id], dtype=kind).tobytes()
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    if not chunked(spec):
-        return lambda text: np.asarray(library.encode(text, add_special_tokens=False).ids, dtype=kind).tobytes() + end, width
-    of, white = Chunks(library, kind).__getitem__, regex.compile(rf"[{SPACE}]+")
-    # str.split takes four separators as white space that the library takes as text
-    separators = regex.compile("[\x1c-\x1f]").search
+
+    def whole(text: str) -> bytes:
+        return np.asarray(library.encode(text, add_special_tokens=False).ids, dtype=kind).tobytes() + end
+
+    if not WordCounter.fits(spec):
+        return whole, width
+    of, specials = Words(library, width).__getitem__, [t["content"] for t in spec["added_tokens"]]
 
     def made(text: str) -> bytes:
-        parts = filter(None, white.split(text)) if separators(text) else text.split()
-        return b"".join(map(of, parts)) + end
+        if any(s in text for s in specials):
+            return whole(text)
+        plain = library.normalizer.normalize_str(text) if uncommon(text) else text.lower()
+        words = [plain[m.start() : m.end()] for m in SPLIT.finditer(shown(plain))] if uncommon(plain) else SPLIT.findall(plain)
+        return b"".join(map(of, words)) + end
 
     return made, width
 
@@ -140,7 +153,7 @@ def write_binary(docs: DataFrame, out: str, path: str | None = None, end_id: int
     """Encodes every text and writes the folder ``out``, which must not exist yet; returns ``out``."""
     spark, path, first = docs.sparkSession, path or vocabulary_path(), written()
     width, arrow = encoder(path, end_id)[1], _arrow(SEGMENT)
-    flat = materialize(encoded(docs, path, end_id, id_col, text_col).withColumn("nr", F.monotonically_increasing_id()), "token-ids")
+    flat = materialize(encoded(docs, path, end_id, id_col, text_col).withColumn("nr", F.monotonically_increasing_id()), "token-ids", "zstd")
     total = flat.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     shards = min(MAX_SHARDS, max(spark.sparkContext.defaultParallelism, total // width // SHARD_IDS))
     order = ["doc_id", "digest", "nr"]
@@ -160,7 +173,7 @@ def write_binary(docs: DataFrame, out: str, path: str | None = None, end_id: int
             yield pa.RecordBatch.from_pylist([now.row()], schema=arrow)
 
     ranged = flat.repartitionByRange(shards, *order).sortWithinPartitions(*order)
-    ranged.select("doc_id", "ids").mapInArrow(cut, SEGMENT).write.parquet(out)
+    ranged.select("doc_id", "ids").mapInArrow(cut, SEGMENT).write.option("compression", "zstd").parquet(out)
     clean(spark, first)
     return out
 
