@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import norm_name, parse_id, to_number
 from .columns import first, holding, host_column, id_column, prefixed, require, with_row_index
 from .missing import keep_first
+from .names import most_similar, similar_pairs
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full", "full": "full", "cross": "cross"}
 
@@ -78,12 +79,23 @@ def by_stellar_id(primary: DataFrame, source: DataFrame, name: str, key: str = "
     return join_on(primary, source, name, lambda: to_number(key), lambda: to_number(other), how, compat)
 
 
+def by_similar_host(primary: DataFrame, source: DataFrame, name: str, how: str = "left", threshold: float = 0.8, compat: bool = False, one_each: bool = False) -> DataFrame:
+    """By the host names that are spelt most alike, from ``threshold`` on; ``<name>_name_similarity`` tells how much so. Each primary name meets one name of the source."""
+    key, other = host_column(primary), host_column(source)
+    if key is None or other is None:
+        return primary
+    best = most_similar(similar_pairs(primary, source, key, other, threshold))
+    told = best.select(F.col("left_name").alias("_n"), F.col("right_name").alias("_best"), F.col("similarity").alias(f"{name}_name_similarity"))
+    keyed = primary.withColumn("_n", norm_name(key)).join(told, "_n", "left").drop("_n")
+    return join_on(keyed, source, name, lambda: F.col("_best"), lambda: norm_name(other), how, compat, one_each).drop("_best")
+
+
 def _by_text(primary, source, name, key, other, how, compat, one_each=False) -> DataFrame:
     require(primary, key)
     return join_on(primary, source, name, lambda: norm_name(key, compat), lambda: norm_name(other, compat), how, compat, one_each)
 
 
-STRATEGIES = {"gaia_source_id": by_id, "exact_name": by_name, "stellar_id": by_stellar_id, "planet_name": by_planet_name, "hostname": by_host, "generic_name": by_any_name}
+STRATEGIES = {"gaia_source_id": by_id, "exact_name": by_name, "stellar_id": by_stellar_id, "planet_name": by_planet_name, "hostname": by_host, "similar_hostname": by_similar_host, "generic_name": by_any_name}
 
 
 def fold(primary: DataFrame, sources: Iterable[tuple[str, DataFrame]], strategy: str, **options) -> DataFrame:

@@ -1,6 +1,6 @@
 """Run a registered query over a folder of tables."""
 
-from ...queries import QUERIES
+from ...release_queries import QUERIES
 
 
 def arguments(parser) -> None:

@@ -15,7 +15,8 @@ from ..operators.sky import cone_join
 
 @dataclass(frozen=True)
 class Catalog:
-    """A source to join: method, the primary's key, priority (low first) and, for positions, tolerance and years of proper motion."""
+    """A source to join: method, the primary's key, priority (low first) and, for positions, tolerance and years of proper motion;
+    for similar host names, how alike they must be."""
 
     name: str
     method: str = "other"
@@ -23,6 +24,7 @@ class Catalog:
     priority: int = 999
     arcsec: float = 3.0
     years: float | bool = 0.0
+    similarity: float = 0.8
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,8 @@ def join_catalog(df: DataFrame, source: DataFrame, c: Catalog, compat: bool = Fa
         return joins.by_name(df, source, c.name, c.key or "pl_name", compat=compat, one_each=one_each)
     if c.method == "fuzzy_hostname":  # compares exactly; see the README
         return joins.by_name(df, source, c.name, c.key or "hostname", compat=compat, one_each=one_each)
+    if c.method == "similar_hostname":
+        return joins.by_similar_host(df, source, c.name, threshold=c.similarity, one_each=one_each)
     if c.method in ("multiple_identifiers", "coordinate_match"):
         return cone_join(df, source, c.name, c.arcsec, c.years, compat)
     kind = joins.kind_of(c.name)

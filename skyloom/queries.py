@@ -580,7 +580,7 @@ def tbl_edges(spark, d):
 
 
 def _measure(c: str, kind: str) -> str:
-    unit = normalize.units_of(c)
+    unit = {"st_teff": "K", "st_tefferr1": "K", "st_tefferr2": "K", "st_lum": "L_sun", "pl_rade": "R_earth", "pl_masse": "M_earth"}[c]
     err = "case when st_tefferr2 is not null then (coalesce(abs(st_tefferr1), 0) + abs(st_tefferr2)) / 2 else abs(st_tefferr1) end" if c == "st_teff" else "cast(null as double)"
     method = "'spectroscopy'" if kind == "star" else "case when tran_flag = 1 then 'transit' else 'radial_velocity' end"
     return f"select {kind}_id as object_id, '{kind}' as object_type, '{c}' as name, cast({c} as double) as value, {err} as err, '{unit}' as units, '{normalize.DEFAULT_SOURCE}' as source, {method} as method, _row_idx from wide where {c} is not null"

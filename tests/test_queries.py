@@ -1,6 +1,6 @@
 import pytest
 
-from skyloom.queries import ORACLE_SQL, QUERIES
+from skyloom.release_queries import ORACLE_SQL, QUERIES
 
 from .oracle import connect, rows
 
