@@ -6,6 +6,7 @@ import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobs import catalog_release, text_intake
 from skyloom.fixtures import with_views
@@ -26,7 +27,7 @@ def job1_catalog_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _scratch(spark, "catalog-release")
     for _ in range(2):
         made = catalog_release.run(spark, sf_dir, out, _RELEASE)
-    values = (x for p in _RELEASE["parameters"]["columns"] for x in (r(f"{p}_value"), f"{p}_source", f"{p}_conflict"))
+    values = (x for p in _RELEASE["parameters"]["columns"] for x in (F.round(f"{p}_value", 9).alias(f"{p}_value"), f"{p}_source", f"{p}_conflict"))
     return made.select("release", "row_idx", "planet_id", "star_id", "cand_tid", "near_src_idx", "near_ambiguous", *values, *(r(c) for c in _RELEASE["columns"]), "violations", "grade")
 
 
