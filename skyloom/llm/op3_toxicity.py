@@ -5,7 +5,7 @@ texts. With class prior p, positive risk P+ and P- (as if labelled negative) and
 p P+ + max(0, U- - p P-); where the bracket falls below zero, the step goes against it instead, so that it can't be
 fitted below zero. Logistic loss makes the output a probability.
 
-Training samples are bounded by ``max_positive`` and ``max_unlabelled``; the prior is counted over all labels of the
+Training samples are bounded by ``max_positive`` and ``max_unlabelled`` (expected numbers of a hash draw; twice their sum at most, and ``MAX_FEATURES`` features a text); the prior is counted over all labels of the
 training folds. Scores read the text alone. Null and empty texts score the model's bias. Repeated rows and null ids are kept; rows
 with a null id never train. Without any positive label every score is the prior given.
 """
@@ -30,6 +30,10 @@ MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 #: Where a feature's weight is let out by half: the difference of its rates in units of its spread.
 LEAST_Z = 3.0
 THRESHOLD = 0.3
+#: Training stops where the mean risk of so many steps has fallen by less than this share.
+WINDOW, LEAST_FALL = 15, 0.01
+#: Features that one text can have in the sample; those with the smallest keys stay. It bounds what the driver fits on, not what is scored.
+MAX_FEATURES = 100_000
 #: Words' features kept in a worker's memo before it is emptied.
 MEMO_WORDS = 200_000
 
@@ -102,9 +106,21 @@ def risk_gradient(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[np.ndarra
     return (prior * (sp - 1) / len(p) + gp, gu) if risk(p, u, prior)[1] >= 0 else (-gp, -gu)
 
 
+def _pieces(starts: np.ndarray, total: int, most: int = 1 << 20) -> list[tuple]:
+    """Consecutive parts, by their starts, in pieces of about ``most`` entries: (first part, last, begin, end, starts within)."""
+    out, first = [], 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + most)))
+        end = int(starts[last]) if last < len(starts) else total
+        out.append((first, last, int(starts[first]), end, starts[first:last] - starts[first]))
+        first = last
+    return out
+
+
 def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keys: np.ndarray, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """``positive`` and ``unlabelled``: arrays of distinct feature keys of each text, all of them among ``keys``.
 
+    Training ends after ``steps`` or once the risk no longer falls: its mean over the last ``WINDOW`` steps is that of those before, to a hundredth.
     All keys get a weight: one that the gradient moves, times the feature's :func:`evidence`, so that the many rare features don't drown the rest."""
     prior = min(max(prior, 1e-6), 1 - 1e-6)
     keys = np.sort(np.asarray(keys))
@@ -122,18 +138,23 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     texts = np.repeat(np.arange(n_p + n_u, dtype=np.int32), lengths)[np.argsort(at, kind="stable")]
     let = evidence(in_p, in_all - in_p, n_p, n_u)
 
-    def summed(x, starts, to, size):
+    def summed(x, where, parts, to, size):
+        """Sums of ``x`` at ``where`` over the parts that begin at given places, a bounded piece at a time."""
         out = np.zeros(size)
-        if len(to):
-            out[to] = np.add.reduceat(x, starts)
+        for first, last, begin, end, starts in parts:
+            out[to[first:last]] = np.add.reduceat(x[where[begin:end]], starts)
         return out
 
+    by_text, by_key = _pieces(by_text, len(at)), _pieces(by_key, len(at))
     w, b = np.zeros(len(keys)), float(np.log(prior / (1 - prior)))
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    m, v, mb, vb, seen = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0, []
     for step in range(1, steps + 1):
-        z = b + summed((let * w)[at], by_text, filled, n_p + n_u)
+        z = b + summed(let * w, at, by_text, filled, n_p + n_u)
+        seen.append(sum(np.maximum(risk(z[:n_p], z[n_p:], prior), 0.0)))
+        if len(seen) >= 4 * WINDOW and np.mean(seen[-WINDOW:]) > (1 - LEAST_FALL) * np.mean(seen[-2 * WINDOW : -WINDOW]):
+            break
         gp, gu = risk_gradient(z[:n_p], z[n_p:], prior)
-        g = let * summed(np.concatenate([gp, gu])[texts], by_key, used, len(keys)) + decay * w
+        g = let * summed(np.concatenate([gp, gu]), texts, by_key, used, len(keys)) + decay * w
         gb = gp.sum() + gu.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
@@ -143,14 +164,14 @@ def train_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 
 
 def _keys_column():
-    """Column: the distinct feature keys of each whole text, as signed integers of the same 32 bits."""
+    """Column: the distinct feature keys of each text of the sample, as signed integers of the same 32 bits."""
 
     @F.pandas_udf("array<int>")
     def keys(texts: pd.Series) -> pd.Series:
         out = []
         for t in texts:
             found = {k for w in set(_WORD.findall((t or "").lower())) for k in features_of_word(w)}
-            out.append(np.sort(np.fromiter(found, dtype=np.uint32, count=len(found))).view(np.int32))
+            out.append(np.sort(np.fromiter(found, dtype=np.uint32, count=len(found)))[:MAX_FEATURES].view(np.int32))
         return pd.Series(out, dtype=object)
 
     return keys.asNondeterministic()(F.col("text"))
@@ -173,6 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     sampled = known.join(F.broadcast(toxic_ids), "doc_id", "left").withColumn("is_u", draw < share(max_unlabelled, n_docs)).withColumn("is_p", F.coalesce("is_p", F.lit(False)))
     drawn = sampled.filter(F.col("is_p") | F.col("is_u"))
     rows = materialize(drawn.select("doc_id", "is_p", "is_u", _keys_column().alias("keys")), "toxicity-sample")
+    if rows.count() > 2 * (max_positive + max_unlabelled):  # an id that very many rows repeat is drawn with all of them
+        rows = rows.limit(2 * (max_positive + max_unlabelled))
     got = rows.toArrow().sort_by("doc_id").combine_chunks()
     if not got.num_rows:
         return train_pu([], [], prior, np.empty(0))
@@ -181,7 +204,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     flat, ends = lists.flatten().to_numpy().view(np.uint32), lists.offsets.to_numpy()
     texts = [flat[a - ends[0] : e - ends[0]] for a, e in zip(ends[:-1], ends[1:], strict=True)]
     of = lambda c: [t for t, yes in zip(texts, got[c].to_pylist(), strict=True) if yes]
-    return train_pu(of("is_p"), of("is_u"), prior, np.unique(flat))
+    positive, unlabelled, keys = of("is_p"), of("is_u"), np.unique(flat)
+    del got, lists
+    return train_pu(positive, unlabelled, prior, keys)
 
 
 def score_column(model: Model, text_col: str = "text"):
