@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import filled, numeric_columns
@@ -14,10 +14,20 @@ from .quantiles import exact_quantiles
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
-    """(column, n_rows, n_null, null_pct, n_distinct): one row a column; counts are exact."""
-    parts = [F.struct(F.lit(c).alias("column"), F.count("*").alias("n_rows"), (F.count("*") - F.count(c)).alias("n_null"), F.count_distinct(c).alias("n_distinct")) for c in df.columns]
-    one = df.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
-    return one.select("column", "n_rows", "n_null", F.coalesce(F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")), F.lit(0.0)).alias("null_pct"), "n_distinct")
+    """(column, n_rows, n_null, null_pct, n_distinct): one row a column; counts are exact.
+
+    Distinct values of all columns in one aggregate would send every row once a column. Here a row is a list of (column, digest of the value), and equal
+    ones are counted together before they're sent, so a column of few values sends few; rows, nulls and distinct values are then sums over these. A digest has 128 bits.
+    """
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], "column string, n_rows long, n_null long, null_pct double, n_distinct long")
+    cells = F.array(*(F.struct(F.lit(k).alias("k"), F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.xxhash64(F.lit(1), f"`{c}`"), F.xxhash64(F.lit(2), f"`{c}`"))).alias("v")) for k, c in enumerate(df.columns)))
+    met = df.select(F.explode(cells).alias("x")).groupBy("x.k", "x.v").agg(F.count("*").alias("n"))
+    one = met.groupBy("k").agg(F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_null"), F.count("v").alias("n_distinct"))
+    # an empty table still has a row a column
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "k int, column string")
+    out = F.broadcast(names).join(one, "k", "left").na.fill(0, ["n_rows", "n_null", "n_distinct"])
+    return out.select("column", "n_rows", "n_null", F.coalesce(F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")), F.lit(0.0)).alias("null_pct"), "n_distinct")
 
 
 def value_counts(df: DataFrame, columns=None, most: int = 20) -> DataFrame:
@@ -47,10 +57,10 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
-def merge_statistics(merged: DataFrame, sources: dict[str, DataFrame]) -> dict:
-    """Counts of the result and of each source, and their ratio."""
+def merge_statistics(merged: DataFrame, sources: dict[str, DataFrame], output_rows: int | None = None) -> dict:
+    """Counts of the result (unless that's known) and of each source, and their ratio."""
     rows = {n: d.count() for n, d in sources.items()}
-    out, total = merged.count(), sum(rows.values())
+    out, total = merged.count() if output_rows is None else output_rows, sum(rows.values())
     return {"output_rows": out, "output_columns": len(merged.columns), "input_sources": rows, "total_input_rows": total, "merge_efficiency": out / total if total else 0}
 
 
@@ -72,13 +82,15 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
+def null_share(df: DataFrame) -> Column:
+    """Aggregate: the share of null cells in per cent, 0 for a table without rows or columns."""
+    nulls = reduce(lambda a, b: a + b, (F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    return F.coalesce(F.try_divide(F.sum(nulls) * 100.0, F.count("*") * len(df.columns)), F.lit(0.0))
+
+
 def validate(df: DataFrame, completeness: bool = True, data_types: bool = True, hz_columns: bool = True) -> DataFrame:
     """(check, passed, value): share of nulls below a half, counts of types, columns of the habitable zone."""
-    cells = [F.col(c).isNull().cast("long") for c in df.columns]
-    nulls = reduce(lambda a, b: a + b, cells, F.lit(0).cast("long"))
-    pct = F.coalesce(F.try_divide(F.sum(nulls) * 100.0, F.count("*") * len(df.columns)), F.lit(0.0))
-    n_number, n_hz = len(numeric_columns(df)), sum("hz" in c.lower() for c in df.columns)
-    rows = []
+    pct, n_number, n_hz, rows = null_share(df), len(numeric_columns(df)), sum("hz" in c.lower() for c in df.columns), []
     if completeness:
         rows.append(F.struct(F.lit("completeness").alias("check"), (pct < 50).alias("passed"), pct.alias("value")))
     if data_types:

@@ -19,7 +19,7 @@ def run(given, context) -> int:
         told = {"name": made.name, "description": made.description, **made.stats(), "tasks_by_id": {i: {"type": t.type, "config": t.config} for i, t in made.tasks.items()}} if given.action == "info" else {}
         context.tell({"errors": found} | order | told)
         return int(bool(found))
-    runner = dag.Runner(context.handlers.by_type(), context.settings.workers)
+    runner = dag.Runner(context.handlers.by_type(), context.settings.workers, context.spark)
     said = runner.run_one(made, given.task) if given.task else runner.run(made, given.mode)
     context.tell(said)
     return int("failed" in said["tasks"])

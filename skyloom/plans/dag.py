@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import asdict, dataclass, field
@@ -132,12 +134,50 @@ def save(graph: Graph, path: str) -> None:
         json.dump(graph.to_dict(), f, indent=2)
 
 
+class OutOfTime(TimeoutError):
+    """A task's time limit has ended its work."""
+
+
+class Limit:
+    """Ends the Spark jobs that the thread starts inside it once ``seconds`` are over, and says so in place of Spark's error."""
+
+    def __init__(self, spark, name: str, seconds: float | None):
+        self.spark, self.seconds, self.over, self.done = spark, seconds, False, False
+        self.tag = f"limit-{name}-{uuid.uuid4().hex}".replace(",", "_")
+
+    def _start(self, seconds: float) -> None:
+        self.timer = threading.Timer(seconds, self._end)
+        self.timer.daemon = True
+        self.timer.start()
+
+    def _end(self) -> None:
+        self.over = True
+        self.spark.interruptTag(self.tag)
+        if not self.done:  # jobs that it starts after these are ended as well
+            self._start(0.5)
+
+    def __enter__(self) -> Limit:
+        if self.spark is not None and self.seconds:
+            self.spark.addTag(self.tag)
+            self._start(self.seconds)
+        return self
+
+    def __exit__(self, kind, error, trace) -> bool:
+        if self.spark is not None and self.seconds:
+            self.done = True
+            self.timer.cancel()
+            self.spark.removeTag(self.tag)
+            if self.over and error is not None:
+                raise OutOfTime(f"over its limit of {self.seconds} s") from error
+        return False
+
+
 class Runner:
     """Runs a graph with a handler a task type. A failed task stops the run (fail), counts as done (skip), or blocks its dependents in
-    parallel and lets them run in sequence (anything else). Retries are immediate."""
+    parallel and lets them run in sequence (anything else). Retries are immediate. With a session, a task's time limit ends its Spark jobs, try by try; such a try isn't repeated."""
 
-    def __init__(self, handlers: dict[str, Callable[[Task], Any]], workers: int = 4):
-        self.handlers, self.workers = handlers, workers
+    def __init__(self, handlers: dict[str, Callable[[Task], Any]], workers: int = 4, spark=None):
+        self.handlers, self.workers, self.spark = handlers, workers, spark
 
     def run_task(self, task: Task) -> bool:
         began = time.monotonic()
@@ -146,7 +186,12 @@ class Runner:
             try:
                 if task.type not in self.handlers:
                     raise LookupError(f"no handler for {task.type}")
-                task.result, task.status, task.error = self.handlers[task.type](task), "done", ""
+                with Limit(self.spark, task.id, task.timeout):
+                    task.result = self.handlers[task.type](task)
+                task.status, task.error = "done", ""
+                break
+            except OutOfTime as e:
+                task.status, task.error = "failed", f"{type(e).__name__}: {e}"
                 break
             except Exception as e:  # told in the summary; the policy decides what follows
                 task.status, task.error = "failed", f"{type(e).__name__}: {e}"

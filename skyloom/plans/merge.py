@@ -7,9 +7,10 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from ..operators.profile import merge_statistics
+from ..operators.profile import merge_statistics, null_share
 
 log = logging.getLogger("skyloom.merge")
 
@@ -38,14 +39,14 @@ def check_inputs(sources: dict[str, DataFrame], join_keys: dict[str, list[str]]
 
 
 def run_merge(sources: dict[str, DataFrame], strategy: Callable[[dict[str, DataFrame]], DataFrame], path: str, join_keys: dict[str, list[str]] | None = None, distinct: bool = True) -> MergeResult:
-    """Check, merge, drop repeated rows, write, count what was written."""
+    """Check, merge, drop repeated rows, and write; rows and share of nulls are observed as they're written, so the result isn't read again."""
     began = time.monotonic()
     try:
         check_inputs(sources, join_keys)
         df = strategy(sources)
-        (df.dropDuplicates() if distinct else df).write.mode("overwrite").parquet(path)
-        spark = df.sparkSession
-        stats = merge_statistics(spark.read.parquet(path), sources)
+        df, seen = df.dropDuplicates() if distinct else df, Observation()
+        df.observe(seen, F.count("*").alias("rows"), null_share(df).alias("null_pct")).write.mode("overwrite").parquet(path)
+        stats = merge_statistics(df, sources, seen.get["rows"]) | {"null_pct": seen.get["null_pct"]}
         return MergeResult(path, True, stats["output_rows"], tuple(sources), time.monotonic() - began, stats)
     except Exception as e:  # the result tells; callers that want to stop raise on it
         return MergeResult(path, False, 0, (), time.monotonic() - began, {}, f"{type(e).__name__}: {e}")

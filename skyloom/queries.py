@@ -181,15 +181,15 @@ def angular_separation(spark, d):
 
 def _cone(name: str, compat: bool, form: str):
     limit, scale = ("3.0 / 3600", "3600.0") if compat else ("radians(3.0 / 3600)", "3600.0 * 180.0 / pi()")
-    sql = f"""select row_idx, src_idx as sec_src_idx, round(sep * {scale}, 6) as sec_match_separation_arcsec from
-     (select row_idx, src_idx, sep, row_number() over (partition by row_idx order by sep, src_idx) as k from (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join sec s on abs(p.decl - s.decl) < 0.06) where sep <= {limit}) where k = 1"""
+    sql = f"""select p.row_idx, m.src_idx as sec_src_idx, round(m.sep * {scale}, 6) as sec_match_separation_arcsec from prim p left join
+     (select row_idx, src_idx, sep, row_number() over (partition by row_idx order by sep, src_idx) as k from (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join sec s on abs(p.decl - s.decl) < 0.06) where sep <= {limit}) m on m.row_idx = p.row_idx and m.k = 1"""
 
     @query(sql, name)
     def run(spark, d):
         p = view(spark, d, "prim").withColumn("_row_idx", F.col("row_idx"))
         s = view(spark, d, "sec").withColumn("_src_idx", F.col("src_idx"))
         found = sky.cone_join(p, s, "sec", 3.0, compat=compat, form=form)
-        return found.filter("sec_match_quality is not null").select("row_idx", "sec_src_idx", r("sec_match_separation_arcsec"))
+        return found.select("row_idx", "sec_src_idx", r("sec_match_separation_arcsec"))
 
 
 _cone("cone_match_compat", True, "auto")
@@ -234,10 +234,11 @@ def dedupe_first(spark, d):
     return missing.keep_first(rows, ["l_orderkey"], "place").drop("place")
 
 
-@query("select o_orderkey, case when o_orderkey % 3 = 0 then 'one' when o_orderkey % 2 = 0 then 'two' else 'three' end as tier from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 0 or o_orderkey % 5 = 0")
+@query("select o_orderkey, case when o_orderstatus = 'F' then 'filled' when o_orderpriority in ('1-URGENT', '2-HIGH') then 'urgent' else 'any' end as tier from orders")
 def union_tiers(spark, d):
-    o = _table(spark, d, "orders").select("o_orderkey")
-    parts = [o.filter(f"o_orderkey % {k} = 0").withColumn("tier", F.lit(n)) for k, n in ((3, "one"), (2, "two"), (5, "three"))]
+    """Filled orders, else urgent ones, else any: the tiers overlap, and together they hold every order."""
+    o = _table(spark, d, "orders")
+    parts = [o.filter(test).select("o_orderkey", F.lit(n).alias("tier")) for n, test in (("filled", "o_orderstatus = 'F'"), ("urgent", "o_orderpriority in ('1-URGENT', '2-HIGH')"), ("any", "true"))]
     return tiers.combine(parts, "o_orderkey")
 
 
@@ -408,6 +409,26 @@ def mc_sigma(spark, d):
     return montecarlo.monte_carlo(view(spark, d, "prim")).select("row_idx", *montecarlo.NAMES)
 
 
+#: The relative spread of each metric where only the temperature has errors.
+_SPREAD = {"stellar_flux_s": "0", "equilibrium_temperature": "(abs(st_tefferr1) + coalesce(abs(st_tefferr2), abs(st_tefferr1))) / 2 / st_teff", "surface_gravity": "0", "escape_velocity": "0"}
+
+
+@query("select row_idx, " + ", ".join(f"case when ({v}) is not null then true end as {k}" for k, v in _MC.items()) + " from prim")
+def mc_sigma_bounds(spark, d):
+    """Where a metric has a value, its median lies within a tenth of the spread (a millionth of the value, at least) of what no errors would give, its spread within a tenth of the
+    expected one, and its quantiles are in order; SQL tells where there's a value."""
+    known = {k: F.expr(v.replace("::double", "")) for k, v in _MC.items()}
+    out = view(spark, d, "prim").withColumns({f"_{k}": v for k, v in known.items()} | {f"_{k}_spread": F.abs(known[k]) * F.expr(v) for k, v in _SPREAD.items()})
+    out = montecarlo.monte_carlo(out)
+
+    def bounded(k: str):
+        centre, spread, slack = F.col(f"_{k}"), F.col(f"_{k}_spread"), F.abs(F.col(f"_{k}")) * 1e-6
+        near = (F.abs(F.col(f"{k}_median") - centre) <= 0.1 * spread + slack) & (F.abs(F.col(f"{k}_std") - spread) <= 0.1 * spread + slack)
+        return near & (F.col(f"{k}_q16") <= F.col(f"{k}_median")) & (F.col(f"{k}_median") <= F.col(f"{k}_q84")) & (F.abs(F.col(f"{k}_mean") - centre) <= 0.1 * spread + slack)
+
+    return out.select("row_idx", *(bounded(k).alias(k) for k in _MC))
+
+
 # quality, missingness
 
 
@@ -656,6 +677,18 @@ def catalog_merge(spark, d):
     return merged.select("row_idx", "gaia_gaia_dr2_source_id", "sweet_src_name", "has_gaia_data", "has_sweet_data", "gaia_parallax_quality", r("data_completeness_score"))
 
 
+@query(f"""select row_idx, g.gaia_dr2_source_id as gaia_gaia_dr2_source_id, m.src_idx as toi_candidates_src_idx, coalesce(m.src_idx % 4 in (0, 1, 2), false) as tess_candidate_flag,
+ case m.src_idx % 4 when 0 then 'high' when 1 then 'medium' when 2 then 'low' else 'none' end as tess_candidate_confidence
+ from prim p left join gaia g on {_ID} = g.gaia_dr2_source_id
+ left join (select row_idx as r, src_idx, row_number() over (partition by row_idx order by sep, src_idx) as k from (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join sec s on abs(p.decl - s.decl) < 0.06) where sep <= radians(3.0 / 3600)) m on m.r = p.row_idx and m.k = 1""")
+def catalog_merge_chosen(spark, d):
+    """The primary is chosen by the catalogs' names; candidates are matched by position and bring their flags."""
+    disposition = F.when(F.col("src_idx") % 4 == 0, "PC").when(F.col("src_idx") % 4 == 1, "APC").when(F.col("src_idx") % 4 == 2, "FP")
+    found = view(spark, d, "sec").withColumn("tfopwg_disp", disposition).withColumn("_src_idx", F.col("src_idx"))
+    merged = pipeline.catalog_merge({"gaia": view(spark, d, "gaia"), "toi_candidates": found, "nasa_exoplanet": view(spark, d, "prim")})
+    return merged.select("row_idx", "gaia_gaia_dr2_source_id", "toi_candidates_src_idx", "tess_candidate_flag", "tess_candidate_confidence")
+
+
 @query("""select 'output_rows' as name, count(*)::double as value from (select distinct * from (select c_custkey, o_orderkey from customer left join orders on c_custkey = o_custkey))
  union all select 'total_input_rows', ((select count(*) from customer) + (select count(*) from orders))::double
  union all select 'merge_efficiency', round((select count(*) from (select distinct c_custkey, o_orderkey from customer left join orders on c_custkey = o_custkey)) / ((select count(*) from customer) + (select count(*) from orders))::double, 6)""")
@@ -708,19 +741,35 @@ _CHECKED = """(select row_idx, lower(trim(pl_name)) as planet_id, gaia_id, st_te
 _PARALLAX = "g.parallax - 0.017"
 
 
-@query(f"""select p.row_idx, cast(coalesce(g.gaia_dr3_source_id, g.gaia_dr2_source_id) as varchar) as star_id, planet_id, round(pl_rade, 6) as pl_rade, round(pl_masse, 6) as pl_masse, round(pl_orbsmax, 6) as pl_orbsmax,
+_VALUES = f"""select p.row_idx, cast(coalesce(g.gaia_dr3_source_id, g.gaia_dr2_source_id) as varchar) as star_id, planet_id, round(pl_rade, 6) as pl_rade, round(pl_masse, 6) as pl_masse, round(pl_orbsmax, 6) as pl_orbsmax,
  round({_edge('RunawayGreenhouse')}, 6) as hz_inner, round({_edge('EarlyMars')}, 6) as hz_opt_outer, round(case when {_TEQ} between 0 and 20000 then {_TEQ} end, 6) as equilibrium_temperature,
  round(((pl_rade is not null)::int + (pl_masse is not null)::int + (pl_orbsmax is not null)::int + (st_teff is not null)::int + (st_lum is not null)::int + (st_mass is not null)::int) / 6.0::double, 6) as data_completeness_score,
  pl_rade is null as pl_rade_missing, round(case when g.distance_gspphot is not null then g.distance_gspphot when {_PARALLAX} > 0 then 1000.0 / ({_PARALLAX}) end, 6) as distance_pc, m.src_idx as sec_src_idx
  from {_CHECKED} p left join gaia g on {_ID} = g.gaia_dr2_source_id
  left join (select row_idx, src_idx, row_number() over (partition by row_idx order by sep, src_idx) as k from
    (select row_idx, src_idx, {_HAVERSINE} as sep from prim p join (select src_idx, ra + pmra / 3.6e6 / cos(radians(decl)) as ra, decl + pmdec / 3.6e6 as decl from sec) s on abs(p.decl - s.decl) < 0.06)
-   where sep <= radians(3.0 / 3600)) m on m.row_idx = p.row_idx and m.k = 1""")
+   where sep <= radians(3.0 / 3600)) m on m.row_idx = p.row_idx and m.k = 1"""
+
+
+@query(_VALUES)
 def full_pipeline_values(spark, d):
     """All stages; of their columns, those that don't come from random draws or from one of several equal matches."""
     return full_pipeline(spark, d).select("row_idx", "star_id", "planet_id", r("pl_rade"), r("pl_masse"), r("pl_orbsmax"), r("hz_inner"), r("hz_opt_outer"), r("equilibrium_temperature"), r("data_completeness_score"), "pl_rade_missing", r("distance_pc"), "sec_src_idx")
 
 
+@query(f"select planet_id, star_id, pl_rade, pl_masse, pl_orbsmax from ({_VALUES})")
+def full_pipeline_planets(spark, d):
+    """The planets of stage nine, with what the stages before made of their values."""
+    out = pipeline.tables(full_pipeline(spark, d))["planets"]
+    return out.select("planet_id", "star_id", r("pl_rade"), r("pl_masse"), r("pl_orbsmax"))
+
+
+@query(f"select star_id, st_teff, round(st_mass, 6) as st_mass, round(st_rad, 6) as st_rad from (select v.star_id, p.*, row_number() over (partition by v.star_id order by p.row_idx) as k from ({_VALUES}) v join prim p on p.row_idx = v.row_idx) where k = 1")
+def full_pipeline_stars(spark, d):
+    """The stars of stage nine: of planets with the same star, the first one's columns."""
+    return pipeline.tables(full_pipeline(spark, d))["stars"].select("star_id", "st_teff", r("st_mass"), r("st_rad"))
+
+
 @query()
 def full_pipeline_tables(spark, d):
     """(name, n): stage nine over the wide table, which is written once: rows of every entity table."""
