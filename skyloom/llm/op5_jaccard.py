@@ -7,7 +7,8 @@ only sets too small in that quarter need them. Tokens of one class only can't li
 with them. Classes that share such a token meet in a block, named by the token's smallest class; a block gets
 each class's whole set once. A large block is dealt into levels of set sizes, of which only adjoining ones can hold similar sets, and those into chunks;
 its smallest class goes to each chunk. In a chunk a signature tree is joined with itself (signature_tree.py); every link is verified on the whole sets. Chunks
-of one block whose classes aren't all in one component yet are then joined with each other where their levels allow, except for pairs within the
+of a block whose classes aren't all in one component yet are dealt anew by a better order, in which all tokens of these classes are counted: what many unlike documents have in
+common, a notice say, then names no block. The few large blocks that stay open even so have their chunks joined with each other where their levels allow, except for pairs within the
 component that most are in, which need no comparing. So nothing is left out, and a large group of near copies costs its size.
 
 A document with fewer words than a shingle has the whole sequence as its one shingle; without words or text
@@ -239,12 +240,19 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     edges = spread.join(nodes, "node").join(_sets(docs, nodes, words), "cls").select(*PLACE, "node", "toks").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
     edges = materialize_narrow(edges.distinct(), "links")
     found = materialize_narrow(components(edges), "components")
-    large = dealt.filter("large")
+    large = _open(dealt.filter("large"), found)
     if not large.isEmpty():
         wide = materialize_narrow(large.select("node").distinct().join(nodes, "node"), "wide-nodes")
         members = materialize(_sets(docs, wide, words).join(wide, "cls").select("node", "toks"), "wide-sets")
-        edges = edges.unionByName(_cross_links(large, chunks, found, members, chunk, num, den))
+        dealt, chunks = _dealt(materialize_narrow(_again(members, found, num, den), "blocks-again"), classes, chunk, num, den)
+        spread = dealt.filter("not large or node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
+        more = spread.join(members, "node").repartition(*PLACE).sortWithinPartitions(*PLACE).mapInPandas(_within(num, den), "a long, b long")
+        edges = materialize_narrow(edges.unionByName(more.distinct()), "links")
         found = materialize_narrow(components(edges), "components")
+        large = _open(dealt.filter("large"), found)
+        if not large.isEmpty():
+            edges = edges.unionByName(_cross_links(large, chunks, found, members, chunk, num, den))
+            found = materialize_narrow(components(edges), "components")
     by_class = classes.join(with_least(found, classes), "node", "left").select("cls", F.coalesce("component", "least_id").alias("component"), F.coalesce("root", "node").alias("root"))
     plain = reduced.filter(F.col("cls").isNull()).select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("root"))
     linked = reduced.filter(F.col("cls").isNotNull()).select("doc_id", "mark", "n", "cls").join(materialize_narrow(by_class, "component-of-class"), "cls")
@@ -265,6 +273,34 @@ def _dealt(blocks: DataFrame, classes: DataFrame, chunk: int, num: int, den: int
     return dealt, dealt.filter("large").select(*PLACE).distinct()
 
 
+def _open(large: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``large`` whose blocks hold more than one component."""
+    rooted = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("block")
+    return materialize_narrow(large.join(several, "block", "left_semi"), "open-blocks")
+
+
+def _again(members: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
+    """(block, node) of the sets ``members`` (node, toks) by their own best order: the first pass sorts a part of the tokens by frequency among all; here all
+    tokens of these few sets are counted. Those that only one component has can't link two, and come first, then the rarer ones. So a token that
+    very many unlike sets have, a notice say, is in the first fifth of those alone that have little else."""
+
+    def listed(batches):
+        for batch in batches:
+            sets = [np.frombuffer(t, np.int64) for t in batch["toks"]]
+            yield pd.DataFrame({"node": batch["node"], "n": [len(x) for x in sets], "toks": sets})
+
+    rooted = members.mapInPandas(listed, "node long, n long, toks array<long>").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    entries = rooted.select("node", "root", "n", F.explode("toks").alias("h"))
+    counted = entries.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("h", "df")
+    own = Window.partitionBy("node")
+    ranked = entries.join(materialize_narrow(counted, "shared-tokens"), "h").withColumn("k", F.row_number().over(own.orderBy("df", "h"))).withColumn("of", F.count("*").over(own))
+    first = ranked.filter(F.col("n") - F.col("of") + F.col("k") <= F.col("n") - F.ceil(num * F.col("n") / den) + 1)
+    by_node = materialize_narrow(first.select("h", "node"), "first-tokens")
+    least = by_node.groupBy("h").agg(F.min("node").alias("block"), F.count("*").alias("k")).filter("k > 1").select("h", "block")
+    return by_node.join(least, "h").select("block", "node").distinct()
+
+
 def _beside(df: DataFrame, level: str, to: str) -> DataFrame:
     """Every row for its own level and the two that adjoin it, as column ``to``."""
     return df.withColumn(to, F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.col(level) + d)))

@@ -5,7 +5,7 @@ import pytest
 import corpus_pipeline
 from skyloom.llm.queries import QUERIES
 
-PER_DOCUMENT = ["op2_token_counts", "op3_toxicity", "op5_jaccard", "op6_language", "op7_bpe", "op8_pii", "op10_licenses"]
+PER_DOCUMENT = ["op2_token_counts", "op3_toxicity", "op5_jaccard", "op6_language", "op7_bpe", "op8_pii", "op10_licenses", "op11_token_binary", "op12_merkle"]
 
 
 @pytest.mark.parametrize("name", PER_DOCUMENT)

@@ -95,6 +95,23 @@ def test_jaccard_components(spark, chunk):
     assert [got[k].n_shingles for k in range(len(texts))] == [len(s) for s in sets]
 
 
+def test_a_notice_of_many_unlike_texts_names_no_block(spark, monkeypatch):
+    """Unlike texts with 14 words in common, in one hot block by the first order: none by the second, so no chunks meet; near copies among them are found."""
+    draw = random.Random(3)
+    word = lambda: f"w{draw.randrange(10**7)}"
+    notice = " ".join(f"n{k}" for k in range(14))
+    texts = [" ".join([*(word() for _ in range(13)), notice, *(word() for _ in range(13))]) for _ in range(700)]
+    texts += [f"{texts[k]} {word()}" for k in range(0, 700, 70)] + [texts[5]] * 3
+    seen = []
+    again, across = o5._again, o5._cross_links
+    monkeypatch.setattr(o5, "_again", lambda *a: seen.append(again(*a)) or seen[-1])
+    monkeypatch.setattr(o5, "_cross_links", lambda *a: seen.append("across") or across(*a))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in o5.jaccard_components(df, chunk=32).collect()}
+    assert got == {k: k for k in range(700)} | {700 + j: 70 * j for j in range(10)} | {710 + j: 5 for j in range(3)}
+    assert len(seen) == 1 and seen[0].groupBy("block").count().filter("count > 32").count() == 0
+
+
 def vectors(n=600, dim=24, seed=3):
     draw = np.random.default_rng(seed)
     x = draw.standard_normal((n, dim))
