@@ -76,8 +76,9 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def _bits(cls: bytes) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(cls, seed=k) % FILTER_BITS for k in (1, 2, 3)]
+def _places(marks: np.ndarray) -> np.ndarray:
+    """Three places in the filter of each mark."""
+    return np.stack([(marks.astype(np.int64).view(np.uint64) * m) >> np.uint64(64 - FILTER_BITS.bit_length() + 1) for m in _ODD[:3]]).astype(np.int64)
 
 
 def _reduced(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -130,19 +131,20 @@ def _in_first_fifth(shared: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(cls, toks): the whole set of each class in ``nodes`` (node, cls), and of a few others that the filter can't tell from them."""
+    """(cls, toks): the whole set of each class in ``nodes`` (node, cls, mark), built from the text that the class's mark names; and of a few others whose marks the
+    filter can't tell from these. Only the texts that pass the filter are cut into shingles."""
     spark = docs.sparkSession
 
     def positions(batches):
         for batch in batches:
-            at = np.unique(np.array([p for c in batch["cls"] for p in _bits(bytes(c))], dtype=np.int64))
+            at = np.unique(_places(batch["mark"].to_numpy()))
             word = at >> 6
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(at) else np.empty(0, np.int64)
             bits = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)), starts) if len(at) else np.empty(0, np.uint64)
             yield pd.DataFrame({"word": word[starts], "bits": bits.view(np.int64)})
 
     # at most FILTER_BITS / 64 rows, whatever the input
-    found = collected(nodes.select("cls").mapInPandas(positions, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    found = collected(nodes.select("mark").mapInPandas(positions, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")))
     filter_ = np.zeros(FILTER_BITS // 64, np.int64)
     filter_[found["word"].to_numpy()] = found["bits"].to_numpy()
     sent = spark.sparkContext.broadcast(filter_.view(np.uint64))
@@ -150,20 +152,22 @@ def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     def each(batches):
         words_of, seen = sent.value, set()
         for batch in batches:
+            at = _places(batch["mark"].to_numpy())
+            hit = (words_of[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).all(axis=0)
             cls, toks = [], []
-            for t in batch["text"]:
+            for t in batch["text"][hit]:
                 s = shingles(t, words)
                 if not len(s):
                     continue
                 c = xxhash.xxh3_128_digest(s.tobytes())
-                if c not in seen and all(int(words_of[p >> 6]) >> (p & 63) & 1 for p in _bits(c)):
+                if c not in seen:
                     seen.add(c)
                     cls.append(c)
                     toks.append(s.tobytes())
             if cls:
                 yield pd.DataFrame({"cls": cls, "toks": toks})
 
-    return docs.select("text").mapInPandas(each, "cls binary, toks binary").dropDuplicates(["cls"])
+    return docs.select("text", _mark(F.col("text")).alias("mark")).mapInPandas(each, "cls binary, toks binary").dropDuplicates(["cls"])
 
 
 def _grouped(batches, keys: list[str]):
@@ -230,9 +234,9 @@ def _rows(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, c
     """(doc_id, mark, n_shingles, component_id, root) of every document; root names the component even where no id does."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     reduced = materialize(_reduced(docs, words, num, den), "shingle-tokens")
-    classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id"), F.max("n").alias("n")), "shingle-classes")
+    classes = materialize_narrow(reduced.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("rid").alias("node"), F.min("doc_id").alias("least_id"), F.max("n").alias("n"), F.min("mark").alias("mark")), "shingle-classes")
     blocks = materialize_narrow(_blocks(reduced, classes, num, den), "blocks")
-    nodes = materialize_narrow(blocks.select("node").distinct().join(classes.select("node", "cls"), "node"), "block-nodes")
+    nodes = materialize_narrow(blocks.select("node").distinct().join(classes.select("node", "cls", "mark"), "node"), "block-nodes")
     dealt, chunks = _dealt(blocks, classes, chunk, num, den)
     # a large block's own class goes to each of its chunks: it's like most of them, and holds their components together
     spread = dealt.filter("not large or node != block").select(*PLACE, "node").unionByName(chunks.select(*PLACE, F.col("block").alias("node")))
