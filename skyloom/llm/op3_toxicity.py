@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,18 +45,17 @@ def features_of_word(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(k.encode("utf-8", "replace")) for k in keys]
 
 
-class Places(dict):
-    """Where a word's features are among the keys, without those that training hasn't met; kept for as many words as there's room."""
+class Weights(dict):
+    """Weights of words, or of their first letters, by name; 0 for what training hasn't met. Kept for as many names as there's room."""
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, by_key: dict[int, float], end: str):
         super().__init__()
-        self.place = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+        self.by_key, self.end = by_key, end
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, name: str) -> float:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        place = self.place
-        made = self[word] = tuple([place[k] for k in features_of_word(word) if k in place])
+        made = self[name] = self.by_key.get(xxhash.xxh32_intdigest((name + self.end).encode("utf-8", "replace")), 0.0)
         return made
 
 
@@ -71,16 +71,16 @@ class Model:
         return {"keys": self.keys, "weights": self.weights, "bias": self.bias}
 
     @cached_property
-    def places(self) -> Places:
-        return Places(self.keys)
-
-    @cached_property
-    def _listed(self) -> list[float]:
-        return self.weights.tolist()
+    def _by_name(self) -> list:
+        """Lookups of whole words and of their first three, four and five letters."""
+        by_key = dict(zip(self.keys.tolist(), self.weights.tolist(), strict=True))
+        return [Weights(by_key, end).__getitem__ for end in ("", "|3", "|4", "|5")]
 
     def score(self, text: str | None) -> float:
-        found = set().union(*map(self.places.__getitem__, set(_WORD.findall((text or "").lower()))))
-        z = self.bias + math.fsum(map(self._listed.__getitem__, found))  # the same in any order
+        words = set(_WORD.findall((text or "").lower()))
+        whole, *starts = self._by_name
+        parts = [map(whole, words), *(map(of, {w[:n] for w in words if len(w) > n}) for n, of in zip((3, 4, 5), starts, strict=True))]
+        z = self.bias + math.fsum(chain.from_iterable(parts))  # the same in any order
         return 1 / (1 + math.exp(-min(max(z, -35.0), 35.0)))
 
 

@@ -22,7 +22,7 @@ def test_nnpu_separates_and_is_non_negative():
     toxic, plain = np.arange(10), np.arange(10, 400)
     text = lambda bad: np.unique(np.concatenate([draw.choice(plain, 30), draw.choice(toxic, 3) if bad else []])).astype(np.int64)
     model = o3.train_pu([text(True) for _ in range(300)], [text(k % 10 == 0) for k in range(2000)], 0.1, np.arange(400))
-    z = lambda x: model.bias + model.weights[[model.places.place[k] for k in x.tolist()]].sum()
+    z = lambda x: model.bias + model.weights[np.searchsorted(model.keys, x)].sum()
     bad, good = [z(text(True)) for _ in range(200)], [z(text(False)) for _ in range(200)]
     assert np.mean([b > g for b in bad for g in good]) > 0.99
     assert o3.train_pu([], [], 0.2, np.empty(0)).score("anything") == pytest.approx(0.2)
@@ -75,7 +75,7 @@ def test_toxicity_learns_rare_wordings_and_clean_words(spark):
     model = o3.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     seen = [k for k in range(0, 400, 4) if zlib.crc32(str(k).encode()) % 4 != 2]
     rare = [f"vile{k // 16:04d}" for k in seen]  # each in four texts at most
-    assert all(model.places[w] for w in rare) and np.mean([model.score(w) > model.score("") for w in rare]) > 0.95
+    assert all(set(o3.features_of_word(w)) & set(model.keys.tolist()) for w in rare) and np.mean([model.score(w) > model.score("") for w in rare]) > 0.95
     assert model.score("kind") < model.score("")
 
 
