@@ -91,8 +91,11 @@ def take(spark: SparkSession, batch: DataFrame, number: int, out: str, config: d
 
 def run(spark: SparkSession, landing: str, out: str, checkpoint: str, config: dict) -> DataFrame | None:
     """Takes in all files of ``landing`` that aren't in yet, waits for the end, and returns all records as read back; None if there never was one."""
-    schema = spark.read.parquet(landing).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", config["files_a_batch"]).parquet(landing)
+    landed = stored(spark, landing)
+    if landed is None:
+        log.info("nothing has landed in %s yet", landing)
+        return stored(spark, f"{out}/records")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", config["files_a_batch"]).parquet(landing)
     log.info("reading what is new in %s since %s", landing, checkpoint)
     taken: list[int] = []
     query = stream.writeStream.foreachBatch(lambda batch, number: taken.append(take(batch.sparkSession, batch, number, out, config))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

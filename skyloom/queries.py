@@ -20,6 +20,7 @@ from .streaming import enrich
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+_made: list[str] = []
 
 
 def query(sql: str | None = None, name: str | None = None):
@@ -53,7 +54,16 @@ def _scratch(spark: SparkSession, name: str) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="skyloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes what queries wrote to folders of their own in this application. Frames that read them can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        at = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        at.getFileSystem(conf).delete(at, True)
 
 
 # scans and projections

@@ -99,6 +99,7 @@ BATCHES = [
 
 
 def test_intake_takes_only_what_is_new(spark, tmp_path, caplog):
+    assert _intake(spark, tmp_path) is None
     for n, batch in enumerate(BATCHES):
         _land(spark, tmp_path / "landing", batch)
         with caplog.at_level(logging.INFO, logger="jobs"):
@@ -135,6 +136,16 @@ def test_intake_ends_alike_after_a_failure(spark, tmp_path, monkeypatch):
     assert _all(made.drop("batch")) == want
 
 
+def test_intake_of_a_hot_text(spark, tmp_path):
+    """A third of all rows have one text, others come twice or once: the hot one is looked up by broadcast, the rest by their digests."""
+    batch = [(k, "the one text which so many records have" if k % 3 == 0 else f"a text of which there are two: {k // 6} {k % 3}", "en", "a") for k in range(6000)]
+    _land(spark, tmp_path / "landing", batch)
+    got = {r.doc_id: (r.batch, r.status, r.first_id) for r in _intake(spark, tmp_path).collect()}
+    assert got == _plain([batch])
+    groups = spark.read.parquet(f"{tmp_path}/out/groups")
+    assert groups.count() == 2001 and groups.agg(F.max("n")).first()[0] == 2000
+
+
 def test_intake_of_several_files_a_run_and_of_an_empty_one(spark, tmp_path):
     _land(spark, tmp_path / "landing", [])
     for batch in BATCHES:

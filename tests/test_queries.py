@@ -40,3 +40,15 @@ def test_whole_joins_keep_every_row(spark, tmp_path, how):
 def test_separation_of_all_pairs_of_the_cone(spark, sf_dir):
     matched = {r.row_idx for r in QUERIES["cone_match_grid_compat"](spark, sf_dir).filter("sec_src_idx is not null").collect()}
     assert {r.row_idx for r in QUERIES["angular_separation"](spark, sf_dir).collect()} == matched and matched
+
+
+def test_folders_of_queries_can_be_cleaned(spark, sf_dir):
+    import os
+
+    from skyloom import queries
+
+    df = QUERIES["csv_roundtrip"](spark, sf_dir)
+    path = queries._made[-1]
+    assert df.count() and os.path.exists(path)
+    queries.clean(spark)
+    assert not os.path.exists(path) and not queries._made
