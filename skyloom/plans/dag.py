@@ -138,12 +138,16 @@ class OutOfTime(TimeoutError):
     """A task's time limit has ended its work."""
 
 
+#: What a job group is to the thread that starts jobs.
+GROUP = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+
+
 class Limit:
     """Ends the Spark jobs that the thread starts inside it once ``seconds`` are over, and says so in place of Spark's error."""
 
     def __init__(self, spark, name: str, seconds: float | None):
         self.spark, self.seconds, self.over, self.done = spark, seconds, False, False
-        self.tag = f"limit-{name}-{uuid.uuid4().hex}".replace(",", "_")
+        self.name, self.group, self.before = name, f"limit-{uuid.uuid4().hex}", {}
 
     def _start(self, seconds: float) -> None:
         self.timer = threading.Timer(seconds, self._end)
@@ -152,13 +156,15 @@ class Limit:
 
     def _end(self) -> None:
         self.over = True
-        self.spark.interruptTag(self.tag)
+        self.spark.sparkContext.cancelJobGroup(self.group)
         if not self.done:  # jobs that it starts after these are ended as well
             self._start(0.5)
 
     def __enter__(self) -> Limit:
         if self.spark is not None and self.seconds:
-            self.spark.addTag(self.tag)
+            sc = self.spark.sparkContext
+            self.before = {p: sc.getLocalProperty(p) for p in GROUP}
+            sc.setJobGroup(self.group, f"task {self.name}", True)
             self._start(self.seconds)
         return self
 
@@ -166,7 +172,8 @@ class Limit:
         if self.spark is not None and self.seconds:
             self.done = True
             self.timer.cancel()
-            self.spark.removeTag(self.tag)
+            for p, value in self.before.items():
+                self.spark.sparkContext.setLocalProperty(p, value)
             if self.over and error is not None:
                 raise OutOfTime(f"over its limit of {self.seconds} s") from error
         return False

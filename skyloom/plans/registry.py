@@ -90,7 +90,7 @@ def _pipeline(sources: dict[str, DataFrame], spec: Spec = Spec(), primary: str |
 POSITION_STRATEGIES = ("cone_search", "coordinate_match", "position_match", "astrometric_match")
 CATALOG_STRATEGIES = ("exoplanet_catalog", "candidate_validation", "stellar_parameters", "mission_data")
 PIPELINE_STRATEGIES = ("comprehensive_merge", "multi_catalog_merge", "unified_ingestion", "unified", "baseline", "gaia_enriched")
-_PLAIN = ("hostname", "generic_name")
+_PLAIN = ("hostname", "similar_hostname", "generic_name")
 STRATEGIES = Registry(
     {n: (_plain if n in _PLAIN else _keyed)(f) for n, f in joins.STRATEGIES.items()} | {n: _each(_position) for n in POSITION_STRATEGIES} | {n: _by_names for n in CATALOG_STRATEGIES} | {n: _pipeline for n in PIPELINE_STRATEGIES}
 )
