@@ -35,8 +35,8 @@ THRESHOLD = 0.3
 WINDOW, LEAST_FALL = 15, 0.01
 #: Features that one text can have in the sample; those with the smallest keys stay. It bounds what the driver fits on, not what is scored.
 MAX_FEATURES = 100_000
-#: Words' features kept in a worker's memo before it is emptied.
-MEMO_WORDS = 200_000
+#: Names kept in each of a worker's memos before it is emptied.
+MEMO_WORDS = 100_000
 
 
 def features_of_word(word: str) -> list[int]:
@@ -46,16 +46,19 @@ def features_of_word(word: str) -> list[int]:
 
 
 class Weights(dict):
-    """Weights of words, or of their first letters, by name; 0 for what training hasn't met. Kept for as many names as there's room."""
+    """Weights of words, or of their first letters, by name; 0 for what training hasn't met, which isn't kept: most such words come once. Emptied when full."""
 
     def __init__(self, by_key: dict[int, float], end: str):
         super().__init__()
         self.by_key, self.end = by_key, end
 
     def __missing__(self, name: str) -> float:
+        made = self.by_key.get(xxhash.xxh32_intdigest((name + self.end).encode("utf-8", "replace")))
+        if made is None:
+            return 0.0
         if len(self) >= MEMO_WORDS:
             self.clear()
-        made = self[name] = self.by_key.get(xxhash.xxh32_intdigest((name + self.end).encode("utf-8", "replace")), 0.0)
+        self[name] = made
         return made
 
 
