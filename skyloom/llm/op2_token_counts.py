@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import SPACE, byte_alphabet, shown, uncommon
-from .common import fresh_path, materialize, table
+from .common import fresh_path, materialize, materialize_narrow, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Words kept in a worker's memo before it is emptied.
 MEMO_WORDS = 300_000
+#: A digest with more than one in so many rows is looked up apart.
+HOT = 1000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -141,7 +143,13 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
     # the texts of distinct misses: one row a digest, combined before the exchange
     misses = keyed.select("digest", "content").join(known, "digest", "left_anti").dropDuplicates(["digest"])
     misses.select("digest", count.asNondeterministic()("content").alias("n_tokens")).write.mode("append").parquet(f"{cache_path}/{version}")
-    return narrow.join(read_cache(spark, cache_path, version), "digest", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = read_cache(spark, cache_path, version)
+    # digests with more than one in HOT of all rows are fewer than that and go to all tasks; only the other rows are dealt by digest
+    often = narrow.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") * HOT > narrow.count()).select("digest")
+    hot = F.broadcast(materialize_narrow(counts.join(often, "digest"), "hot-digests"))
+    rest = narrow.join(hot.select("digest"), "digest", "left_anti").join(counts, "digest", "left")
+    found = narrow.join(hot, "digest").unionByName(rest)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,3 +235,11 @@ def test_sum_of_squares_rule():
         if capacity - placed[b]:
             open_.append(capacity - placed[b])
     assert placed == fill.tolist() and max(placed) <= capacity
+
+
+def test_counts_of_a_hot_text(spark, tmp_path):
+    """A third of all rows have one text, which is looked up by broadcast; the others twice or once, by their digests."""
+    rows = [(k, "the one text" if k % 3 == 0 else f"text {k // 2}") for k in range(6000)]
+    got = {r.doc_id: r.n_tokens for r in o2.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()}
+    count = o2._counter(o2.vocabulary_path())
+    assert got == {k: count([t])[0] for k, t in rows}
