@@ -141,7 +141,7 @@ def count_tokens(docs: DataFrame, cache_path: str, path: str | None = None, limi
 
     known = read_cache(spark, cache_path, version)
     # the texts of distinct misses: one row a digest, combined before the exchange
-    misses = keyed.select("digest", "content").join(known, "digest", "left_anti").dropDuplicates(["digest"])
+    misses = keyed.select("digest", "content").dropDuplicates(["digest"]).join(known, "digest", "left_anti")
     misses.select("digest", count.asNondeterministic()("content").alias("n_tokens")).write.mode("append").parquet(f"{cache_path}/{version}")
     counts = read_cache(spark, cache_path, version)
     # digests with more than one in HOT of all rows are fewer than that and go to all tasks; only the other rows are dealt by digest
