@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from skyloom.operators import joins
+from skyloom.operators import joins, normalize
 
 
 def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
@@ -14,3 +14,19 @@ def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
         # each host's pairs are in one task, and hosts are spread over many
         at = {r.hostname: r.part for r in rows}
         assert {(r.hostname, r.part) for r in rows} == set(at.items()) and len(set(at.values())) > 8
+
+
+def test_edges_are_distinct_without_an_exchange_of_all_pairs(spark):
+    schema = "{} string, alias_type string, alias_value string, ord struct<row: long, k: int>"
+    # s1, p1 and s2, p2 share two aliases, the latter in unlike order; h belongs to all; x has a null entity
+    stars = [("s1", "T", "1", (1, 0)), ("s1", "U", "1", (1, 1)), ("s1", "T", "2", (2, 0)), ("s1", "H", "h", (3, 0)), ("s2", "T", "3", (4, 0)), ("s2", "U", "3", (4, 1)), ("s2", "H", "h", (5, 0)), (None, "X", "x", (6, 0)), (None, "X", "y", (6, 1))]
+    planets = [("p1", "T", "1", (1, 0)), ("p1", "U", "1", (1, 1)), ("p1", "N", "a", (1, 2)), ("p1", "H", "h", (1, 3)), ("p2", "U", "3", (4, 0)), ("p2", "T", "3", (4, 1)), ("p2", "H", "h", (4, 2)), ("s1", "T", "1", (9, 0)), ("s1", "T", "2", (9, 1))]
+    want = set()
+    for table in (stars, planets):
+        want |= {(a[1], a[2], b[1], b[2]) for a in table for b in table if a[0] is not None and a[0] == b[0] and a[3] < b[3]}
+    made = normalize.edges([(spark.createDataFrame(stars, schema.format("star_id")), "star_id"), (spark.createDataFrame(planets, schema.format("planet_id")), "planet_id")])
+    got = [tuple(x) for x in made.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # the branch of most pairs ends in its join
+    plan = made._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Aggregate" not in plan.children().head().nodeName()
