@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from skyloom.operators import joins, normalize
+from skyloom.fixtures import view
+from skyloom.operators import joins, montecarlo, normalize
 
 
 def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
@@ -30,3 +31,26 @@ def test_edges_are_distinct_without_an_exchange_of_all_pairs(spark):
     # the branch of most pairs ends in its join
     plan = made._jdf.queryExecution().optimizedPlan()
     assert plan.nodeName() == "Union" and "Aggregate" not in plan.children().head().nodeName()
+
+
+def test_monte_carlo_rows_of_one_partition_are_dealt(spark):
+    df = spark.range(0, 1000, 1, 1).select(*(F.lit(1.0 + k).alias(p) for k, p in enumerate(montecarlo.PARAMETERS)), (F.col("id") % 3).cast("double").alias("st_tefferr1"))
+    rows = montecarlo.monte_carlo(df).select("stellar_flux_s_std", F.spark_partition_id().alias("part")).collect()
+    n = [sum(r.part == p for r in rows) for p in {r.part for r in rows}]
+    assert len(rows) == 1000 and len(n) == 4 and max(n) < 400
+    assert {r.stellar_flux_s_std for r in rows} == {0.0}
+
+
+def test_wide_has_no_exchange_by_a_null_key(spark, sf_dir):
+    """Most planets have no candidate, so an exchange by the candidate's number would bring them all to one task."""
+    made = view(spark, sf_dir, "wide")
+    joins_of = [j for j in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in j]
+    assert len(joins_of) == 3 and sum("tid#" in j for j in joins_of) == 1 and any("coalesce(" in j or "row_idx" in j or "_key" in j for j in joins_of)
+    assert made.count() == view(spark, sf_dir, "prim").count()
+
+
+def test_measurements_of_one_partition_are_dealt(spark):
+    df = spark.range(0, 1000, 1, 1).select(F.col("id").alias("_row_idx"), F.lit("s").alias("star_id"), F.col("id").cast("string").alias("planet_id"), F.rand(1).alias("pl_rade"), F.lit(1.0).alias("st_teff"))
+    made = normalize.measurements(df)
+    assert made.count() == 1001
+    assert "RoundRobinPartitioning" in made._jdf.queryExecution().executedPlan().toString()
