@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.astro import G, M_EARTH, R_EARTH
-from .columns import require
+from .columns import dealt, require
 
 PARAMETERS = ("st_teff", "st_lum", "st_rad", "pl_orbsmax", "pl_rade", "pl_masse")
 METRICS = ("stellar_flux_s", "equilibrium_temperature", "surface_gravity", "escape_velocity")
+#: Places of each metric's parameters.
+_USED = ([1, 3], [0, 2, 3], [4, 5], [4, 5])
 STATS = ("mean", "std", "median", "q16", "q84")
 NAMES = [f"{m}_{s}" for m in METRICS for s in STATS]
 #: Rows of a matrix: bounds a worker's memory at rows x samples doubles.
-BLOCK = 256
+BLOCK = 64
 
 
 @lru_cache(maxsize=4)
@@ -63,20 +65,41 @@ def propagate(mu: np.ndarray, sd: np.ndarray, albedo: np.ndarray, spread: np.nda
     z = normals(samples, seed)
     has = ~np.isnan(mu)
     block = np.cumsum(has, axis=1) - has  # parameters present before this one
-    draws = [np.where(has[:, k, None], mu[:, k, None] + sd[:, k, None] * z[block[:, k]], np.nan) for k in range(len(PARAMETERS))]
-    teff, lum, rad, sma, rp, mp = draws
-    with np.errstate(all="ignore"):
-        sma, rp, mp = (np.where(x > 0, x, np.nan) for x in (sma, rp, mp))
-        lum = np.where(lum > 0, lum, 10**lum)
-        flux = lum / sma**2
-        temperature = teff * np.sqrt(rad / (2.0 * sma)) * ((1.0 - albedo) ** 0.25 * spread**0.25)[:, None]
-        gravity = G * mp * M_EARTH / (rp * R_EARTH) ** 2
-        escape = np.sqrt(2 * G * mp * M_EARTH / (rp * R_EARTH)) / 1000.0
-        return np.concatenate([_summary(x) for x in (flux, temperature, gravity, escape)], axis=1)
+    fixed = (sd == 0) | ~has
+    out = np.empty((len(mu), len(NAMES)))
+    for m, used in enumerate(_USED):
+        # where none of a metric's parameters varies, all samples are one value, so a single one tells everything
+        one = fixed[:, used].all(axis=1)
+        for rows, width in ((np.flatnonzero(one), 1), (np.flatnonzero(~one), samples)):
+            if not len(rows):
+                continue
+            x, s = mu[rows], sd[rows]
+            draw = lambda k: x[:, k, None] if fixed[rows, k].all() else x[:, k, None] + s[:, k, None] * z[block[rows, k], :width]  # noqa: B023, E731
+            with np.errstate(all="ignore"):
+                out[rows, len(STATS) * m : len(STATS) * (m + 1)] = _summary(_metric(m, draw, albedo[rows], spread[rows]))
+    return out
+
+
+def _metric(m: int, draw, albedo: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Samples of a metric; ``draw`` gives those of a parameter by its place."""
+
+    def positive(k: int) -> np.ndarray:
+        x = draw(k)
+        return np.where(x > 0, x, np.nan)
+
+    if m == 0:
+        lum = draw(1)
+        return np.where(lum > 0, lum, 10**lum) / positive(3) ** 2
+    if m == 1:
+        return draw(0) * np.sqrt(draw(2) / (2.0 * positive(3))) * ((1.0 - albedo) ** 0.25 * spread**0.25)[:, None]
+    rp, mp = positive(4), positive(5)
+    if m == 2:
+        return G * mp * M_EARTH / (rp * R_EARTH) ** 2
+    return np.sqrt(2 * G * mp * M_EARTH / (rp * R_EARTH)) / 1000.0
 
 
 def monte_carlo(df: DataFrame, samples: int = 1000, seed: int = 42, with_errors: bool = True) -> DataFrame:
-    """Twenty columns ``<metric>_<statistic>``. ``with_errors=False`` sets all sigmas to zero."""
+    """Twenty columns ``<metric>_<statistic>``. ``with_errors=False`` sets all sigmas to zero. Rows are dealt evenly first, for a small file with very many rows is one task's."""
     require(df, *PARAMETERS)
     null = F.lit(None).cast("double")
 
@@ -95,6 +118,6 @@ def monte_carlo(df: DataFrame, samples: int = 1000, seed: int = 42, with_errors:
             made = np.concatenate(parts) if parts else np.empty((0, len(NAMES)))
             yield pd.DataFrame({n: made[:, k] for k, n in enumerate(NAMES)})
 
-    out = df.withColumn("_mc", run.asNondeterministic()(*given))
+    out = dealt(df, times=1).withColumn("_mc", run.asNondeterministic()(*given))
     stats = {n: F.when(~F.isnan(f"_mc.{n}"), F.col(f"_mc.{n}")) for n in NAMES}
     return out.withColumns(stats).drop("_mc")
