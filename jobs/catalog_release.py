@@ -37,7 +37,8 @@ def resolved(spark: SparkSession, tables: str, config: dict) -> DataFrame:
     parts = []
     for s in config["parameters"]["sources"]:
         told = [precedence.Measured(**m) for m in s["measured"]]
-        parts.append(precedence.candidates(spark.read.parquet(f"{tables}/{s['table']}.parquet"), F.expr(s["source"]), s["object"], told, s["tie"]))
+        rows = precedence.together(spark.read.parquet(f"{tables}/{s['table']}.parquet"), s["object"])
+        parts.append(precedence.candidates(rows, F.expr(s["source"]), s["object"], told, s["tie"]))
     p = config["parameters"]
     return precedence.resolve(precedence.union(parts), p["order"], p["first_for"], p["sigmas"], p["share"])
 

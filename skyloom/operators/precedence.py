@@ -34,6 +34,13 @@ def candidates(df: DataFrame, source: Column | str, object_id: str, measured: It
     return rows.filter("m.value is not null and not isnan(m.value)").select("object_id", "source", "m.*", "tie").select(*LONG)
 
 
+def together(df: DataFrame, object_id: str) -> DataFrame:
+    """A source's rows brought together by object, before :func:`candidates` makes several of each. Otherwise the partial aggregate of :func:`resolve` sorts, spills and exchanges
+    nearly all candidates, wide as its buffers are, where an object's rows lie scattered over the input. It's dealt by a hash, not the object itself, so that the aggregate keeps its own
+    exchange, of a row an object and parameter; adaptive execution can thus split the partition of an object with very many rows."""
+    return df.withColumn("_at", F.xxhash64(F.expr(object_id))).hint("rebalance", "_at").drop("_at")
+
+
 def union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
