@@ -112,9 +112,7 @@ def ellipse_pairs(primary: DataFrame, moved_source: DataFrame, sigmas: float = 3
     s = moved_source.select(right_id, F.col("ra_epoch").alias("ra"), F.col("dec_epoch").alias("dec"), *(F.expr(e).alias(n) for n, e in {
         "aa": f"pow(ra_error_epoch, 2) + {floor_mas**2!r}", "dd": f"pow(dec_error_epoch, 2) + {floor_mas**2!r}", "ad": "ra_dec_corr_epoch * ra_error_epoch * dec_error_epoch",
         "radius": f"{sigmas!r} * sqrt(pow(ellipse_major, 2) + {floor_mas**2!r}) * {MAS!r}"}.items()))
-    pairs = within_radius(primary, s, "radius", left_id, right_id)
-    at = primary.select(F.col(left_id).alias("_l"), F.radians("ra").alias("a1"), F.radians("dec").alias("d1")).dropDuplicates(["_l"])
-    both = pairs.join(at, F.col(left_id) == F.col("_l")).join(s.withColumnRenamed(right_id, "_s"), F.col(right_id) == F.col("_s"))
+    both = within_radius(primary, s, "radius", left_id, right_id, carry=("aa", "dd", "ad")).withColumns({"a1": F.radians("p_ra"), "d1": F.radians("p_dec"), "ra": F.col("s_ra"), "dec": F.col("s_dec")})
     # offsets in the tangent plane at the source
     east = F.cos("d1") * F.sin(F.col("a1") - F.radians("ra")) / MAS
     north = (F.sin("d1") * F.cos(F.radians("dec")) - F.cos("d1") * F.sin(F.radians("dec")) * F.cos(F.col("a1") - F.radians("ra"))) / MAS

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.astro import moved, separation
-from .columns import coordinates, first, prefixed, with_row_index
+from .columns import coordinates, dealt, first, prefixed, with_row_index
 
 #: Sources up to so many rows meet all rows of the primary table.
 BROADCAST_ROWS = 64
@@ -89,6 +89,9 @@ def _grid_pairs(p: DataFrame, s: DataFrame, limit: float | Column, level: tuple[
     near = F.expr("sequence(-1, 1)")
     right = s.withColumn("band", F.explode(F.transform(near, lambda k: band("s_dec") + k))).withColumn("n", cells_in(F.col("band")))
     right = right.withColumn("cell", F.explode(F.array_distinct(F.transform(near, lambda k: F.pmod(cell("s_ra", F.col("n")) + k, F.col("n")))))).drop("n")
+    if level:
+        # cells of large radii make very many pairs of few bytes
+        left, right = (dealt(df, *level, "band", "cell", times=1) for df in (left, right))
     return left.join(right, [*level, "band", "cell"])
 
 
@@ -96,19 +99,20 @@ def _grid_pairs(p: DataFrame, s: DataFrame, limit: float | Column, level: tuple[
 FINEST, LEVELS = math.radians(0.01 / 3600), 27
 
 
-def within_radius(primary: DataFrame, source: DataFrame, radius: str, left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
-    """(left_id, right_id, sep): all pairs within the source row's own ``radius`` (radians). A row goes to the grid whose cells fit its radius; primary rows go to
+def within_radius(primary: DataFrame, source: DataFrame, radius: str, left_id: str = "_row_idx", right_id: str = "_src_idx", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(left_id, right_id, sep): all pairs within the source row's own ``radius`` (radians); with ``carry``, also these columns of the source and both positions (p_ra, p_dec, s_ra, s_dec),
+    so that pairs needn't be joined with their rows again. A row goes to the grid whose cells fit its radius; primary rows go to
     each grid that has rows, of which there are ``LEVELS`` at most."""
     p_at, s_at = coordinates(primary), coordinates(source)
     p = primary.select(left_id, F.col(p_at[0]).alias("p_ra"), F.col(p_at[1]).alias("p_dec")).dropna().dropDuplicates([left_id])
-    s = source.select(right_id, F.col(s_at[0]).alias("s_ra"), F.col(s_at[1]).alias("s_dec"), F.col(radius).alias("radius")).dropna().filter("radius >= 0")
+    s = source.select(right_id, F.col(s_at[0]).alias("s_ra"), F.col(s_at[1]).alias("s_dec"), F.col(radius).alias("radius"), *carry).dropna(subset=[right_id, "s_ra", "s_dec", "radius"]).filter("radius >= 0")
     s = s.withColumn("level", F.least(F.lit(LEVELS), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("radius", F.lit(FINEST)) / FINEST)))).cast("int"))
     used = sorted(r.level for r in s.select("level").distinct().collect())
     p = p.withColumn("level", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
     # beyond a quarter of the sphere the cells are one, so the last level holds any radius
     limit = F.least(F.lit(FINEST) * F.pow(F.lit(2.0), F.col("level")), F.lit(math.pi))
     sep = separation("p_ra", "p_dec", "s_ra", "s_dec")
-    return _grid_pairs(p, s, limit, ("level",)).withColumn("sep", sep).filter(F.col("sep") <= F.col("radius")).select(left_id, right_id, "sep")
+    return _grid_pairs(p, s, limit, ("level",)).withColumn("sep", sep).filter(F.col("sep") <= F.col("radius")).select(left_id, right_id, "sep", *(("p_ra", "p_dec", "s_ra", "s_dec", *carry) if carry else ()))
 
 
 def k_nearest(pairs: DataFrame, k: int, left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:

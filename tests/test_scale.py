@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from skyloom.fixtures import view
-from skyloom.operators import joins, montecarlo, normalize
+from skyloom.operators import joins, montecarlo, motion, normalize, precedence
 
 
 def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
@@ -54,3 +54,21 @@ def test_measurements_of_one_partition_are_dealt(spark):
     made = normalize.measurements(df)
     assert made.count() == 1001
     assert "RoundRobinPartitioning" in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_ellipses_are_not_joined_with_their_rows_again(spark):
+    p = spark.range(50).select(F.col("id").alias("l"), (F.col("id") / 100).alias("ra"), F.lit(0.0).alias("dec"))
+    s = spark.range(20).select(F.col("id").alias("r"), (F.col("id") / 50).alias("ra"), F.lit(0.0).alias("dec"), F.lit(1e5).alias("ra_error"), F.lit(1e5).alias("dec_error"))
+    made = motion.ellipse_pairs(p, motion.propagated(s, 0.0), left_id="l", right_id="r")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    want = {(k, n) for k in range(50) for n in range(20) if abs(k / 100 - n / 50) <= 3e5 / 3.6e6}
+    assert {(x.l, x.r) for x in made.collect()} == want
+
+
+def test_candidates_are_made_after_the_rows_of_an_object_came_together(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("o"), F.col("id").cast("double").alias("v"), F.lit("unused").alias("x"))
+    rows = precedence.candidates(precedence.together(df, "o"), "s", "o", [precedence.Measured("m", "v"), precedence.Measured("n", "v")], "cast(v as long)")
+    out = precedence.resolve(rows, ["s"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RebalancePartitions") and "unused" not in plan
+    assert {(r.object_id, r.parameter, r.value) for r in out.collect()} == {(k, m, float(k)) for k in range(10) for m in "mn"}
