@@ -2,7 +2,8 @@
 
 Two physical forms give the same rows: all pairs against a broadcast source, for a source of a few counted rows,
 and a grid of declination bands and right-ascension cells, in which each source row is put into its cell's neighbours too.
-The grid's equi-join grows with the rows, not with their product; Spark broadcasts a small source in it by itself and splits hot cells of a large one.
+The grid's equi-join grows with the rows, not with their product. It's always a sorted one, whose hot cells Spark splits: Spark judges a source by its file, before
+it's put into nine cells, so a broadcast of it would be far larger than the limit says, and each task would hold it whole.
 
 ``compat`` compares the separation in radians with a tolerance in degrees, as the eager system does: a nominal
 3 arc seconds then reach 172.
@@ -55,6 +56,17 @@ def within(primary: DataFrame, source: DataFrame, arcsec: float = 3.0, compat: b
     return near.select(left_id, right_id, "sep")
 
 
+def around(few: DataFrame, many: DataFrame, arcsec: float = 3.0) -> DataFrame:
+    """(few, many, sep): all pairs :func:`within` the tolerance, with both rows as structs, so that pairs needn't be joined with their rows again.
+    The few are put into their neighbours' cells, and each of the many goes through one exchange, once."""
+    f_at, m_at = coordinates(few), coordinates(many)
+    limit = math.radians(arcsec / 3600)
+    p = many.select(F.struct(*many.columns).alias("many"), F.col(m_at[0]).alias("p_ra"), F.col(m_at[1]).alias("p_dec")).dropna(subset=["p_ra", "p_dec"])
+    s = few.select(F.struct(*few.columns).alias("few"), F.col(f_at[0]).alias("s_ra"), F.col(f_at[1]).alias("s_dec")).dropna(subset=["s_ra", "s_dec"])
+    near = _grid_pairs(p, s, limit).withColumn("sep", separation("p_ra", "p_dec", "s_ra", "s_dec")).filter(F.col("sep") <= limit)
+    return near.select("few", "many", "sep")
+
+
 def closest(pairs: DataFrame, left_id: str = "_row_idx", right_id: str = "_src_idx") -> DataFrame:
     """Of (left_id, right_id, sep), each left id's pair of least separation, ties to the smaller id."""
     best = pairs.groupBy(left_id).agg(F.min(F.struct("sep", right_id)).alias("b"))
@@ -92,7 +104,7 @@ def _grid_pairs(p: DataFrame, s: DataFrame, limit: float | Column, level: tuple[
     if level:
         # cells of large radii make very many pairs of few bytes
         left, right = (dealt(df, *level, "band", "cell", times=1) for df in (left, right))
-    return left.join(right, [*level, "band", "cell"])
+    return left.join(right.hint("merge"), [*level, "band", "cell"])
 
 
 #: Radius of the finest grid, in radians; each level doubles it, up to the whole sphere.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.astro import ZERO_POINT
 from ..functions.text import parse_id
 from .quality import add_gaia_score
-from .sky import closest, within
+from .sky import around
 
 
 def targets(primary: DataFrame, key: str = "gaia_id") -> DataFrame:
@@ -31,10 +31,10 @@ def direct(wanted: DataFrame, catalog: DataFrame, id_col: str = "source_id") ->
 def by_position(wanted: DataFrame, older: DataFrame, catalog: DataFrame, arcsec: float = 1.0, magnitudes: float = 1.0, id_col: str = "source_id") -> DataFrame:
     """Tier 2: of the sources of like magnitude within an arc second of a target's older position, the nearest; the quality falls beyond half an arc second."""
     at = older.join(wanted, older[id_col] == wanted["target_id"], "left_semi").select(F.col(id_col).alias("_t"), "ra", "dec", F.col("phot_g_mean_mag").alias("_mag"))
-    good = catalog.filter(F.col("parallax").isNotNull())
-    pairs = within(at, good, arcsec, left_id="_t", right_id=id_col).join(at.select("_t", "_mag"), "_t").join(good.select(id_col, "phot_g_mean_mag"), id_col)
-    alike = pairs.filter(F.abs(F.col("_mag") - F.col("phot_g_mean_mag")) < magnitudes)
-    joined = closest(alike, "_t", id_col).join(good, id_col)
+    good = catalog.filter(F.col("parallax").isNotNull() & F.col(id_col).isNotNull())
+    alike = around(at, good, arcsec).filter(F.abs(F.col("few._mag") - F.col("many.phot_g_mean_mag")) < magnitudes)
+    best = alike.groupBy(F.col("few._t").alias("_t")).agg(F.min_by(F.struct("sep", "many"), F.struct("sep", f"many.{id_col}")).alias("b"))
+    joined = best.select("_t", "b.sep", "b.many.*")
     quality = F.when(F.col("sep") < math.radians(0.5 / 3600), 0.8).otherwise(0.6)
     return joined.withColumns({"gaia_dr2_source_id": F.col("_t"), "gaia_dr3_source_id": F.col(id_col), "data_source": F.lit("DR3_crossmatch"), "crossmatch_method": F.lit("position"), "match_quality": quality}).drop("_t", "sep")
 
@@ -61,12 +61,13 @@ def combine(tiers: list[DataFrame], key: str = "gaia_dr2_source_id") -> DataFram
 
 
 def cascade(primary: DataFrame, catalog: DataFrame, older: DataFrame, key: str = "gaia_id") -> DataFrame:
-    """All tiers, each over what the ones before left, with the parallax corrected and an overall score."""
+    """All tiers, with the parallax corrected and an overall score. Positions are looked up for what the ids left; the last tier isn't told what they found, for
+    :func:`combine` drops its rows of these, and they'd be computed twice."""
     wanted = targets(primary, key)
     one = direct(wanted, catalog)
     left = unmatched(wanted, one)
     two = by_position(left, older, catalog)
-    three = fallback(unmatched(left, two), older)
+    three = fallback(left, older)
     return enhance(combine([one, two, three]))
 
 

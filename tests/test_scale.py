@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from skyloom.fixtures import view
-from skyloom.operators import joins, montecarlo, motion, normalize, precedence
+from skyloom.functions.astro import separation
+from skyloom.operators import joins, montecarlo, motion, normalize, precedence, sky, tiers
 
 
 def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
@@ -72,3 +73,43 @@ def test_candidates_are_made_after_the_rows_of_an_object_came_together(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("RebalancePartitions") and "unused" not in plan
     assert {(r.object_id, r.parameter, r.value) for r in out.collect()} == {(k, m, float(k)) for k in range(10) for m in "mn"}
+
+
+def _crowded(spark, n, first):
+    """Sources about 0.13 arc seconds apart at the wrap of right ascension, at both poles and elsewhere."""
+    step = 0.13 / 3600
+    place = F.col("id") % 4
+    dec = F.element_at(F.array(*map(F.lit, (0.0, 90 - 12 * step, -90 + 12 * step, 41.0))), (place + 1).cast("int")) + (F.col("id") * 37 % 23 - 11) * step
+    ra = F.when(place.isin(1, 2), F.col("id") * 6.1 % 360).otherwise(F.when(place == 0, 359.99999).otherwise(200.0) + (F.col("id") * 53 % 29 - 14) * step)
+    return spark.range(n).select((F.col("id") + first).alias("source_id"), F.pmod(ra, F.lit(360.0)).alias("ra"), dec.alias("dec"), F.when(F.col("id") % 7 != 0, F.col("id") + 0.5).alias("parallax"), F.when(F.col("id") % 5 != 0, F.col("id") % 3 + 10.0).alias("phot_g_mean_mag"))
+
+
+def test_tier_of_positions_exchanges_the_catalog_once_and_never_broadcasts_it(spark):
+    older, newer = _crowded(spark, 60, 2000000000), _crowded(spark, 400, 3000000000)
+    wanted = older.filter("source_id % 4 != 3 or source_id % 8 = 3").select(F.col("source_id").alias("target_id"))
+    made = tiers.by_position(wanted, older, newer)
+    at = older.join(wanted, F.col("source_id") == F.col("target_id")).select("target_id", F.col("ra").alias("a"), F.col("dec").alias("d"), F.col("phot_g_mean_mag").alias("m"))
+    pairs = newer.filter("parallax is not null").crossJoin(at).withColumn("sep", separation("ra", "dec", "a", "d")).filter("degrees(sep) <= 1.0 / 3600 and abs(m - phot_g_mean_mag) < 1")
+    want = {r.target_id: (r.b.source_id, r.b.parallax, 0.8 if r.b.sep * 206264.80624709636 < 0.5 else 0.6) for r in pairs.groupBy("target_id").agg(F.min(F.struct("sep", "source_id", "parallax")).alias("b")).collect()}
+    rows = made.collect()
+    assert len(rows) == len(want) > 20 and {r.gaia_dr2_source_id: (r.gaia_dr3_source_id, r.parallax, r.match_quality) for r in rows} == want
+    # one join with the catalog, of sorted rows; the targets are put into several cells, not the catalog
+    plan = made._jdf.queryExecution().optimizedPlan()
+    join = plan
+    while not join.toString().startswith("Join Inner"):
+        join = join.children().head()
+    assert plan.toString().count("Join Inner") == 1 and "strategy=merge" in plan.toString()
+    assert "Generate" not in join.left().toString() and "Generate" in join.right().toString()
+
+
+def test_cascade_looks_up_positions_once(spark):
+    older, newer = _crowded(spark, 60, 2000000000), _crowded(spark, 400, 3000000000)
+    primary = older.select(F.concat(F.lit("Gaia DR2 "), F.col("source_id").cast("string")).alias("gaia_id"))
+    plan = tiers.cascade(primary, newer, older)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+
+
+def test_cells_of_the_sky_are_not_broadcast(spark):
+    p, s = _crowded(spark, 60, 0).withColumnRenamed("source_id", "_row_idx"), _crowded(spark, 400, 0).withColumnRenamed("source_id", "_src_idx")
+    made = sky.within(p, s, 1.0)
+    assert "SortMergeJoin [band" in made._jdf.queryExecution().executedPlan().toString()
