@@ -1,5 +1,8 @@
 """What keeps work in proportion at size: how rows are dealt, and what is sorted or exchanged."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from skyloom.fixtures import view
@@ -18,6 +21,30 @@ def test_pairs_of_repeated_hosts_are_dealt_by_host(spark):
         assert {(r.hostname, r.part) for r in rows} == set(at.items()) and len(set(at.values())) > 8
 
 
+def test_pairs_of_a_repeated_host_come_in_runs_and_short_cycles(spark):
+    """Files store these in little space; all of a host's 600 planets or candidates in turn they store in full."""
+    p = spark.range(600).select(F.col("id").alias("row_idx"), F.lit("Host 1").alias("hostname"))
+    c = spark.range(600).select(F.col("id").alias("tid"), F.lit("host 1").alias("name"))
+    for df in (joins.by_host(p, c, "cand", "inner"), joins.by_similar_host(p, c, "cand")):
+        rows = df.select("row_idx", "cand_tid").take(10000)
+        assert max(len({r[k] for r in rows}) for k in (0, 1)) <= 256
+        assert df.count() == 360000 == df.select("row_idx", "cand_tid").distinct().count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_joins_in_blocks_keep_what_matches_nothing(spark, how):
+    left = [(k, None if k % 11 == 0 else f"Host {k % 7}", k * 0.5) for k in range(700)]
+    right = [(k, None if k % 13 == 0 else f" HOST {k % 9 + 2}") for k in range(600)]
+    made = joins.by_host(spark.createDataFrame(left, "row_idx long, hostname string, `st.mass` double"), spark.createDataFrame(right, "tid long, name string"), "cand", how)
+    assert made.columns == ["row_idx", "hostname", "st.mass", "cand_tid", "cand_name"]
+    norm = lambda n: n and n.strip().lower()
+    want = Counter((*a, *b) for a in left for b in right if a[1] and b[1] and norm(a[1]) == norm(b[1]))
+    names = [{norm(x[1]) for x in side} for side in (left, right)]
+    want.update((*a, None, None) for a in left if how in ("left", "outer") and (not a[1] or norm(a[1]) not in names[1]))
+    want.update((None, None, None, *b) for b in right if how in ("right", "outer") and (not b[1] or norm(b[1]) not in names[0]))
+    assert Counter(tuple(r) for r in made.collect()) == want
+
+
 def test_edges_are_distinct_without_an_exchange_of_all_pairs(spark):
     schema = "{} string, alias_type string, alias_value string, ord struct<row: long, k: int>"
     # s1, p1 and s2, p2 share two aliases, the latter in unlike order; h belongs to all; x has a null entity
