@@ -61,6 +61,24 @@ def test_edges_are_distinct_without_an_exchange_of_all_pairs(spark):
     assert plan.nodeName() == "Union" and "Aggregate" not in plan.children().head().nodeName()
 
 
+def test_edges_of_many_aliases_come_in_blocks(spark):
+    def table(key, parts):
+        rows = [(entity, "T", f"{name}{v}", (k, 0)) for entity, name, values in parts for k, v in enumerate(values)]
+        return spark.createDataFrame(rows, f"{key} string, alias_type string, alias_value string, ord struct<row: long, k: int>"), key
+
+    # p1 has its star's aliases in turn, p2 in the same order; those of s3 are its own
+    many = range(300)
+    stars = table("star_id", [("s1", "x", many), ("s2", "y", many), ("s3", "z", range(600))])
+    planets = table("planet_id", [("p1", "x", many[::-1]), ("p2", "y", many)])
+    made = normalize.edges([stars, planets])
+    got = Counter((r.src_id, r.dst_id) for r in made.collect())
+    want = {(f"{n}{i}", f"{n}{j}") for n, size in (("x", 300), ("y", 300), ("z", 600)) for i in range(size) for j in range(size) if i < j or (n == "x" and i > j)}
+    assert set(got) == want and set(got.values()) == {1}
+    # either end is one of a block's for as long as its pairs last
+    rows = normalize.edges([table("star_id", [("s3", "z", range(600))])]).take(10000)
+    assert len(rows) == 10000 and max(len({r[k] for r in rows}) for k in ("src_id", "dst_id")) <= 256
+
+
 def test_monte_carlo_rows_of_one_partition_are_dealt(spark):
     df = spark.range(0, 1000, 1, 1).select(*(F.lit(1.0 + k).alias(p) for k, p in enumerate(montecarlo.PARAMETERS)), (F.col("id") % 3).cast("double").alias("st_tefferr1"))
     rows = montecarlo.monte_carlo(df).select("stellar_flux_s_std", F.spark_partition_id().alias("part")).collect()
